@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.functions.columns import number
-from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, TYPE, Layout, Limits, attach, measure
+from sensorweave.operators.layout import DEFAULT_LIMITS, TYPE, Layout, Limits, attach, measure, with_group_values
 from sensorweave.operators.ranks import exact_median
 from sensorweave.schema import BATCH, ORDER, READING_KEY
 from sensorweave.session import stage
@@ -24,20 +24,20 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop(subset=[BATCH, *READING_KEY])
 
 
-def dedupe_first(df: DataFrame, colocate: bool = False) -> DataFrame:
+def dedupe_first(df: DataFrame, by_file: bool = False) -> DataFrame:
     """Keep, per reading key and file, the row that comes first in the file.
 
     Copies are merged before the shuffle, so a group of copies of any size sends one
-    row per task. With fixed-width payload columns this is a hash aggregate without
-    a sort. ``colocate`` shuffles by sensor instead, which the sensor windows that
-    follow can reuse; it suits data without oversized sensor groups.
+    row per task. With fixed-width payload columns this is a hash aggregate without a
+    sort. ``by_file`` shuffles whole files instead; all later per-file work can then
+    use that one shuffle.
     """
     df = drop_incomplete(df)
     key = [BATCH, *READING_KEY]
     rest = [c for c in df.columns if c not in key and c != ORDER]
     fixed_width = all(isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in rest)
-    if colocate:
-        df = df.repartition(*SENSOR)
+    if by_file:
+        df = df.repartition(BATCH)
     if fixed_width:
         first = [F.min_by(c, ORDER).alias(c) for c in rest]
         kept = df.groupBy(key).agg(F.min(ORDER).alias(ORDER), *first)
@@ -51,22 +51,19 @@ def _present(df: DataFrame) -> list[str]:
     return [c for c in NUMERIC if c in df.columns]
 
 
-def file_means(df: DataFrame) -> DataFrame:
-    """Mean of each numeric column over the whole file, all reading types together."""
-    return df.groupBy(BATCH).agg(*[F.avg(number(c)).alias(f"_{c}_fill") for c in _present(df)])
+def _filled(df: DataFrame) -> dict[str, Column]:
+    return {c: F.coalesce(number(c), F.col(f"_{c}_fill")) for c in _present(df)}
 
 
 def impute_mean(df: DataFrame, layout: Layout | None = None, by_type: bool = False) -> DataFrame:
-    """Fill missing values with the file's mean; ``by_type`` uses the mean of the reading type instead."""
+    """Fill missing values with the file's mean, all reading types together.
+
+    ``by_type`` uses the mean of the file's rows of the same reading type instead.
+    """
     layout = layout or measure(df)
-    columns = df.columns
-    if by_type:
-        means = df.groupBy(TYPE).agg(*[F.avg(number(c)).alias(f"_{c}_fill") for c in _present(df)])
-        filled = attach(df, means, TYPE, layout.broadcast_types, layout.limits)
-    else:
-        filled = attach(df, file_means(df), [BATCH], layout.broadcast_types, layout.limits)
-    fills = {c: F.coalesce(number(c), F.col(f"_{c}_fill")) for c in _present(df)}
-    return filled.withColumns(fills).select(columns)
+    means = {f"_{c}_fill": F.avg(number(c)) for c in _present(df)}
+    joined = with_group_values(df, TYPE if by_type else [BATCH], means, layout)
+    return joined.withColumns(_filled(df)).select(df.columns)
 
 
 def clip(value: Column, low: Column, high: Column) -> Column:
@@ -74,16 +71,17 @@ def clip(value: Column, low: Column, high: Column) -> Column:
     return F.when(value < low, low).when(value > high, high).otherwise(value)
 
 
+def _bounds(config: DataFrame) -> DataFrame:
+    return config.select("reading_type", F.col("min").alias("_low"), F.col("max").alias("_high"))
+
+
 def clip_small_samples(df: DataFrame, config: DataFrame, layout: Layout | None = None) -> DataFrame:
     """Clip to the configured range where a type has fewer than five rows in its file."""
     layout = layout or measure(df)
-    columns = df.columns
-    sizes = df.groupBy(TYPE).agg(F.count(F.lit(1)).alias("_n"))
-    small = sizes.where(F.col("_n") < SMALL_SAMPLE).join(
-        config.select("reading_type", F.col("min").alias("_low"), F.col("max").alias("_high")), "reading_type"
-    )
-    joined = attach(df, small, TYPE, layout.broadcast_types, layout.limits)
-    return joined.withColumn("value", clip(number("value"), F.col("_low"), F.col("_high"))).select(columns)
+    sized = with_group_values(df, TYPE, {"_n": F.count(F.lit(1))}, layout).join(_bounds(config), "reading_type", "left")
+    value = number("value")
+    clipped = F.when(F.col("_n") < SMALL_SAMPLE, clip(value, F.col("_low"), F.col("_high"))).otherwise(value)
+    return sized.withColumn("value", clipped).select(df.columns)
 
 
 def _score(value: Column) -> Column:
@@ -111,101 +109,85 @@ def _type_moments(df: DataFrame) -> DataFrame:
     return df.groupBy(TYPE).agg(*aggs)
 
 
-def _with_fills(moments: DataFrame, layout: Layout) -> DataFrame:
-    """Add the file means, rolled up from the sums per type."""
+def _after_imputation(moments: DataFrame, layout: Layout) -> DataFrame:
+    """Fold the imputed rows, all equal to the file mean, into the moments of each type."""
     parts = {"_value_fill": ("_sum", "_known")}
     if "_battery_sum" in moments.columns:
         parts["_battery_level_fill"] = ("_battery_sum", "_battery_known")
-    if layout.broadcast_types:
-        # The whole table is known to be small, so a file's types fit one window.
-        whole = Window.partitionBy(BATCH)
-        means = {n: F.try_divide(F.sum(s).over(whole), F.sum(k).over(whole)) for n, (s, k) in parts.items()}
-        return moments.withColumns(means)
     means = moments.groupBy(BATCH).agg(*[F.try_divide(F.sum(s), F.sum(k)).alias(n) for n, (s, k) in parts.items()])
-    return attach(moments, means, [BATCH], False, layout.limits)
-
-
-def type_statistics(df: DataFrame, layout: Layout, fill: bool) -> DataFrame:
-    """Size, mean and population deviation per file and type; with ``fill``, as after imputation.
+    stats = attach(moments, means, [BATCH], layout.broadcast_types, layout.limits)
 
-    One pass over the rows is enough: the file mean is a roll-up of the type sums, and
-    the imputed rows, all equal to it, are folded into the moments afterwards.
-    """
-    stats = _type_moments(df)
-    if not fill:
-        nothing = F.lit(None).cast("double")
-        return stats.select(
-            *TYPE,
-            "_n",
-            "_min",
-            "_max",
-            F.col("_avg").alias("_mean"),
-            F.col("_dev").alias("_std"),
-            nothing.alias("_value_fill"),
-            nothing.alias("_imputed"),
-        )
-    stats = _with_fills(stats, layout)
-    n, known, fill_value = F.col("_n"), F.col("_known"), F.col("_value_fill")
+    n, known, fill = F.col("_n"), F.col("_known"), F.col("_value_fill")
     gaps = n - known
-    total = F.coalesce(F.col("_sum"), F.lit(0.0)) + gaps * fill_value
+    total = F.coalesce(F.col("_sum"), F.lit(0.0)) + gaps * fill
     stats = stats.withColumn("_mean", F.when(gaps == 0, F.col("_avg")).otherwise(total / n))
     shift = F.col("_avg") - F.col("_mean")
     own = F.when(known > 0, known * (F.col("_dev") * F.col("_dev") + shift * shift)).otherwise(0.0)
-    added = gaps * (fill_value - F.col("_mean")) * (fill_value - F.col("_mean"))
+    added = gaps * (fill - F.col("_mean")) * (fill - F.col("_mean"))
     stats = stats.withColumn("_std", F.when(gaps == 0, F.col("_dev")).otherwise(F.sqrt((own + added) / n)))
-    stats = stats.withColumn("_imputed", F.when(gaps > 0, fill_value))
-    return stats.drop("_known", "_sum", "_avg", "_dev", "_battery_sum", "_battery_known")
+    return stats.withColumn("_imputed", F.when(gaps > 0, fill))
 
 
-def _with_medians(df: DataFrame, stats: DataFrame, layout: Layout) -> DataFrame:
-    """Add ``_median`` to the types that have an outlier; the others never need one."""
+def large_file_statistics(df: DataFrame, layout: Layout, fill: bool) -> DataFrame:
+    """``_n``, ``_mean``, ``_std``, ``_median`` and the file means per file and type.
+
+    One pass over the rows gives all moments, even those after imputation, because the
+    file mean is a roll-up of the type sums. A second one finds the medians, of types
+    that have an outlier only. The results are small and staged.
+    """
+    moments = stage(_type_moments(df), "type-moments")
+    if fill:
+        stats = _after_imputation(moments, layout)
+    else:
+        nothing = F.lit(None).cast("double")
+        stats = moments.withColumns(
+            {"_mean": F.col("_avg"), "_std": F.col("_dev"), "_value_fill": nothing, "_imputed": nothing}
+        )
     worst = F.greatest(_score(F.col("_min")), _score(F.col("_max")), _score(F.col("_imputed")))
     flagged = stats.where((F.col("_n") >= SMALL_SAMPLE) & (worst > Z_LIMIT)).select(*TYPE, "_value_fill")
-    if layout.broadcast_types:
-        rows = df.join(F.broadcast(flagged), TYPE)
-    else:
-        marked = flagged.withColumn("_flagged", F.lit(True))
-        rows = attach(df, marked, TYPE, False, layout.limits).where("_flagged")
+    marked = flagged.withColumn("_flagged", F.lit(True))
+    rows = attach(df.select(*TYPE, "value"), marked, TYPE, layout.broadcast_types, layout.limits).where("_flagged")
     values = rows.select(*TYPE, F.coalesce(number("value"), F.col("_value_fill")).alias("value"))
     medians = exact_median(values, TYPE, "value", layout).withColumnRenamed("median", "_median")
-    return stats.join(medians, TYPE, "left")
+    fills = [c for c in ["_value_fill", "_battery_level_fill"] if c in stats.columns]
+    return stats.join(medians, TYPE, "left").select(*TYPE, "_n", "_mean", "_std", "_median", *fills)
+
+
+def _with_type_statistics(df: DataFrame, layout: Layout) -> DataFrame:
+    if not layout.by_file:
+        stats = large_file_statistics(df, layout, fill=False).drop("_value_fill")
+        return attach(df, stats, TYPE, layout.broadcast_types, layout.limits)
+    value = number("value")
+    aggs = {"_n": F.count(F.lit(1)), "_mean": F.avg(value), "_std": F.stddev_pop(value), "_median": F.median(value)}
+    return with_group_values(df, TYPE, aggs, layout)
 
 
 def correct_outliers(df: DataFrame, layout: Layout | None = None) -> DataFrame:
     """Replace values more than three population deviations off by the median of their type and file."""
-    layout = layout or measure(df)
-    columns = df.columns
-    stats = _with_medians(df, type_statistics(df, layout, fill=False), layout)
-    joined = attach(df, stats.select(*TYPE, "_n", "_mean", "_std", "_median"), TYPE, layout.broadcast_types, layout.limits)
+    joined = _with_type_statistics(df, layout or measure(df))
     value = number("value")
-    return joined.withColumn("value", F.when(_is_outlier(value), F.col("_median")).otherwise(value)).select(columns)
+    return joined.withColumn("value", F.when(_is_outlier(value), F.col("_median")).otherwise(value)).select(df.columns)
 
 
 def clean(df: DataFrame, config: DataFrame, layout: Layout | None = None, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """All cleaning steps: complete keys, first copy, imputation, then clipping or z-score correction.
 
-    Where a reading type is too large for the plain median, the de-duplicated rows
-    are staged once, since several passes over a few of their columns follow.
+    With large files the de-duplicated rows are staged once, as several passes over a
+    few of their columns follow.
     """
     layout = layout or measure(df, limits)
-    columns = df.columns
-    rows = dedupe_first(df, colocate=not (layout.has_hot_sensors or layout.has_big_types))
-    if layout.has_big_types:
-        rows = stage(rows, "deduplicated")
-    stats = type_statistics(rows, layout, fill=True)
-    if layout.has_big_types:
-        stats = stage(stats, "type-statistics")
-    stats = _with_medians(rows, stats, layout)
-    bounds = config.select("reading_type", F.col("min").alias("_low"), F.col("max").alias("_high"))
-    stats = stats.join(bounds, "reading_type", "left").drop("_min", "_max", "_imputed")
-    joined = attach(rows, stats, TYPE, layout.broadcast_types, layout.limits)
-
-    filled = {c: F.coalesce(number(c), F.col(f"_{c}_fill")) for c in _present(df)}
-    joined = joined.withColumns(filled)
+    if layout.by_file:
+        rows = impute_mean(dedupe_first(df, by_file=True), layout)
+        joined = _with_type_statistics(rows, layout)
+    else:
+        rows = stage(dedupe_first(df), "deduplicated")
+        stats = large_file_statistics(rows, layout, fill=True)
+        joined = attach(rows, stats, TYPE, layout.broadcast_types, layout.limits).withColumns(_filled(df))
+    joined = joined.join(_bounds(config), "reading_type", "left")
     value = F.col("value")
     corrected = (
         F.when(F.col("_n") < SMALL_SAMPLE, clip(value, F.col("_low"), F.col("_high")))
         .when(_is_outlier(value), F.col("_median"))
         .otherwise(value)
     )
-    return joined.withColumn("value", corrected).select(columns)
+    return joined.withColumn("value", corrected).select(df.columns)

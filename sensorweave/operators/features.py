@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock, epoch_micros, number
 from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, Layout, Limits, attach, hot_sensors, measure
+from sensorweave.operators.timestamps import CLOCK
 from sensorweave.schema import ORDER
 from sensorweave.session import stage
 
@@ -35,11 +36,12 @@ def _rolling(part: list[str]) -> Column:
 
 
 def _daily() -> Column:
-    return F.when(F.col("date").isNotNull(), F.avg("_v").over(Window.partitionBy(*SENSOR, "_day")))
+    return F.avg("_v").over(Window.partitionBy(*SENSOR, "_day"))
 
 
 def _prepare(df: DataFrame) -> DataFrame:
-    rows = df.withColumns({"_ts": clock(df), "_v": number("value")}).withColumn("date", F.to_date("_ts"))
+    times = F.col(CLOCK) if CLOCK in df.columns else clock(df)
+    rows = df.withColumns({"_ts": times, "_v": number("value")}).withColumn("date", F.to_date("_ts"))
     # Rows without a time sort last.
     return rows.withColumn("_day", F.coalesce("date", F.lit("9999-12-31").cast("date")))
 
@@ -47,7 +49,7 @@ def _prepare(df: DataFrame) -> DataFrame:
 def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> DataFrame:
     """Add the wanted ones of ``daily_avg`` and ``rolling_7d_avg``."""
     rows = _prepare(df)
-    output = [c for c in df.columns if c not in ("date", *wanted)] + ["date", *wanted]
+    output = [c for c in df.columns if c not in ("date", CLOCK, *wanted)] + ["date", *wanted]
     parts = []
     if layout.unkeyed:
         nothing = {c: F.lit(None).cast("double") for c in wanted}
@@ -59,9 +61,9 @@ def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> Dat
         rows = rows.join(F.broadcast(hot), SENSOR, "left_anti")
     # The rolling window comes first: its shuffle by sensor also serves the daily one.
     if "rolling_7d_avg" in wanted:
-        rows = rows.withColumn("rolling_7d_avg", _rolling(SENSOR))
+        rows = rows.withColumn("rolling_7d_avg", F.when(_keyed(), _rolling(SENSOR)))
     if "daily_avg" in wanted:
-        rows = rows.withColumn("daily_avg", _daily())
+        rows = rows.withColumn("daily_avg", F.when(_keyed() & F.col("date").isNotNull(), _daily()))
     result = rows.select(output)
     for part in parts:
         result = result.unionByName(part)
@@ -113,21 +115,21 @@ def rolling_average(df: DataFrame, layout: Layout | None = None) -> DataFrame:
     return _with_windows(df, layout or measure(df), ("rolling_7d_avg",))
 
 
-def rolling_average_days(df: DataFrame, days: int = 7, layout: Layout | None = None) -> DataFrame:
+def rolling_average_days(df: DataFrame, days: int = 7, sparse_rows: int = SPARSE_ROWS) -> DataFrame:
     """Add ``date`` and ``rolling_7d_avg`` as the mean of the readings in ``(t - days, t]``.
 
-    A time frame is summed anew for every row, which suits sparse series only. Dense
-    ones are cut into hours: the current hour up to the row, the full hours before it,
+    A time frame is summed anew for every row, which suits sparse series only. If any
+    series has more than ``sparse_rows`` rows, they are cut into hours: the current hour up to the row, the full hours before it,
     and the end of the hour in which the frame begins. No sum spans more than an hour
     of one series, and every value is added, never subtracted, so nothing is lost.
     """
-    layout = layout or measure(df)
-    output = [c for c in df.columns if c not in ("date", "rolling_7d_avg")] + ["date", "rolling_7d_avg"]
+    longest = df.where(_keyed()).groupBy(SENSOR).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    output = [c for c in df.columns if c not in ("date", CLOCK, "rolling_7d_avg")] + ["date", "rolling_7d_avg"]
     rows = _prepare(df).withColumn("_us", epoch_micros(F.col("_ts")))
     idle = rows.where(F.col("_us").isNull() | ~_keyed()).withColumn("rolling_7d_avg", F.lit(None).cast("double"))
     rows = rows.where(F.col("_us").isNotNull() & _keyed())
     span = days * 24 * HOUR
-    if layout.largest_sensor <= SPARSE_ROWS:
+    if (longest or 0) <= sparse_rows:
         frame = Window.partitionBy(SENSOR).orderBy("_us").rangeBetween(1 - span, Window.currentRow)
         averaged = rows.withColumn("rolling_7d_avg", F.avg("_v").over(frame))
     else:
@@ -200,7 +202,7 @@ def derive_features(
     """
     layout = layout or measure(df, limits)
     if rolling == "days":
-        features = rolling_average_days(daily_average(df, layout), layout=layout)
+        features = rolling_average_days(daily_average(df, layout))
     else:
         features = _with_windows(df, layout, ("daily_avg", "rolling_7d_avg"))
     return flag_anomalies(features, config)

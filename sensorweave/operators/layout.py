@@ -1,9 +1,9 @@
-"""Decide, from one light count, how grouped work is spread over the cluster.
+"""Decide, from a light count, how grouped work is spread over the cluster.
 
-Any file, reading type or sensor may hold a large share of all rows. The count reads
-only the grouping columns and returns a single row, and its result picks the plan:
-small statistics are broadcast only below a known row count, and groups too big for
-one task are split.
+A file is the population of every statistic. Where all files are of ordinary size,
+one shuffle by file brings each population together and windows do the rest. Where a
+file, reading type or sensor may be too much for one task, statistics are aggregated
+with map-side combine and joined back, and oversized sensor groups are split.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorweave.schema import BATCH
@@ -33,52 +33,59 @@ class Limits:
 DEFAULT_LIMITS = Limits()
 
 
+SENSOR = [BATCH, "sensor_id", "reading_type"]
+TYPE = [BATCH, "reading_type"]
+
+
 @dataclass(frozen=True)
 class Layout:
+    """Upper bounds of group sizes. They stay valid when rows are removed later."""
+
     rows: int
-    type_groups: int
-    largest_type: int
+    largest_file: int
     largest_sensor: int
-    unkeyed: int
+    type_groups: int
+    unkeyed: int = 0
     limits: Limits = DEFAULT_LIMITS
 
+    @property
+    def by_file(self) -> bool:
+        """Every file fits one task."""
+        return self.largest_file <= self.limits.group_rows
+
     @property
     def hot_rows(self) -> int:
-        """Size from which a sensor group is split. At most ``hot_keys`` groups can be as large."""
+        """Size from which a sensor group is split. At most ``hot_keys`` groups can be larger."""
         return max(self.limits.group_rows, self.rows // self.limits.hot_keys)
 
     @property
     def has_hot_sensors(self) -> bool:
         return self.largest_sensor > self.hot_rows
 
-    @property
-    def has_big_types(self) -> bool:
-        return self.largest_type > self.limits.group_rows
-
     @property
     def broadcast_types(self) -> bool:
         return self.type_groups <= self.limits.broadcast_rows
 
 
-SENSOR = [BATCH, "sensor_id", "reading_type"]
-TYPE = [BATCH, "reading_type"]
-
-
 def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
-    """Count group sizes. Removing rows later keeps every figure a valid upper bound."""
-    sensors = df.groupBy(SENSOR).agg(F.count(F.lit(1)).alias("n"))
+    """Count rows per file, which reads no data column; look closer only if a file is large."""
+    total = F.count(F.lit(1))
+    files = df.groupBy(BATCH).agg(total.alias("n"))
+    first = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("top")).first()
+    if first["top"] <= limits.group_rows:
+        return Layout(first["rows"], first["top"], first["top"], first["rows"], limits=limits)
+
+    sensors = df.groupBy(SENSOR).agg(total.alias("n"))
     unkeyed = F.col("sensor_id").isNull() | F.col("reading_type").isNull()
     types = sensors.groupBy(TYPE).agg(
-        F.sum("n").alias("n"), F.max("n").alias("top"), F.sum(F.when(unkeyed, F.col("n"))).alias("unkeyed")
+        F.max(F.when(~unkeyed, F.col("n"))).alias("top"), F.sum(F.when(unkeyed, F.col("n"))).alias("unkeyed")
     )
-    row = types.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("type_groups"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("largest_type"),
+    closer = types.agg(
+        total.alias("type_groups"),
         F.coalesce(F.max("top"), F.lit(0)).alias("largest_sensor"),
         F.coalesce(F.sum("unkeyed"), F.lit(0)).alias("unkeyed"),
     ).first()
-    return Layout(**row.asDict(), limits=limits)
+    return Layout(first["rows"], first["top"], **closer.asDict(), limits=limits)
 
 
 def hot_sensors(df: DataFrame, layout: Layout) -> DataFrame:
@@ -87,7 +94,9 @@ def hot_sensors(df: DataFrame, layout: Layout) -> DataFrame:
     return stage(counts.where(F.col("n") > layout.hot_rows), "hot-sensors").select(SENSOR)
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], small: bool, limits: Limits = DEFAULT_LIMITS):
+def attach(
+    df: DataFrame, stats: DataFrame, keys: Sequence[str], small: bool, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Left-join per-group statistics to rows.
 
     A table known to be small is broadcast. Otherwise the rows of a group are spread
@@ -101,3 +110,12 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], small: bool, li
     copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(limits.salts)).cast("int"))
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+
+
+def with_group_values(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], layout: Layout) -> DataFrame:
+    """Add aggregates of a row's group to the row: by window if files are small, else by aggregation and join."""
+    if layout.by_file:
+        group = Window.partitionBy(*keys)
+        return df.withColumns({name: agg.over(group) for name, agg in aggs.items()})
+    stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
+    return attach(df, stats, keys, layout.broadcast_types, layout.limits)

@@ -26,9 +26,6 @@ def exact_median(df: DataFrame, keys: Sequence[str], name: str, layout: Layout)
     """
     keys = list(keys)
     values = df.where(F.col(name).isNotNull()).select(*keys, F.col(name).alias("_v"))
-    if not layout.has_big_types:
-        return _middle(values, keys)
-
     fractions = F.array(F.lit(0.5 - REACH), F.lit(0.5 + REACH))
     brackets = values.groupBy(keys).agg(
         F.count(F.lit(1)).alias("_rows"), F.percentile_approx("_v", fractions, F.lit(ACCURACY)).alias("_q")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import EXTRA_FORMATS, clock, iso_text
 
+CLOCK = "_clock"
+
 # Fixed value: offset of the local column, UTC+5:30.
 LOCAL_SHIFT = "INTERVAL '05:30' HOUR TO MINUTE"
 
@@ -18,11 +20,13 @@ def normalize_timestamps(
     formats: Sequence[str] = EXTRA_FORMATS,
     shift: str = LOCAL_SHIFT,
     dropped: Observation | None = None,
+    keep_clock: bool = False,
 ) -> DataFrame:
     """Parse ``timestamp``, drop rows where that fails, and write it and ``timestamp_ist`` as ISO text.
 
     Pass an ``Observation`` to learn how many rows were dropped (metric ``invalid``)
-    once the result has been computed; it costs no extra job.
+    once the result has been computed; it costs no extra job. ``keep_clock`` keeps the
+    parsed time, cut to seconds like the text, for steps that need it again.
     """
     columns = df.columns
     parsed = df.withColumn("_ts", clock(df, formats=formats))
@@ -31,4 +35,7 @@ def normalize_timestamps(
     valid = parsed.where(F.col("_ts").isNotNull())
     texts = {"timestamp_ist": iso_text(F.col("_ts") + F.expr(shift)), "timestamp": iso_text(F.col("_ts"))}
     kept = columns if "timestamp_ist" in columns else [*columns, "timestamp_ist"]
+    if keep_clock:
+        texts[CLOCK] = F.date_trunc("second", "_ts").cast("timestamp_ntz")
+        kept = [*kept, CLOCK]
     return valid.withColumns(texts).select(kept)

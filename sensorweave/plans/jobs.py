@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,12 +95,12 @@ def transform(df: DataFrame, config: DataFrame, rolling: str = "rows", limits: L
     """Clean, calibrate, normalise timestamps and derive features.
 
     The group sizes are counted once, on the input; later steps only remove rows.
-    With ordinary group sizes the rows are shuffled once, by sensor.
+    With files of ordinary size the rows are shuffled once, by file.
     """
     layout = measure(df, limits)
     cleaned = clean(df, config, layout)
-    timed = normalize_timestamps(calibrate(cleaned, config))
-    return derive_features(timed, config, layout, rolling)
+    timed = normalize_timestamps(calibrate(cleaned, config), keep_clock=True)
+    return derive_features(timed, config, replace(layout, unkeyed=0), rolling)
 
 
 def transform_files(spark: SparkSession, settings: Settings | None = None, rolling: str = "rows") -> DataFrame | None:
