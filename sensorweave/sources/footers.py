@@ -30,6 +30,11 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
+def _message(error: Exception) -> str:
+    """On one line, as it also goes into a CSV log."""
+    return " ".join(f"{type(error).__name__}: {error}".split())
+
+
 def _md5(path: str) -> str:
     digest = hashlib.md5()
     with _open(path) as stream:
@@ -55,7 +60,7 @@ def _inspect(path: str, checksum: bool) -> dict:
                 types={f.name: str(f.type) for f in schema},
             )
     except Exception as error:  # any reader failure is a result here, not a crash
-        found["schema_error"] = f"{type(error).__name__}: {error}"
+        found["schema_error"] = _message(error)
     return found
 
 
@@ -105,7 +110,7 @@ def read_errors(footers: DataFrame) -> DataFrame:
                         for _ in pq.ParquetFile(stream).iter_batches(row_groups=[int(group)]):
                             pass
                 except Exception as failure:  # any decoder failure is a result here, not a crash
-                    error = f"{type(failure).__name__}: {failure}"
+                    error = _message(failure)
                 errors.append(error)
             yield pd.DataFrame({"path": batch["path"], "read_error": errors})
 

@@ -27,6 +27,7 @@ def start_ingest(
     settings = settings or Settings()
     stream = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", max_files)
         .load(settings.raw)
