@@ -173,14 +173,15 @@ def clean(df: DataFrame, config: DataFrame, layout: Layout | None = None, limits
     """All cleaning steps: complete keys, first copy, imputation, then clipping or z-score correction.
 
     With large files the de-duplicated rows are staged once, as several passes over a
-    few of their columns follow.
+    few of their columns follow. They are staged file by file (a large file in several
+    pieces), so that those passes aggregate nearly everything before they shuffle.
     """
     layout = layout or measure(df, limits)
     if layout.by_file:
         rows = impute_mean(dedupe_first(df, by_file=True), layout)
         joined = _with_type_statistics(rows, layout)
     else:
-        rows = stage(dedupe_first(df), "deduplicated")
+        rows = stage(dedupe_first(df).hint("rebalance", BATCH), "deduplicated")
         stats = large_file_statistics(rows, layout, fill=True)
         joined = attach(rows, stats, TYPE, layout.broadcast_types, layout.limits).withColumns(_filled(df))
     joined = joined.join(_bounds(config), "reading_type", "left")

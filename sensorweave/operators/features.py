@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock, epoch_micros, number
-from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, Layout, Limits, attach, hot_sensors, measure
+from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, Layout, Limits, attach, hot_sensors, measure, spread_files
 from sensorweave.operators.timestamps import CLOCK
 from sensorweave.schema import ORDER
 from sensorweave.session import stage
@@ -35,8 +35,8 @@ def _rolling(part: list[str]) -> Column:
     return F.avg("_v").over(ordered.rowsBetween(1 - ROLLING_ROWS, Window.currentRow))
 
 
-def _daily() -> Column:
-    return F.avg("_v").over(Window.partitionBy(*SENSOR, "_day"))
+def _daily(part: list[str]) -> Column:
+    return F.avg("_v").over(Window.partitionBy(*part, "_day"))
 
 
 def _prepare(df: DataFrame) -> DataFrame:
@@ -59,11 +59,15 @@ def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> Dat
         hot = hot_sensors(df, layout)
         parts.append(_split_windows(rows.join(F.broadcast(hot), SENSOR, "left_semi"), layout, wanted).select(output))
         rows = rows.join(F.broadcast(hot), SENSOR, "left_anti")
-    # The rolling window comes first: its shuffle by sensor also serves the daily one.
+    group = SENSOR
+    if not layout.by_file:
+        rows = spread_files(rows, layout)
+        group = ["_part", *SENSOR]
+    # The rolling window comes first: its shuffle and sort also serve the daily one.
     if "rolling_7d_avg" in wanted:
-        rows = rows.withColumn("rolling_7d_avg", F.when(_keyed(), _rolling(SENSOR)))
+        rows = rows.withColumn("rolling_7d_avg", F.when(_keyed(), _rolling(group)))
     if "daily_avg" in wanted:
-        rows = rows.withColumn("daily_avg", F.when(_keyed() & F.col("date").isNotNull(), _daily()))
+        rows = rows.withColumn("daily_avg", F.when(_keyed() & F.col("date").isNotNull(), _daily(group)))
     result = rows.select(output)
     for part in parts:
         result = result.unionByName(part)

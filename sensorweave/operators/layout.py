@@ -20,10 +20,10 @@ from sensorweave.session import stage
 
 @dataclass(frozen=True)
 class Limits:
-    group_rows: int = 1_000_000
+    group_rows: int = 5_000_000
     """Rows of one group that a single window task may hold."""
     broadcast_rows: int = 500_000
-    """Rows of a statistics table that may be broadcast."""
+    """Rows of a table of statistics that may be broadcast."""
     hot_keys: int = 100_000
     """Upper bound on the number of groups treated as hot."""
     salts: int = 128
@@ -46,7 +46,10 @@ class Layout:
     largest_sensor: int
     type_groups: int
     unkeyed: int = 0
+    files: int = 0
     limits: Limits = DEFAULT_LIMITS
+    sizes: DataFrame | None = None
+    """Rows per file, where some file is large."""
 
     @property
     def by_file(self) -> bool:
@@ -62,6 +65,10 @@ class Layout:
     def has_hot_sensors(self) -> bool:
         return self.largest_sensor > self.hot_rows
 
+    @property
+    def broadcast_files(self) -> bool:
+        return self.files <= self.limits.broadcast_rows
+
     @property
     def broadcast_types(self) -> bool:
         return self.type_groups <= self.limits.broadcast_rows
@@ -71,9 +78,9 @@ def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
     """Count rows per file, which reads no data column; look closer only if a file is large."""
     total = F.count(F.lit(1))
     files = df.groupBy(BATCH).agg(total.alias("n"))
-    first = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("top")).first()
-    if first["top"] <= limits.group_rows:
-        return Layout(first["rows"], first["top"], first["top"], first["rows"], limits=limits)
+    first = _totals(files)
+    if first["largest_file"] <= limits.group_rows:
+        return Layout(**first, largest_sensor=first["largest_file"], type_groups=first["rows"], limits=limits)
 
     sensors = df.groupBy(SENSOR).agg(total.alias("n"))
     unkeyed = F.col("sensor_id").isNull() | F.col("reading_type").isNull()
@@ -85,7 +92,31 @@ def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
         F.coalesce(F.max("top"), F.lit(0)).alias("largest_sensor"),
         F.coalesce(F.sum("unkeyed"), F.lit(0)).alias("unkeyed"),
     ).first()
-    return Layout(first["rows"], first["top"], **closer.asDict(), limits=limits)
+    return Layout(**first, **closer.asDict(), limits=limits, sizes=stage(files, "file-sizes"))
+
+
+def _totals(files: DataFrame) -> dict:
+    return (
+        files.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("largest_file"),
+            F.count(F.lit(1)).alias("files"),
+        )
+        .first()
+        .asDict()
+    )
+
+
+def spread_files(df: DataFrame, layout: Layout) -> DataFrame:
+    """Shuffle by file and, within large files, by sensor and type; adds the column ``_part``.
+
+    A file goes to as many partitions as its size asks for, and not to all of them, so
+    that its rows can be written as a few files of good size without another shuffle.
+    """
+    parts = layout.sizes.select(BATCH, F.ceil(F.col("n") / layout.limits.group_rows).alias("_parts"))
+    sized = attach(df, parts, [BATCH], layout.broadcast_files, layout.limits)
+    part = F.pmod(F.xxhash64("sensor_id", "reading_type"), F.coalesce("_parts", F.lit(1)))
+    return sized.withColumn("_part", part).drop("_parts").repartition(BATCH, "_part")
 
 
 def hot_sensors(df: DataFrame, layout: Layout) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorweave.functions.columns import is_missing
 from sensorweave.schema import BATCH
 
 # Bounds of the profile's range check, the same for every reading type.
@@ -65,18 +66,26 @@ def range_counts(df: DataFrame) -> DataFrame:
     )
 
 
+DOCUMENT = [BATCH, "reading_summary", "missing_data_ratio", "distinct_counts", "outlier_counts"]
+
+
 def profile(df: DataFrame, files: DataFrame | None = None, digits: int | None = 2) -> DataFrame:
-    """One nested document per file.
+    """One nested document per file. ``files`` (a ``file_name`` column) adds those of files without any row."""
+    return profile_with_counts(df, files, digits).select(DOCUMENT)
+
+
+def profile_with_counts(df: DataFrame, files: DataFrame | None = None, digits: int | None = 2) -> DataFrame:
+    """The profile plus the counts that decide a file's status: ``rows`` and ``missing_…``.
 
     The rows are read and shuffled once: they are aggregated per file, type and sensor,
-    and everything else is rolled up from that. ``files`` (a ``file_name`` column) adds
-    the documents of files without any row.
+    and everything else is rolled up from that.
     """
     total = F.count(F.lit(1))
     base = df.groupBy(BATCH, "sensor_id", "reading_type").agg(
         total.alias("n"),
         F.count_if(F.col("timestamp").isNull()).alias("no_ts"),
         F.count_if(F.col("value").isNull()).alias("no_value"),
+        F.count_if(is_missing("value", df.schema["value"].dataType)).alias("no_number"),
         F.count_if(F.col("battery_level").isNull()).alias("no_battery"),
         F.sum("value").alias("value_sum"),
         F.min("value").alias("value_min"),
@@ -94,7 +103,7 @@ def profile(df: DataFrame, files: DataFrame | None = None, digits: int | None =
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("sensor_id").isNull(), F.col("n")).otherwise(0)).alias("no_sensor"),
         F.count_if("new_sensor").alias("sensors"),
-        *[F.sum(c).alias(c) for c in ["no_ts", "no_value", "no_battery", "value_sum", "battery_sum"]],
+        *[F.sum(c).alias(c) for c in ["no_ts", "no_value", "no_number", "no_battery", "value_sum", "battery_sum"]],
         *[F.sum(c).alias(c) for c in ["value_bad", "battery_bad"]],
         *[F.min(c).alias(c) for c in ["value_min", "battery_min"]],
         *[F.max(c).alias(c) for c in ["value_max", "battery_max"]],
@@ -126,26 +135,29 @@ def profile(df: DataFrame, files: DataFrame | None = None, digits: int | None =
         F.struct(
             F.sum("value_bad").alias("value_out_of_range"), F.sum("battery_bad").alias("battery_out_of_range")
         ).alias("outlier_counts"),
+        n.alias("rows"),
+        F.sum("no_sensor").alias("missing_sensor"),
+        F.sum("no_ts").alias("missing_ts"),
+        F.sum("no_number").alias("missing_value"),
     )
     if files is None:
         return documents
+    # A file without rows has no group of its own. Its ratios are NULL and its counts 0.
     joined = files.select(BATCH).join(documents, BATCH, "left")
     none = F.lit(0).cast("bigint")
+    counts = ["rows", "missing_sensor", "missing_ts", "missing_value"]
+
+    def fields(struct: str, otherwise: Column | None = None) -> Column:
+        names = [f.name for f in documents.schema[struct].dataType]
+        parts = [F.col(f"{struct}.{n}") for n in names]
+        return F.struct(*[(p if otherwise is None else F.coalesce(p, otherwise)).alias(n) for p, n in zip(parts, names)])
+
+    empty = F.array().cast(documents.schema["reading_summary"].dataType)
     return joined.select(
         BATCH,
-        F.coalesce("reading_summary", F.array().cast(documents.schema["reading_summary"].dataType)).alias(
-            "reading_summary"
-        ),
-        *[
-            F.struct(*[F.col(f"{s}.{f.name}").alias(f.name) for f in documents.schema[s].dataType]).alias(s)
-            for s in ["missing_data_ratio"]
-        ],
-        F.struct(
-            F.coalesce("distinct_counts.distinct_sensors", none).alias("distinct_sensors"),
-            F.coalesce("distinct_counts.distinct_reading_types", none).alias("distinct_reading_types"),
-        ).alias("distinct_counts"),
-        F.struct(
-            F.col("outlier_counts.value_out_of_range").alias("value_out_of_range"),
-            F.col("outlier_counts.battery_out_of_range").alias("battery_out_of_range"),
-        ).alias("outlier_counts"),
+        F.coalesce("reading_summary", empty).alias("reading_summary"),
+        fields("missing_data_ratio").alias("missing_data_ratio"),
+        fields("distinct_counts", none).alias("distinct_counts"),
+        fields("outlier_counts").alias("outlier_counts"),
+        *[F.coalesce(c, none).alias(c) for c in counts],
     )

@@ -13,15 +13,15 @@ from sensorweave.operators.calibrate import calibrate
 from sensorweave.operators.clean import clean
 from sensorweave.operators.features import derive_features
 from sensorweave.operators.layout import DEFAULT_LIMITS, Limits, measure
-from sensorweave.operators.profile import profile
-from sensorweave.operators.status import content_status, footer_status, null_counts
+from sensorweave.operators.profile import DOCUMENT, profile_with_counts
+from sensorweave.operators.status import content_status, footer_status
 from sensorweave.operators.timestamps import normalize_timestamps
 from sensorweave.operators.validate import quality_report
 from sensorweave.schema import BATCH, Settings
-from sensorweave.session import stage
+from sensorweave.session import shuffles_sized_for, stage
 from sensorweave.sinks import tables
 from sensorweave.sources.config import read_config
-from sensorweave.sources.files import list_files, new_files, read_ledger
+from sensorweave.sources.files import list_files, new_files, read_ledger, stored_bytes
 from sensorweave.sources.footers import inspect_files
 from sensorweave.sources.readings import read_inspected, read_table
 
@@ -47,17 +47,19 @@ def ingest_files(spark: SparkSession, files: DataFrame, settings: Settings, veri
     accepted = inspected.where(F.col("status").isNull())
     rejected = inspected.where(F.col("status").isNotNull())
     readings = read_inspected(spark, accepted)
+    volume = inspected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
 
     processed = profiles = None
     entry = [F.col(BATCH).alias("filename"), "checksum", "rows", "status", "error"]
     outcome = rejected.withColumn("rows", F.lit(0).cast("bigint")).select(entry)
     if readings is not None:
         tables.write_by_file(readings, settings.processed, "processed")
-        names = accepted.select(BATCH)
-        profiles = profile(readings, names)
+        with shuffles_sized_for(spark, volume):
+            profiled = stage(profile_with_counts(readings, accepted.select(BATCH)), "profiles")
+        profiles = profiled.select(DOCUMENT)
         tables.write_profiles(profiles, settings.profiles)
-        counted = content_status(accepted.drop("rows", "status", "error").join(null_counts(readings), BATCH, "left"))
-        outcome = outcome.unionByName(counted.withColumn("rows", F.coalesce("rows", F.lit(0))).select(entry))
+        sums = accepted.select(BATCH, "checksum")
+        outcome = outcome.unionByName(content_status(profiled.join(sums, BATCH)).select(entry))
         processed = tables.with_suffix(readings, "processed")
     tables.write_quarantine(rejected, settings.quarantine)
 
@@ -91,7 +93,9 @@ def ingest(
     return ingest_files(spark, files, settings, verify_pages)
 
 
-def transform(df: DataFrame, config: DataFrame, rolling: str = "rows", limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def transform(
+    df: DataFrame, config: DataFrame, rolling: str = "rows", limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Clean, calibrate, normalise timestamps and derive features.
 
     The group sizes are counted once, on the input; later steps only remove rows.
@@ -110,7 +114,8 @@ def transform_files(spark: SparkSession, settings: Settings | None = None, rolli
     if processed is None:
         return None
     config = read_config(spark, settings.config)
-    tables.write_by_file(transform(processed, config, rolling), settings.transformed, "transformed")
+    with shuffles_sized_for(spark, stored_bytes(spark, settings.processed)):
+        tables.write_by_file(transform(processed, config, rolling), settings.transformed, "transformed")
     return read_table(spark, settings.transformed)
 
 
@@ -125,7 +130,8 @@ def validate_files(spark: SparkSession, settings: Settings | None = None) -> Dat
     if transformed is None:
         return None
     config = read_config(spark, settings.config, required=False)
-    report = stage(validate(transformed, config), "report")
+    with shuffles_sized_for(spark, stored_bytes(spark, settings.transformed)):
+        report = stage(validate(transformed, config), "report")
     tables.write_report(report, settings.report)
     return report
 
@@ -142,7 +148,8 @@ def load_files(spark: SparkSession, settings: Settings | None = None, mode: str
     transformed = read_table(spark, settings.transformed)
     if transformed is None:
         return False
-    load(transformed, settings.analytics, mode)
+    with shuffles_sized_for(spark, stored_bytes(spark, settings.transformed)):
+        load(transformed, settings.analytics, mode)
     return True
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,25 @@ def build_session(app_name: str = "sensorweave", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+# Stored bytes per shuffle partition. Rows take several times their Parquet size in a shuffle.
+BYTES_PER_PARTITION = 32 * 1024 * 1024
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, stored: int) -> Iterator[None]:
+    """Raise the number of shuffle partitions to what ``stored`` bytes of input ask for.
+
+    Adaptive execution can merge partitions that turn out small, but never add any.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, max(int(before), -(-stored // BYTES_PER_PARTITION)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -19,6 +19,11 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", rec
     return files.select("path", file_name_of("path").alias("filename"), "length", F.col("modificationTime").alias("modified"))
 
 
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    sizes = list_files(spark, folder, recursive=True).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    return sizes.first()["bytes"]
+
+
 def file_name_of(path: str):
     return F.url_decode(F.regexp_replace(F.element_at(F.split(F.col(path), "/"), -1), r"\+", "%2B"))
 
