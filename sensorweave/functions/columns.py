@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,18 +31,25 @@ def is_missing(name: str, dtype: T.DataType) -> Column:
     return F.col(name).isNull()
 
 
+def is_plain_iso(text: Column) -> Column:
+    """True for the layout ``2025-06-05T10:00:00``."""
+    return text.like("____-__-__T__:__:__")
+
+
 def iso_timestamp(text: Column) -> Column:
     """ISO 8601 text to a zone-less UTC timestamp; NULL if it is not one.
 
-    The date guard keeps out what a bare cast would take as "today" (``12:30``)
-    or as the clock (``now``). Text with an offset is moved to UTC.
+    The plain layout is the common case and is cast at once. For the rest, the date
+    guard keeps out what a bare cast would take as "today" (``12:30``) or as the clock
+    (``now``), and text with an offset is moved to UTC.
     """
     dated = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]|\s*$)")
     zoned = F.substring(F.trim(text), 11, 64).rlike(r"\d.*[A-Za-z+-]")
     moved = F.convert_timezone(
         F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz")
     )
-    return F.when(dated & zoned, moved).when(dated, text.try_cast("timestamp_ntz"))
+    local = text.try_cast("timestamp_ntz")
+    return F.when(is_plain_iso(text), local).when(dated & zoned, moved).when(dated, local)
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = EXTRA_FORMATS) -> Column:
@@ -68,8 +75,9 @@ def clock(df: DataFrame, name: str = "timestamp", formats: Sequence[str] = ()) -
 
 def epoch_micros(ts: Column) -> Column:
     """A zone-less timestamp, taken as UTC, in microseconds since 1970."""
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts)
-    return F.unix_micros(local.cast("timestamp"))
+    if SparkSession.active().conf.get("spark.sql.session.timeZone") != "UTC":
+        ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts)
+    return F.unix_micros(ts.cast("timestamp"))
 
 
 def iso_text(ts: Column) -> Column:

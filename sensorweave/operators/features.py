@@ -127,18 +127,24 @@ def rolling_average_days(df: DataFrame, days: int = 7, sparse_rows: int = SPARSE
     and the end of the hour in which the frame begins. No sum spans more than an hour
     of one series, and every value is added, never subtracted, so nothing is lost.
     """
-    longest = df.where(_keyed()).groupBy(SENSOR).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    rows = _prepare(df)
+    usable = _keyed() & F.col("_ts").isNotNull()
+    sizes = rows.groupBy(SENSOR).agg(F.count_if(usable).alias("used"), F.count_if(~usable).alias("idle"))
+    found = sizes.agg(F.max("used").alias("longest"), F.sum("idle").alias("idle")).first()
     output = [c for c in df.columns if c not in ("date", CLOCK, "rolling_7d_avg")] + ["date", "rolling_7d_avg"]
-    rows = _prepare(df).withColumn("_us", epoch_micros(F.col("_ts")))
-    idle = rows.where(F.col("_us").isNull() | ~_keyed()).withColumn("rolling_7d_avg", F.lit(None).cast("double"))
-    rows = rows.where(F.col("_us").isNotNull() & _keyed())
-    span = days * 24 * HOUR
-    if (longest or 0) <= sparse_rows:
-        frame = Window.partitionBy(SENSOR).orderBy("_us").rangeBetween(1 - span, Window.currentRow)
-        averaged = rows.withColumn("rolling_7d_avg", F.avg("_v").over(frame))
+    idle = None
+    if found["idle"]:
+        idle = rows.where(~usable).withColumn("rolling_7d_avg", F.lit(None).cast("double"))
+        rows = rows.where(usable)
+    if (found["longest"] or 0) <= sparse_rows:
+        span = f"INTERVAL '{days - 1} 23:59:59.999999' DAY TO SECOND"
+        series = ", ".join(SENSOR)
+        frame = f"PARTITION BY {series} ORDER BY _ts RANGE BETWEEN {span} PRECEDING AND CURRENT ROW"
+        averaged = rows.withColumn("rolling_7d_avg", F.expr(f"avg(_v) OVER ({frame})"))
     else:
-        averaged = _dense_rolling(rows, days * 24)
-    return averaged.select(output).unionByName(idle.select(output))
+        averaged = _dense_rolling(rows.withColumn("_us", epoch_micros(F.col("_ts"))), days * 24)
+    result = averaged.select(output)
+    return result if idle is None else result.unionByName(idle.select(output))
 
 
 def _dense_rolling(rows: DataFrame, hours: int) -> DataFrame:

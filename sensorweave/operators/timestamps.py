@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sensorweave.functions.columns import EXTRA_FORMATS, clock, iso_text
+from sensorweave.functions.columns import EXTRA_FORMATS, clock, is_plain_iso, iso_text
 
 CLOCK = "_clock"
 
@@ -33,9 +33,12 @@ def normalize_timestamps(
     if dropped is not None:
         parsed = parsed.observe(dropped, F.count_if(F.col("_ts").isNull()).alias("invalid"))
     valid = parsed.where(F.col("_ts").isNotNull())
-    texts = {"timestamp_ist": iso_text(F.col("_ts") + F.expr(shift)), "timestamp": iso_text(F.col("_ts"))}
+    ts, given = F.col("_ts"), F.col("timestamp").cast("string")
+    # Text that already has the wanted form is passed on rather than formatted again.
+    done = is_plain_iso(given)
+    texts = {"timestamp_ist": iso_text(ts + F.expr(shift)), "timestamp": F.when(done, given).otherwise(iso_text(ts))}
     kept = columns if "timestamp_ist" in columns else [*columns, "timestamp_ist"]
     if keep_clock:
-        texts[CLOCK] = F.date_trunc("second", "_ts").cast("timestamp_ntz")
+        texts[CLOCK] = F.when(done, ts).otherwise(F.date_trunc("second", ts).cast("timestamp_ntz"))
         kept = [*kept, CLOCK]
     return valid.withColumns(texts).select(kept)
