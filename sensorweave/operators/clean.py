@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.functions.columns import number
-from sensorweave.operators.layout import DEFAULT_LIMITS, TYPE, Layout, Limits, attach, measure, with_group_values
+from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, TYPE, Layout, Limits, attach, measure, with_group_values
 from sensorweave.operators.ranks import exact_median
+from sensorweave.operators.timestamps import add_clock, time_order
 from sensorweave.schema import BATCH, ORDER, READING_KEY
 from sensorweave.session import stage
 
@@ -169,19 +170,33 @@ def correct_outliers(df: DataFrame, layout: Layout | None = None) -> DataFrame:
     return joined.withColumn("value", F.when(_is_outlier(value), F.col("_median")).otherwise(value)).select(df.columns)
 
 
-def clean(df: DataFrame, config: DataFrame, layout: Layout | None = None, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def clean(
+    df: DataFrame,
+    config: DataFrame,
+    layout: Layout | None = None,
+    limits: Limits = DEFAULT_LIMITS,
+    keep_clock: bool = False,
+) -> DataFrame:
     """All cleaning steps: complete keys, first copy, imputation, then clipping or z-score correction.
 
     With large files the de-duplicated rows are staged once, as several passes over a
     few of their columns follow. They are staged file by file (a large file in several
     pieces), so that those passes aggregate nearly everything before they shuffle.
+
+    ``keep_clock`` parses the time right after de-duplication and keeps it for the
+    steps that follow; with ordinary files it also sorts once for all windows to come.
     """
     layout = layout or measure(df, limits)
+    rows = dedupe_first(df, layout.by_file)
+    if keep_clock:
+        rows = add_clock(rows)
+    output = rows.columns
     if layout.by_file:
-        rows = impute_mean(dedupe_first(df, by_file=True), layout)
-        joined = _with_type_statistics(rows, layout)
+        if keep_clock:
+            rows = rows.sortWithinPartitions(*SENSOR, *time_order())
+        joined = _with_type_statistics(impute_mean(rows, layout), layout)
     else:
-        rows = stage(dedupe_first(df).hint("rebalance", BATCH), "deduplicated")
+        rows = stage(rows.hint("rebalance", BATCH), "deduplicated")
         stats = large_file_statistics(rows, layout, fill=True)
         joined = attach(rows, stats, TYPE, layout.broadcast_types, layout.limits).withColumns(_filled(df))
     joined = joined.join(_bounds(config), "reading_type", "left")
@@ -191,4 +206,4 @@ def clean(df: DataFrame, config: DataFrame, layout: Layout | None = None, limits
         .when(_is_outlier(value), F.col("_median"))
         .otherwise(value)
     )
-    return joined.withColumn("value", corrected).select(df.columns)
+    return joined.withColumn("value", corrected).select(output)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock, epoch_micros, number
 from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, Layout, Limits, attach, hot_sensors, measure, spread_files
-from sensorweave.operators.timestamps import CLOCK
+from sensorweave.operators.timestamps import CLOCK, DAY, NO_DAY, time_order
 from sensorweave.schema import ORDER
 from sensorweave.session import stage
 
@@ -17,9 +17,6 @@ ROLLING_ROWS = 7
 HOUR = 3_600_000_000  # microseconds
 SPARSE_ROWS = 10_000
 
-DAY = [*SENSOR, "date"]
-
-
 def add_date(df: DataFrame) -> DataFrame:
     """The UTC day of ``timestamp``."""
     return df.withColumn("date", F.to_date(clock(df)))
@@ -31,25 +28,26 @@ def _keyed() -> Column:
 
 def _rolling(part: list[str]) -> Column:
     # Sorting by day first changes nothing, but the daily window can then use the same sort.
-    ordered = Window.partitionBy(part).orderBy("_day", F.col("_ts").asc_nulls_last(), ORDER)
+    ordered = Window.partitionBy(part).orderBy(*time_order())
     return F.avg("_v").over(ordered.rowsBetween(1 - ROLLING_ROWS, Window.currentRow))
 
 
 def _daily(part: list[str]) -> Column:
-    return F.avg("_v").over(Window.partitionBy(*part, "_day"))
+    return F.avg("_v").over(Window.partitionBy(*part, DAY))
 
 
 def _prepare(df: DataFrame) -> DataFrame:
-    times = F.col(CLOCK) if CLOCK in df.columns else clock(df)
-    rows = df.withColumns({"_ts": times, "_v": number("value")}).withColumn("date", F.to_date("_ts"))
-    # Rows without a time sort last.
-    return rows.withColumn("_day", F.coalesce("date", F.lit("9999-12-31").cast("date")))
+    rows = df if CLOCK in df.columns else df.withColumn(CLOCK, clock(df))
+    rows = rows.withColumns({"date": F.to_date(CLOCK), "_v": number("value")})
+    if DAY not in rows.columns:
+        rows = rows.withColumn(DAY, F.coalesce("date", F.lit(NO_DAY).cast("date")))
+    return rows
 
 
 def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> DataFrame:
     """Add the wanted ones of ``daily_avg`` and ``rolling_7d_avg``."""
     rows = _prepare(df)
-    output = [c for c in df.columns if c not in ("date", CLOCK, *wanted)] + ["date", *wanted]
+    output = [c for c in df.columns if c not in ("date", CLOCK, DAY, *wanted)] + ["date", *wanted]
     parts = []
     if layout.unkeyed:
         nothing = {c: F.lit(None).cast("double") for c in wanted}
@@ -82,26 +80,26 @@ def _split_windows(rows: DataFrame, layout: Layout, wanted: tuple[str, ...]) ->
     last rows before it as context, which makes its rolling averages exact.
     """
     chunks = max(2, -(-layout.rows // layout.hot_rows))
-    ranged = rows.repartitionByRange(chunks, *SENSOR, "_day", F.col("_ts").asc_nulls_last(), ORDER)
+    ranged = rows.repartitionByRange(chunks, *SENSOR, *time_order())
     placed = stage(ranged.withColumn("_chunk", F.spark_partition_id()), "hot-chunks")
     result = placed
     if "rolling_7d_avg" in wanted:
         result = _rolling_with_context(placed)
     if "daily_avg" in wanted:
-        daily = stage(placed.where("date IS NOT NULL").groupBy(DAY).agg(F.avg("_v").alias("daily_avg")), "hot-days")
+        daily = stage(placed.where("date IS NOT NULL").groupBy(*SENSOR, "date").agg(F.avg("_v").alias("daily_avg")), "hot-days")
         small = daily.count() <= layout.limits.broadcast_rows
-        result = attach(result, daily, DAY, small, layout.limits)
+        result = attach(result, daily, [*SENSOR, "date"], small, layout.limits)
     return result
 
 
 def _rolling_with_context(placed: DataFrame) -> DataFrame:
     before = ROLLING_ROWS - 1
     chunk = [*SENSOR, "_chunk"]
-    latest = Window.partitionBy(chunk).orderBy(F.desc("_day"), F.col("_ts").desc_nulls_first(), F.desc(ORDER))
+    latest = Window.partitionBy(chunk).orderBy(F.desc(DAY), F.col(CLOCK).desc_nulls_first(), F.desc(ORDER))
     tails = placed.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= before).drop("_rank")
     # Few rows per chunk are left. A row is context for every later chunk that begins
     # within the next six of them, even if chunks in between are shorter than that.
-    along = Window.partitionBy(SENSOR).orderBy("_day", F.col("_ts").asc_nulls_last(), ORDER)
+    along = Window.partitionBy(SENSOR).orderBy(*time_order())
     ahead = F.array_distinct(F.array(*[F.lead("_chunk", i).over(along) for i in range(1, before + 1)]))
     targets = F.filter(ahead, lambda c: c > F.col("_chunk"))
     context = tails.withColumn("_to", targets).withColumn("_chunk", F.explode("_to")).drop("_to")
@@ -128,10 +126,10 @@ def rolling_average_days(df: DataFrame, days: int = 7, sparse_rows: int = SPARSE
     of one series, and every value is added, never subtracted, so nothing is lost.
     """
     rows = _prepare(df)
-    usable = _keyed() & F.col("_ts").isNotNull()
+    usable = _keyed() & F.col(CLOCK).isNotNull()
     sizes = rows.groupBy(SENSOR).agg(F.count_if(usable).alias("used"), F.count_if(~usable).alias("idle"))
     found = sizes.agg(F.max("used").alias("longest"), F.sum("idle").alias("idle")).first()
-    output = [c for c in df.columns if c not in ("date", CLOCK, "rolling_7d_avg")] + ["date", "rolling_7d_avg"]
+    output = [c for c in df.columns if c not in ("date", CLOCK, DAY, "rolling_7d_avg")] + ["date", "rolling_7d_avg"]
     idle = None
     if found["idle"]:
         idle = rows.where(~usable).withColumn("rolling_7d_avg", F.lit(None).cast("double"))
@@ -139,10 +137,10 @@ def rolling_average_days(df: DataFrame, days: int = 7, sparse_rows: int = SPARSE
     if (found["longest"] or 0) <= sparse_rows:
         span = f"INTERVAL '{days - 1} 23:59:59.999999' DAY TO SECOND"
         series = ", ".join(SENSOR)
-        frame = f"PARTITION BY {series} ORDER BY _ts RANGE BETWEEN {span} PRECEDING AND CURRENT ROW"
+        frame = f"PARTITION BY {series} ORDER BY {CLOCK} RANGE BETWEEN {span} PRECEDING AND CURRENT ROW"
         averaged = rows.withColumn("rolling_7d_avg", F.expr(f"avg(_v) OVER ({frame})"))
     else:
-        averaged = _dense_rolling(rows.withColumn("_us", epoch_micros(F.col("_ts"))), days * 24)
+        averaged = _dense_rolling(rows.withColumn("_us", epoch_micros(F.col(CLOCK))), days * 24)
     result = averaged.select(output)
     return result if idle is None else result.unionByName(idle.select(output))
 
@@ -212,7 +210,8 @@ def derive_features(
     """
     layout = layout or measure(df, limits)
     if rolling == "days":
-        features = rolling_average_days(daily_average(df, layout))
+        kept = [c for c in df.columns if c not in (CLOCK, DAY)]
+        features = rolling_average_days(daily_average(df.select(kept), layout))
     else:
         features = _with_windows(df, layout, ("daily_avg", "rolling_7d_avg"))
     return flag_anomalies(features, config)

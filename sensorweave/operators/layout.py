@@ -33,8 +33,9 @@ class Limits:
 DEFAULT_LIMITS = Limits()
 
 
-SENSOR = [BATCH, "sensor_id", "reading_type"]
+# TYPE is a prefix of SENSOR, so that one sort serves the windows of both.
 TYPE = [BATCH, "reading_type"]
+SENSOR = [*TYPE, "sensor_id"]
 
 
 @dataclass(frozen=True)

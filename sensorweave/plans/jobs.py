@@ -102,8 +102,8 @@ def transform(
     With files of ordinary size the rows are shuffled once, by file.
     """
     layout = measure(df, limits)
-    cleaned = clean(df, config, layout)
-    timed = normalize_timestamps(calibrate(cleaned, config), keep_clock=True)
+    cleaned = clean(df, config, layout, keep_clock=True)
+    timed = normalize_timestamps(calibrate(cleaned, config))
     return derive_features(timed, config, replace(layout, unkeyed=0), rolling)
 
 
