@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock, epoch_micros, number
-from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, Layout, Limits, attach, hot_sensors, measure, spread_files
+from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, Layout, Limits, attach, measure, spread_files
 from sensorweave.operators.timestamps import CLOCK, DAY, NO_DAY, time_order
 from sensorweave.schema import ORDER
 from sensorweave.session import stage
@@ -53,10 +53,11 @@ def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> Dat
         nothing = {c: F.lit(None).cast("double") for c in wanted}
         parts.append(rows.where(~_keyed()).withColumns(nothing).select(output))
         rows = rows.where(_keyed())
-    if layout.has_hot_sensors:
-        hot = hot_sensors(df, layout)
-        parts.append(_split_windows(rows.join(F.broadcast(hot), SENSOR, "left_semi"), layout, wanted).select(output))
-        rows = rows.join(F.broadcast(hot), SENSOR, "left_anti")
+    if layout.hot is not None:
+        # No more than ``hot_keys`` rows by construction.
+        hot = F.broadcast(layout.hot)
+        parts.append(_split_windows(rows.join(hot, SENSOR, "left_semi"), layout, wanted).select(output))
+        rows = rows.join(hot, SENSOR, "left_anti")
     group = SENSOR
     if not layout.by_file:
         rows = spread_files(rows, layout)

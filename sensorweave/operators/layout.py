@@ -9,7 +9,7 @@ with map-side combine and joined back, and oversized sensor groups are split.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +51,8 @@ class Layout:
     limits: Limits = DEFAULT_LIMITS
     sizes: DataFrame | None = None
     """Rows per file, where some file is large."""
+    hot: DataFrame | None = None
+    """The sensor groups to split, where there are any."""
 
     @property
     def by_file(self) -> bool:
@@ -62,10 +64,6 @@ class Layout:
         """Size from which a sensor group is split. At most ``hot_keys`` groups can be larger."""
         return max(self.limits.group_rows, self.rows // self.limits.hot_keys)
 
-    @property
-    def has_hot_sensors(self) -> bool:
-        return self.largest_sensor > self.hot_rows
-
     @property
     def broadcast_files(self) -> bool:
         return self.files <= self.limits.broadcast_rows
@@ -93,7 +91,11 @@ def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
         F.coalesce(F.max("top"), F.lit(0)).alias("largest_sensor"),
         F.coalesce(F.sum("unkeyed"), F.lit(0)).alias("unkeyed"),
     ).first()
-    return Layout(**first, **closer.asDict(), limits=limits, sizes=stage(files, "file-sizes"))
+    layout = Layout(**first, **closer.asDict(), limits=limits, sizes=stage(files, "file-sizes"))
+    if layout.largest_sensor <= layout.hot_rows:
+        return layout
+    keyed = sensors.where(~unkeyed & (F.col("n") > layout.hot_rows))
+    return replace(layout, hot=stage(keyed.select(SENSOR), "hot-sensors"))
 
 
 def _totals(files: DataFrame) -> dict:
@@ -120,12 +122,6 @@ def spread_files(df: DataFrame, layout: Layout) -> DataFrame:
     return sized.withColumn("_part", part).drop("_parts").repartition(BATCH, "_part")
 
 
-def hot_sensors(df: DataFrame, layout: Layout) -> DataFrame:
-    """The groups larger than ``layout.hot_rows``; never more than ``hot_keys`` rows."""
-    counts = df.groupBy(SENSOR).agg(F.count(F.lit(1)).alias("n"))
-    return stage(counts.where(F.col("n") > layout.hot_rows), "hot-sensors").select(SENSOR)
-
-
 def attach(
     df: DataFrame, stats: DataFrame, keys: Sequence[str], small: bool, limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:

@@ -65,7 +65,7 @@ def test_missing_bounds_are_open(spark, readings):
     assert column(f.flag_anomalies(readings(rows), config), "anomalous_reading") == [False, True]
 
 
-def hot_rows(seed, n=400):
+def hot_rows(seed, n=300):
     """One sensor with most of the rows, many equal times, some missing values, and a few small sensors."""
     rng = random.Random(seed)
     rows = []
@@ -87,12 +87,12 @@ def brute_rolling(rows):
     return [result[i] for i in range(len(rows))]
 
 
-@pytest.mark.parametrize("group_rows", [1, 5, 60])
+@pytest.mark.parametrize("group_rows", [12, 60])
 def test_split_sensors_get_the_same_averages(readings, config, group_rows):
     rows = hot_rows(group_rows)
     df = readings(rows)
     limits = Limits(group_rows=group_rows)
-    assert measure(df, limits).has_hot_sensors
+    assert measure(df, limits).hot.count() >= 1
     split = f.derive_features(df, config, limits=limits).orderBy("row_index").collect()
     plain = f.derive_features(df, config).orderBy("row_index").collect()
     assert [r["row_index"] for r in split] == list(range(len(rows)))
@@ -179,3 +179,21 @@ def test_dropped_rows_are_counted_without_a_job(readings):
     rows = [("s", t, "t", 1.0, 1.0) for t in (T10, "bad", None)]
     assert normalize_timestamps(readings(rows), dropped=seen).count() == 1
     assert seen.get == {"invalid": 2}
+
+
+@pytest.mark.parametrize("limits", [Limits(group_rows=40), Limits(group_rows=40, broadcast_rows=0, salts=3)])
+def test_transform_is_the_same_for_large_files_and_hot_sensors(readings, config, limits):
+    from sensorweave.plans.jobs import transform
+
+    rows = hot_rows(7) + [("hot", "06/07/2025 10:00 AM", "temperature", 900.0, 1.0), ("hot", "bad", "temperature", 1.0, 1.0)]
+    rows += [(None, T10, "temperature", 1.0, 1.0)] + rows[:25] + [("h", T10, "humidity", 400.0, None)]
+    df = readings(rows, "a.parquet").unionByName(readings(rows[:60], "b.parquet"))
+    assert measure(df, limits).hot is not None and measure(df).by_file
+    plain = transform(df, config).orderBy("file_name", "row_index").collect()
+    split = transform(df, config, limits=limits).orderBy("file_name", "row_index").collect()
+    assert len(plain) == len(split) > 120
+    for a, b in zip(plain, split):
+        a, b = a.asDict(), b.asDict()
+        for name in ["value", "battery_level", "daily_avg", "rolling_7d_avg"]:
+            assert a.pop(name) == pytest.approx(b.pop(name))
+        assert a == b
