@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorweave.schema import BATCH
 from sensorweave.session import stage
@@ -134,7 +135,7 @@ def attach(
     keys = list(keys)
     if small:
         return df.join(F.broadcast(stats), keys, "left")
-    spread = [c for c in df.columns if c not in keys]
+    spread = [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, T.MapType)]
     copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(limits.salts)).cast("int"))
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sensorweave.schema import FOOTER, REQUIRED
 
 BLOCK = 4 * 1024 * 1024
+MOST_TASKS = 10_000
 
 
 def _open(path: str):
@@ -64,6 +65,15 @@ def _inspect(path: str, checksum: bool) -> dict:
     return found
 
 
+def _one_task_each(listed: DataFrame) -> DataFrame:
+    """Spread a short list over as many tasks as it has rows, up to a limit.
+
+    The number is explicit: judged by the few bytes of the list, adaptive execution
+    would merge it into one task, which would then read all the files.
+    """
+    return listed.repartition(max(1, min(listed.count(), MOST_TASKS)))
+
+
 def read_footers(files: DataFrame, checksum: bool = True) -> DataFrame:
     """One row per file: columns, types, row count and checksum, or ``schema_error``.
 
@@ -80,7 +90,7 @@ def read_footers(files: DataFrame, checksum: bool = True) -> DataFrame:
             out["row_groups"] = out["row_groups"].astype("Int32")
             yield out[FOOTER.names]
 
-    footers = listed.repartition("path").mapInPandas(scan, FOOTER)
+    footers = _one_task_each(listed).mapInPandas(scan, FOOTER)
     needed = F.array(*[F.lit(c) for c in REQUIRED])
     return footers.withColumns(
         {
@@ -114,7 +124,7 @@ def read_errors(footers: DataFrame) -> DataFrame:
                 errors.append(error)
             yield pd.DataFrame({"path": batch["path"], "read_error": errors})
 
-    checked = groups.repartition("path", "group").mapInPandas(decode, "path string, read_error string")
+    checked = _one_task_each(groups).mapInPandas(decode, "path string, read_error string")
     return checked.where("read_error IS NOT NULL").groupBy("path").agg(F.min("read_error").alias("read_error"))
 
 
