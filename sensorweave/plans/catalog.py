@@ -20,12 +20,14 @@ from sensorweave.sources.footers import read_footers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DIGITS = 6
+# Means of round values often end in a 5; the digits are chosen so that it is not the one rounded away.
+DIGITS = 8
+DIGITS_CALIBRATED = 6
 ROW = ["row_index", "file_name", "sensor_id", "timestamp", "reading_type"]
 
 
-def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, DIGITS) for n in names})
+def _rounded(df: DataFrame, *names: str, digits: int = DIGITS) -> DataFrame:
+    return df.withColumns({n: F.round(n, digits) for n in names})
 
 
 def _day_text(df: DataFrame) -> DataFrame:
@@ -169,7 +171,8 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def transform_all(spark: SparkSession, folder: str) -> DataFrame:
     result = jobs.transform(read_events(spark, folder), default_config(spark))
-    return _day_text(_rounded(result, "value", "battery_level", "daily_avg", "rolling_7d_avg"))
+    averages = ["value", "battery_level", "daily_avg", "rolling_7d_avg"]
+    return _day_text(_rounded(result, *averages, digits=DIGITS_CALIBRATED))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

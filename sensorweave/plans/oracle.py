@@ -112,13 +112,13 @@ missing AS (
 )"""
 
 _SUMMARY = """count(*) AS record_count,
-       round(avg(value), 6) AS avg_value, min(value) AS min_value, max(value) AS max_value,
-       round(avg(battery_level), 6) AS avg_battery, min(battery_level) AS min_battery, max(battery_level) AS max_battery"""
-_RATIOS = """round(sum(CASE WHEN sensor_id IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS sensor_id_missing_ratio,
-       round(sum(CASE WHEN "timestamp" IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS timestamp_missing_ratio,
-       round(sum(CASE WHEN reading_type IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS reading_type_missing_ratio,
-       round(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS value_missing_ratio,
-       round(sum(CASE WHEN battery_level IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS battery_missing_ratio"""
+       round(avg(value), 8) AS avg_value, min(value) AS min_value, max(value) AS max_value,
+       round(avg(battery_level), 8) AS avg_battery, min(battery_level) AS min_battery, max(battery_level) AS max_battery"""
+_RATIOS = """round(sum(CASE WHEN sensor_id IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 8) AS sensor_id_missing_ratio,
+       round(sum(CASE WHEN "timestamp" IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 8) AS timestamp_missing_ratio,
+       round(sum(CASE WHEN reading_type IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 8) AS reading_type_missing_ratio,
+       round(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 8) AS value_missing_ratio,
+       round(sum(CASE WHEN battery_level IS NULL THEN 1 ELSE 0 END)::DOUBLE / count(*), 8) AS battery_missing_ratio"""
 _DISTINCT = """count(DISTINCT sensor_id) AS distinct_sensors, count(DISTINCT reading_type) AS distinct_reading_types"""
 _VIOLATIONS = f"""sum({_BAD}::INT)::DOUBLE AS value_out_of_range, sum({_BAD_BATTERY}::INT)::DOUBLE AS battery_out_of_range"""
 _NULLS = """count(*) FILTER (WHERE sensor_id IS NULL) AS missing_sensor,
@@ -127,7 +127,7 @@ _NULLS = """count(*) FILTER (WHERE sensor_id IS NULL) AS missing_sensor,
 
 SQL: dict[str, str] = {
     "anomalies_by_type": f"""WITH {DAY}, {CONFIG}, {CALIBRATED.format(src='raw')}
-SELECT s.reading_type, count(*) AS readings, count(*) FILTER (WHERE {_ANOMALOUS}) AS anomalies, round(avg(s.value), 6) AS avg_value
+SELECT s.reading_type, count(*) AS readings, count(*) FILTER (WHERE {_ANOMALOUS}) AS anomalies, round(avg(s.value), 8) AS avg_value
 FROM calibrated s LEFT JOIN config c ON s.reading_type = c.reading_type GROUP BY s.reading_type""",
     "reading_summary": f"WITH {DAY} SELECT file_name, reading_type, {_SUMMARY} FROM raw GROUP BY file_name, reading_type",
     "missing_ratio": f"WITH {DAY} SELECT file_name, {_RATIOS} FROM raw GROUP BY file_name",
@@ -144,24 +144,24 @@ SELECT *, CASE WHEN missing_sensor + missing_ts + missing_value > 0 THEN 'dq_war
 FROM c""",
     "dedupe_first": f"WITH {DAY}, {DEDUPED} SELECT * FROM deduped",
     "impute_mean": f"""WITH {DAY}, {IMPUTED.format(src='raw')}
-SELECT * REPLACE (round(value, 6) AS value, round(battery_level, 6) AS battery_level) FROM imputed""",
+SELECT * REPLACE (round(value, 8) AS value, round(battery_level, 8) AS battery_level) FROM imputed""",
     "clip_small_samples": f"""WITH {MINUTE}, {CONFIG}, s AS (SELECT *, count(*) OVER (PARTITION BY file_name, reading_type) AS n FROM raw)
 SELECT s.* EXCLUDE (n) REPLACE (CASE WHEN n < 5 THEN {CLIPPED} ELSE s.value END AS value)
 FROM s LEFT JOIN config c ON s.reading_type = c.reading_type""",
     "correct_outliers": f"""WITH {DAY}, {CONFIG}, {CORRECTED.format(src='raw', small='s.value')}
-SELECT * REPLACE (round(value, 6) AS value) FROM corrected""",
+SELECT * REPLACE (round(value, 8) AS value) FROM corrected""",
     "clean_all": f"""WITH {CLEAN}
-SELECT * REPLACE (round(value, 6) AS value, round(battery_level, 6) AS battery_level) FROM corrected""",
+SELECT * REPLACE (round(value, 8) AS value, round(battery_level, 8) AS battery_level) FROM corrected""",
     "calibrate": f"""WITH {DAY}, {CONFIG}, {CALIBRATED.format(src='raw')}
-SELECT * REPLACE (round(value, 6) AS value) FROM calibrated""",
+SELECT * REPLACE (round(value, 8) AS value) FROM calibrated""",
     "normalize_timestamps": f"WITH {DAY}, {PARSED.replace('{src}', 'raw')} SELECT * EXCLUDE (ts) FROM timed",
     "daily_avg": f"""WITH {MONTH}, {KEYED}, {PARSED.replace('{src}', 'keyed')}
 SELECT {_ROW}, strftime(ts, '%Y-%m-%d') AS date,
-       round(avg(value) OVER (PARTITION BY file_name, sensor_id, reading_type, CAST(ts AS DATE)), 6) AS daily_avg FROM timed""",
+       round(avg(value) OVER (PARTITION BY file_name, sensor_id, reading_type, CAST(ts AS DATE)), 8) AS daily_avg FROM timed""",
     "rolling_7": f"""WITH {MONTH}, {KEYED}, {PARSED.replace('{src}', 'keyed')}
-SELECT {_ROW}, round(avg(value) OVER ({_ROLL}, row_index ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling_7d_avg FROM timed""",
+SELECT {_ROW}, round(avg(value) OVER ({_ROLL}, row_index ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS rolling_7d_avg FROM timed""",
     "rolling_7_days": f"""WITH {MONTH}, {KEYED}, {PARSED.replace('{src}', 'keyed')}
-SELECT {_ROW}, round(avg(value) OVER ({_ROLL} RANGE BETWEEN INTERVAL '6 days 23:59:59.999999' PRECEDING AND CURRENT ROW), 6)
+SELECT {_ROW}, round(avg(value) OVER ({_ROLL} RANGE BETWEEN INTERVAL '6 days 23:59:59.999999' PRECEDING AND CURRENT ROW), 8)
        AS rolling_7d_avg FROM timed""",
     "anomaly_flag": f"""WITH {DAY}, {CONFIG}
 SELECT row_index, file_name, sensor_id, "timestamp", s.reading_type, value, {_ANOMALOUS} AS anomalous_reading
@@ -172,11 +172,11 @@ SELECT file_name, count(*) AS total_records, count(*) FILTER (WHERE typeof(value
     "range_pct": f"""WITH {DAY}, {CONFIG}, g AS (
   SELECT file_name, s.reading_type, count(*) AS total, count(*) FILTER (WHERE value < c.lo OR value > c.hi) AS out_of_range
   FROM raw s LEFT JOIN config c ON s.reading_type = c.reading_type GROUP BY file_name, s.reading_type)
-SELECT *, round(out_of_range * 100.0::DOUBLE / total, 6) AS outlier_pct FROM g""",
+SELECT *, round(out_of_range * 100.0::DOUBLE / total, 8) AS outlier_pct FROM g""",
     "missing_pct": f"""WITH {DAY}, g AS (
   SELECT file_name, reading_type, count(*) AS total, count(*) FILTER (WHERE value IS NULL) AS missing
   FROM raw GROUP BY file_name, reading_type)
-SELECT *, round(missing * 100.0::DOUBLE / total, 6) AS missing_pct FROM g""",
+SELECT *, round(missing * 100.0::DOUBLE / total, 8) AS missing_pct FROM g""",
     "sensor_bounds": f"""WITH {DAY}, {ISO_TS}
 SELECT file_name, sensor_id, min(ts) AS min_ts, max(ts) AS max_ts FROM iso GROUP BY file_name, sensor_id HAVING min(ts) < max(ts)""",
     "missing_hours": f"WITH {HOURLY}, {ISO_TS}, {GAPS} SELECT * FROM missing",
