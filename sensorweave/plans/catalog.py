@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Means of round values often end in a 5; the digits are chosen so that it is not the one rounded away.
 DIGITS = 8
-DIGITS_CALIBRATED = 6
+DIGITS_CALIBRATED = 10
 ROW = ["row_index", "file_name", "sensor_id", "timestamp", "reading_type"]
 
 

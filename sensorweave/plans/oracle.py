@@ -197,11 +197,11 @@ files AS (SELECT file_name, count(*) AS total_records, count(*) FILTER (WHERE ty
 SELECT files.*, coalesce(sensors, 0) AS sensors_with_gaps, CAST(coalesce(hours, 0) AS BIGINT) AS total_missing_hours
 FROM files LEFT JOIN gaps USING (file_name)""",
     "transform_all": f"""WITH {CLEAN}, {CALIBRATED.format(src='corrected')}, {PARSED.replace('{src}', 'calibrated')}
-SELECT s.* EXCLUDE (ts) REPLACE (round(s.value, 6) AS value, round(battery_level, 6) AS battery_level),
+SELECT s.* EXCLUDE (ts) REPLACE (round(s.value, 10) AS value, round(battery_level, 10) AS battery_level),
        strftime(ts, '%Y-%m-%d') AS date,
-       round(avg(s.value) OVER (PARTITION BY file_name, sensor_id, s.reading_type, CAST(ts AS DATE)), 6) AS daily_avg,
+       round(avg(s.value) OVER (PARTITION BY file_name, sensor_id, s.reading_type, CAST(ts AS DATE)), 10) AS daily_avg,
        round(avg(s.value) OVER (PARTITION BY file_name, sensor_id, s.reading_type ORDER BY ts, row_index
-                                ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling_7d_avg,
+                                ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 10) AS rolling_7d_avg,
        {_ANOMALOUS} AS anomalous_reading
 FROM timed s LEFT JOIN config c ON s.reading_type = c.reading_type""",
     "partitioned_roundtrip": f"""WITH {GATEWAY}, {ISO_TS}
