@@ -75,7 +75,7 @@ def clock(df: DataFrame, name: str = "timestamp", formats: Sequence[str] = ()) -
 
 def epoch_micros(ts: Column) -> Column:
     """A zone-less timestamp, taken as UTC, in microseconds since 1970."""
-    if SparkSession.active().conf.get("spark.sql.session.timeZone") != "UTC":
+    if SparkSession.active().conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
         ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts)
     return F.unix_micros(ts.cast("timestamp"))
 
