@@ -1,8 +1,11 @@
-"""Sensor telemetry on Spark: ingest, clean, calibrate, enrich, validate and load daily reading files.
+"""Sensor telemetry on PySpark: ingest, clean, calibrate, derive, check and store readings.
 
-Every operator takes a DataFrame and returns a DataFrame. Many files are handled by
-one job: the column ``file_name`` tells the batch a row belongs to, and every
-statistic that is "per file" is grouped by it.
+Functions of this package that run in Python workers are pickled with their code, so
+that executors need no copy of it and no particular working folder.
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,9 +50,15 @@ def shuffles_sized_for(spark: SparkSession, stored: int) -> Iterator[None]:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where none is set, a local master gets a temporary folder; a cluster has no folder
+    that the driver could choose and all executors could see, so there it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sensorweave-staging-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
