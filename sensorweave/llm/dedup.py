@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 from sensorweave.llm.words import SPACE
 from sensorweave.session import stage, staging_root
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Session settings while the stream runs. Changes are logged instead of copying whole stores,
+# and no store reserves disk that it does not fill, as there is a store for every partition.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 # Digest records that a micro-batch reads, in bytes of Parquet.
 BYTES_PER_BATCH = 1 << 40
@@ -47,13 +53,14 @@ def _first() -> Column:
 
 @contextmanager
 def _rocksdb(spark: SparkSession) -> Iterator[None]:
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def keyed_state(records: DataFrame, path: str) -> DataFrame:
