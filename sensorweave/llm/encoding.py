@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.pieces import PieceModel, decode, encoder
+from sensorweave.llm.words import slices
 
 
 def encode_column(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -19,7 +20,7 @@ def encode_column(docs: DataFrame, path: str, text_col: str = "text", out: str =
         import pyarrow as pa
 
         memory, encode = encoder(PieceModel(path))
-        for batch in batches:
+        for batch in slices(batches, text_col):
             memory.trim()
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             ids = [None if t is None else np.frombuffer(encode(t), "<u4").astype(np.int32) for t in texts]
@@ -53,7 +54,7 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
         model = PieceModel(path)
         memory, encode = encoder(model)
-        for batch in batches:
+        for batch in slices(batches):
             memory.trim()
             texts = [t or "" for t in batch["_text"].to_pylist()]
             coded = [encode(t) for t in texts]

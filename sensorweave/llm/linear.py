@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.words import KNOWN_WORDS, Numbers, distinct, hash64, mix64
+from sensorweave.llm.words import KNOWN_WORDS, Numbers, distinct, hash64, mix64, slices
 from sensorweave.session import stage
 
 
@@ -176,7 +176,7 @@ def train(
 
         to_words, read_as = tools()
         hasher = Hasher(grams, read_as)
-        for batch in batches:
+        for batch in slices(batches):
             found = hasher.of([to_words(t or "") for t in batch["_text"].to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch["_id"], batch["_label"], pa.array(found, pa.list_(pa.int32()))], ["_id", "_label", "_places"]

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.pieces import Remembered
+from sensorweave.llm.words import slices
 from sensorweave.session import stage
 
 END_ID = 0
@@ -87,7 +88,7 @@ def cut(docs: DataFrame, path: str, how: Evolution, id_col: str, text_col: str)
 
         tokens, most = Tokens(path), how.length
         shard, slot = (TaskContext.get().partitionId() + 1) << 20, 0
-        for batch in batches:
+        for batch in slices(batches):
             tokens.memory.trim()
             rows = []
             for at, text in enumerate(batch["_text"].to_pylist()):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.linear import Grams, Hasher, Model, train
-from sensorweave.llm.words import KNOWN_WORDS, covered, repeated_windows, words_of
+from sensorweave.llm.words import KNOWN_WORDS, covered, repeated_windows, slices, words_of
 
 # The symbols that count, and the limits of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -98,7 +98,7 @@ def score(
         import pyarrow as pa
 
         judge = Judge(model, rules)
-        for batch in batches:
+        for batch in slices(batches):
             columns = list(zip(*judge.judge(batch["_text"].to_pylist()))) or [()] * len(MEASURES)
             arrays = [pa.array(c, k) for c, k in zip(columns, [*[pa.int64()] * 5, pa.bool_(), pa.float64(), pa.bool_()])]
             yield pa.RecordBatch.from_arrays([batch[id_col], *arrays], [id_col, *MEASURES.names])
@@ -114,7 +114,7 @@ def keep(docs: DataFrame, model: Model, rules: Rules = Rules(), text_col: str =
         import pyarrow as pa
 
         judge = Judge(model, rules)
-        for batch in batches:
+        for batch in slices(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array([row[-1] for row in judge.judge(texts)], pa.bool_()))
 

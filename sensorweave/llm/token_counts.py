@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.pieces import PieceModel, Remembered, prefix_counts
+from sensorweave.llm.words import slices
 
 
 class Counter:
@@ -58,7 +59,7 @@ def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         import pyarrow as pa
 
         counter = Counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             counter.trim()
             texts = [t or "" for t in batch["_text"].to_pylist()]
             counts = [counter.counts(t) for t in texts]
@@ -100,7 +101,7 @@ def count(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_c
         import pyarrow as pa
 
         counter = Counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             counter.trim()
             texts = [t or "" for t in batch["_text"].to_pylist()]
             totals = [counter.total(t) for t in texts]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.linear import Grams, Hasher, Model, train
-from sensorweave.llm.words import KNOWN_WORDS, Numbers, words_of
+from sensorweave.llm.words import KNOWN_WORDS, Numbers, slices, words_of
 
 # Letters that a look-alike may stand for.
 LOOKALIKES = {
@@ -208,7 +208,7 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
         folding, numbers = Folding(), Numbers()
         total, seen = np.zeros(SYMBOLS**ORDER), np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch["_text"].to_pylist():
                 ids = numbers.of(words_of((text or "").lower()))
                 if len(numbers) > len(seen):
@@ -294,7 +294,7 @@ def score(
         import pyarrow as pa
 
         scoring = Scoring(scorer)
-        for batch in batches:
+        for batch in slices(batches):
             found = scoring.scores(batch["_text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch[id_col], batch["held_out"], pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))],
@@ -320,7 +320,7 @@ def keep_clean(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshol
         import pyarrow as pa
 
         scoring = Scoring(scorer)
-        for batch in batches:
+        for batch in slices(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array(scoring.scores(texts) < threshold))
 

@@ -14,7 +14,31 @@ _WORDS = re.compile(WORD)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 # A task forgets its words when it knows more than this many: its memory stays bounded.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
+
+# Bytes of text that a task takes apart at once.
+TEXT_BYTES = 2 << 20
+
+
+def slices(batches, text_col: str = "_text"):
+    """Arrow batches again, cut to a bounded number of bytes of text each, but to a row at least."""
+    for batch in batches:
+        sizes = _sizes(batch, text_col)
+        start, held = 0, 0
+        for row, size in enumerate(sizes):
+            if held and held + size > TEXT_BYTES:
+                yield batch.slice(start, row - start)
+                start, held = row, 0
+            held += size + 1
+        if len(sizes) > start or not len(sizes):
+            yield batch.slice(start)
+
+
+def _sizes(batch, text_col: str) -> list[int]:
+    import pyarrow.compute as pc
+
+    lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text_col)))
+    return pc.fill_null(lengths, 0).to_pylist()
 
 
 def words_of(text: str | None) -> list[str]:
