@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorweave.llm import dedup, quality, toxicity
+from sensorweave.llm import dedup, encoding, packing, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Vocabulary files, and the most tokens of a document that is not over the limit.
+PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
+MOST_TOKENS = 4096
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -20,16 +26,40 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(PIECES)
+    counted = token_counts.count(table(spark, folder, "documents"), path, MOST_TOKENS)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fitting_chars")
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedupe(table(spark, folder, "documents"))
 
 
+def op6_piece_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.digest(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_quality_rules, op4_exact_dedup, op7_toxicity]}
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: q
+    for q in [
+        op1_quality_rules,
+        op3_token_counts,
+        op4_exact_dedup,
+        op6_piece_ids,
+        op7_toxicity,
+        op10_packing,
+    ]
+}
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": r"""
