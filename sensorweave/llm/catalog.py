@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorweave.llm import dedup, encoding, packing, quality, token_counts, toxicity
+from sensorweave.llm import dedup, encoding, jaccard, packing, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link(table(spark, folder, "documents"), jaccard.Similarity(words=4, percent=85))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(PIECES)
     counted = token_counts.count(table(spark, folder, "documents"), path, MOST_TOKENS)
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in [
         op1_quality_rules,
+        op2_ngram_jaccard,
         op3_token_counts,
         op4_exact_dedup,
         op6_piece_ids,
