@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorweave.llm import dedup, encoding, jaccard, packing, quality, token_counts, toxicity
+from sensorweave.llm import chat, dedup, encoding, jaccard, licenses, packing, quality, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,9 @@ PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
 MOST_TOKENS = 4096
 
+# The table of pages has no time of fetching; records bear this one.
+FETCHED = "2024-01-01T00:00:00Z"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -40,6 +44,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedupe(table(spark, folder, "documents"))
 
 
+def op5_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, folder, "pages"), FETCHED))
+
+
 def op6_piece_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.digest(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
@@ -49,6 +57,16 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op8_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = chat.repair(table(spark, folder, "conversations"))
+    return repaired.withColumn("inserted", F.array_join("inserted", " "))
+
+
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.withColumns({"sentence_ids": F.array_join("sentence_ids", " "), "licenses": F.array_join("licenses", ",")})
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
 
@@ -60,8 +78,11 @@ QUERIES: dict[str, Query] = {
         op2_ngram_jaccard,
         op3_token_counts,
         op4_exact_dedup,
+        op5_warc_derivatives,
         op6_piece_ids,
         op7_toxicity,
+        op8_chat_repair,
+        op9_license_scan,
         op10_packing,
     ]
 }
@@ -78,4 +99,6 @@ SQL: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM n WINDOW same AS (PARTITION BY t)
     """,
+    "op5_warc_derivatives": warc.oracle(FETCHED),
+    "op9_license_scan": licenses.oracle(),
 }
