@@ -1,0 +1,176 @@
+"""Exact dedup and the n-gram Jaccard join, against brute force."""
+
+import random
+import re
+import uuid
+
+import pytest
+from compare import connect, difference
+
+from sensorweave.llm import catalog, dedup, jaccard
+from sensorweave.llm.components import components
+from sensorweave.llm.words import lower_ascii
+
+FOLDER = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, _digest string, n int"
+
+
+def shingles(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower_ascii(text or ""))
+    if not words:
+        return set()
+    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def linked(rows, size, percent):
+    """Smallest id reachable, by comparing all pairs. Rows are (id, text)."""
+    sets = [shingles(t, size) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                root[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(((i, len(sets[k]), least.get(find(k))) for k, (i, _) in enumerate(rows)), key=repr)
+
+
+def result(df):
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=repr)
+
+
+def family(rng, base, copies, edits):
+    for _ in range(copies):
+        words = base.split()
+        for _ in range(rng.randint(0, edits)):
+            words[rng.randrange(len(words))] = f"edit{rng.randrange(10**6)}"
+        yield " ".join(words)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    sentence = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    passage, texts = sentence(60), []
+    for _ in range(12):
+        texts += family(rng, sentence(rng.randint(5, 120)), rng.randint(1, 6), 3)
+    texts += family(rng, sentence(90), 60, 4)  # a large group of near copies
+    texts += [passage + " " + sentence(rng.randint(0, 80)) for _ in range(40)]  # a passage that many share
+    texts += [texts[0]] * 30 + ["one two", "One  TWO", "three", "", None, " \n", "É é", "é é"]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("how", [
+    jaccard.Similarity(words=4, percent=85, bucket=2),
+    jaccard.Similarity(words=4, percent=85, bucket=3, leaders=0),
+    jaccard.Similarity(words=5, percent=80, bucket=8, leaders=1),
+    jaccard.Similarity(words=2, percent=60, slack=5),
+])
+def test_links_against_all_pairs(spark, how):
+    rows = corpus(how.percent + how.bucket)
+    docs = spark.createDataFrame([(i, t, "x", 7) for i, t in rows], SCHEMA)
+    assert result(jaccard.link(docs, how)) == linked(rows, how.words, how.percent)
+
+
+def test_query_against_all_pairs(spark):
+    rows = [(r["doc_id"], r["text"]) for r in catalog.table(spark, FOLDER, "documents").collect()]
+    assert result(catalog.op2_ngram_jaccard(spark, FOLDER)) == linked(rows, 4, 85)
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"w{k}" for k in range(30_000))
+    rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (7, None), (8, ""), (9, long), (10, long + " end")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    assert result(jaccard.link(docs, jaccard.Similarity())) == linked(rows, 5, 80)
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([None, 5, 5, 7, 8, 9], key=repr)
+    assert jaccard.link(docs.limit(0)).count() == 0 and jaccard.keep_one(docs.limit(0)).count() == 0
+
+
+def test_prefix_lengths():
+    for how in (jaccard.Similarity(), jaccard.Similarity(4, 85), jaccard.Similarity(2, 60, slack=3)):
+        for n in range(1, 400):
+            assert 1 <= how.probes(n) <= how.reach(n) <= how.front(n) <= n
+            assert how.prefix(n) == n - -(-how.percent * n // 100) + 1
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(k, k + 1) for k in range(0, 60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(25)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    linked_nodes = {x for a, b in edges if a != b for x in (a, b)}
+    assert found == {k: v for k, v in root.items() if k in linked_nodes}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_exact_query_against_sql(spark):
+    found = catalog.op4_exact_dedup(spark, FOLDER)
+    assert difference(found, connect(FOLDER), catalog.SQL["op4_exact_dedup"]) is None
+
+
+ROWS = [(3, "a b"), (1, "a  b"), (2, "a\tb"), (9, None), (8, ""), (None, "a b"), (4, "x"), (4, "x"), (5, " "), (None, "only"), (6, "a b ")]
+
+
+def weak(text):
+    from pyspark.sql import functions as F
+
+    return F.substring(dedup.sha256(text), 1, 1)
+
+
+@pytest.mark.parametrize("digest", [dedup.sha256, weak])
+def test_exact_odd_rows(spark, digest):
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in ROWS], SCHEMA)
+    found = dedup.dedupe(docs, digest=digest).collect()
+    normal = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    groups = {}
+    for i, t in ROWS:
+        groups.setdefault(normal(t), []).append(i)
+    import hashlib
+
+    expected = []
+    for t, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        expected += [(i, keep, len(ids), hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    assert sorted(((r[0], r[1], r[2], r[4]) for r in found), key=repr) == sorted(expected, key=repr)
+    kept = [(r["doc_id"], r["text_sha256"]) for r in found if r["kept"]]
+    assert len(kept) == len(groups) == len({h for _, h in kept})
+    assert all(r["doc_id"] == r["keep_id"] for r in found if r["kept"])
+
+
+def test_keep_first(spark):
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in ROWS], SCHEMA)
+    kept = dedup.keep_first(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([1, 8, 4, 5, None, 6], key=repr)
+    assert dedup.keep_first(docs.limit(0)).count() == 0 and dedup.dedupe(docs.limit(0)).count() == 0
+
+
+def test_state_outlives_the_stream(spark, tmp_path):
+    """Rows that come later meet the state of earlier ones, in small batches."""
+    records = tmp_path / "records"
+    path = f"{tmp_path}/state-{uuid.uuid4().hex}"
+    for part in (ROWS[:5], ROWS[5:]):
+        docs = spark.createDataFrame([(i, t, "x", 1) for i, t in part], SCHEMA)
+        dedup.digests(docs, "doc_id", "text").write.mode("append").parquet(str(records))
+        schema = spark.read.parquet(str(records)).schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(records))
+        state = dedup.keyed_state(stream, path)
+    counted = {r["digest"]: (r["first"]["id"], r["rows"]) for r in state.collect()}
+    import hashlib
+
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert counted[digest("a b")] == (1, 4) and counted[digest("x")] == (4, 2) and counted[digest("")] == (8, 2)
