@@ -53,6 +53,13 @@ def _simple_tokens() -> re.Pattern:
 _UNUSUAL = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0İ̀-\U0010ffff]|<\\|")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The visible character by which byte-level vocabularies write each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Tokens:
     """Ids of texts as the library gives them, those of a word worked out once per task."""
 
@@ -63,12 +70,17 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern = _simple_tokens()
-        self.memory = Remembered(self._library)
+        self.pattern, self.letters = _simple_tokens(), _byte_letters()
+        self.memory = Remembered(self._word)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word, by the library's model alone: it is split off and in lower case already."""
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+
     def of(self, text: str) -> bytes:
         if _UNUSUAL.search(text):
             return self._library(text)
