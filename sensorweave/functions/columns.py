@@ -85,6 +85,12 @@ def iso_text(ts: Column) -> Column:
     return F.date_format(ts, ISO)
 
 
+def precise_text(ts: Column) -> Column:
+    """ISO text with the sub-second part, where there is one."""
+    fraction = F.regexp_replace(F.date_format(ts, ".SSSSSS"), r"\.?0+$", "")
+    return F.concat(iso_text(ts), fraction)
+
+
 def utc_now() -> Column:
     return F.date_format(
         F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp()), "yyyy-MM-dd'T'HH:mm:ss'Z'"

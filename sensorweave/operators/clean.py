@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.functions.columns import number
-from sensorweave.operators.layout import DEFAULT_LIMITS, SENSOR, TYPE, Layout, Limits, attach, measure, with_group_values
+from sensorweave.operators.layout import (
+    DEFAULT_LIMITS,
+    SENSOR,
+    TYPE,
+    Layout,
+    Limits,
+    attach,
+    join_on,
+    measure,
+    with_group_values,
+)
 from sensorweave.operators.ranks import exact_median
 from sensorweave.operators.timestamps import add_clock, time_order
 from sensorweave.schema import BATCH, ORDER, READING_KEY
@@ -151,7 +161,7 @@ def large_file_statistics(df: DataFrame, layout: Layout, fill: bool) -> DataFram
     values = rows.select(*TYPE, F.coalesce(number("value"), F.col("_value_fill")).alias("value"))
     medians = exact_median(values, TYPE, "value", layout).withColumnRenamed("median", "_median")
     fills = [c for c in ["_value_fill", "_battery_level_fill"] if c in stats.columns]
-    return stats.join(medians, TYPE, "left").select(*TYPE, "_n", "_mean", "_std", "_median", *fills)
+    return join_on(stats, medians, TYPE).select(*TYPE, "_n", "_mean", "_std", "_median", *fills)
 
 
 def _with_type_statistics(df: DataFrame, layout: Layout) -> DataFrame:

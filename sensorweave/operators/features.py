@@ -15,7 +15,6 @@ from sensorweave.session import stage
 ROLLING_ROWS = 7
 
 HOUR = 3_600_000_000  # microseconds
-SPARSE_ROWS = 10_000
 
 def add_date(df: DataFrame) -> DataFrame:
     """The UTC day of ``timestamp``."""
@@ -54,10 +53,10 @@ def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> Dat
         parts.append(rows.where(~_keyed()).withColumns(nothing).select(output))
         rows = rows.where(_keyed())
     if layout.hot is not None:
-        # No more than ``hot_keys`` rows by construction.
-        hot = F.broadcast(layout.hot)
-        parts.append(_split_windows(rows.join(hot, SENSOR, "left_semi"), layout, wanted).select(output))
-        rows = rows.join(hot, SENSOR, "left_anti")
+        marked = layout.hot.withColumn("_hot", F.lit(True))
+        rows = attach(rows, marked, SENSOR, layout.hot_groups <= layout.limits.broadcast_rows, layout.limits)
+        parts.append(_split_windows(rows.where("_hot").drop("_hot"), layout, wanted).select(output))
+        rows = rows.where("_hot IS NULL").drop("_hot")
     group = SENSOR
     if not layout.by_file:
         rows = spread_files(rows, layout)
@@ -80,7 +79,7 @@ def _split_windows(rows: DataFrame, layout: Layout, wanted: tuple[str, ...]) ->
     chunks, and staged so that the chunk numbers stay fixed. Each chunk then gets the
     last rows before it as context, which makes its rolling averages exact.
     """
-    chunks = max(2, -(-layout.rows // layout.hot_rows))
+    chunks = max(2, -(-layout.rows // layout.limits.group_rows))
     ranged = rows.repartitionByRange(chunks, *SENSOR, *time_order())
     placed = stage(ranged.withColumn("_chunk", F.spark_partition_id()), "hot-chunks")
     result = placed
@@ -118,35 +117,23 @@ def rolling_average(df: DataFrame, layout: Layout | None = None) -> DataFrame:
     return _with_windows(df, layout or measure(df), ("rolling_7d_avg",))
 
 
-def rolling_average_days(df: DataFrame, days: int = 7, sparse_rows: int = SPARSE_ROWS) -> DataFrame:
+def rolling_average_days(df: DataFrame, days: int = 7) -> DataFrame:
     """Add ``date`` and ``rolling_7d_avg`` as the mean of the readings in ``(t - days, t]``.
 
-    A time frame is summed anew for every row, which suits sparse series only. If any
-    series has more than ``sparse_rows`` rows, they are cut into hours: the current hour up to the row, the full hours before it,
+    Series are cut into hours: the current hour up to the row, the full hours before it,
     and the end of the hour in which the frame begins. No sum spans more than an hour
     of one series, and every value is added, never subtracted, so nothing is lost.
+    Rows without a complete key or a valid time get no average.
     """
     rows = _prepare(df)
     usable = _keyed() & F.col(CLOCK).isNotNull()
-    sizes = rows.groupBy(SENSOR).agg(F.count_if(usable).alias("used"), F.count_if(~usable).alias("idle"))
-    found = sizes.agg(F.max("used").alias("longest"), F.sum("idle").alias("idle")).first()
     output = [c for c in df.columns if c not in ("date", CLOCK, DAY, "rolling_7d_avg")] + ["date", "rolling_7d_avg"]
-    idle = None
-    if found["idle"]:
-        idle = rows.where(~usable).withColumn("rolling_7d_avg", F.lit(None).cast("double"))
-        rows = rows.where(usable)
-    if (found["longest"] or 0) <= sparse_rows:
-        span = f"INTERVAL '{days - 1} 23:59:59.999999' DAY TO SECOND"
-        series = ", ".join(SENSOR)
-        frame = f"PARTITION BY {series} ORDER BY {CLOCK} RANGE BETWEEN {span} PRECEDING AND CURRENT ROW"
-        averaged = rows.withColumn("rolling_7d_avg", F.expr(f"avg(_v) OVER ({frame})"))
-    else:
-        averaged = _dense_rolling(rows.withColumn("_us", epoch_micros(F.col(CLOCK))), days * 24)
-    result = averaged.select(output)
-    return result if idle is None else result.unionByName(idle.select(output))
+    idle = rows.where(~usable).withColumn("rolling_7d_avg", F.lit(None).cast("double"))
+    timed = rows.where(usable).withColumn("_us", epoch_micros(F.col(CLOCK)))
+    return _hourly_rolling(timed, days * 24).select(output).unionByName(idle.select(output))
 
 
-def _dense_rolling(rows: DataFrame, hours: int) -> DataFrame:
+def _hourly_rolling(rows: DataFrame, hours: int) -> DataFrame:
     cell = [*SENSOR, "_cell"]
     rows = rows.withColumn("_cell", F.floor(F.col("_us") / HOUR))
     slim = rows.select(*cell, ORDER, "_us", "_v")
@@ -213,6 +200,8 @@ def derive_features(
     if rolling == "days":
         kept = [c for c in df.columns if c not in (CLOCK, DAY)]
         features = rolling_average_days(daily_average(df.select(kept), layout))
+        rest = [c for c in features.columns if c not in ("date", "daily_avg", "rolling_7d_avg")]
+        features = features.select(*rest, "date", "daily_avg", "rolling_7d_avg")
     else:
         features = _with_windows(df, layout, ("daily_avg", "rolling_7d_avg"))
     return flag_anomalies(features, config)

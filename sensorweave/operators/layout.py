@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +27,6 @@ class Limits:
     """Rows of one group that a single window task may hold."""
     broadcast_rows: int = 500_000
     """Rows of a table of statistics that may be broadcast."""
-    hot_keys: int = 100_000
-    """Upper bound on the number of groups treated as hot."""
     salts: int = 128
     """Copies of a statistics row when it is too large a table to broadcast."""
 
@@ -54,17 +54,13 @@ class Layout:
     """Rows per file, where some file is large."""
     hot: DataFrame | None = None
     """The sensor groups to split, where there are any."""
+    hot_groups: int = 0
 
     @property
     def by_file(self) -> bool:
         """Every file fits one task."""
         return self.largest_file <= self.limits.group_rows
 
-    @property
-    def hot_rows(self) -> int:
-        """Size from which a sensor group is split. At most ``hot_keys`` groups can be larger."""
-        return max(self.limits.group_rows, self.rows // self.limits.hot_keys)
-
     @property
     def broadcast_files(self) -> bool:
         return self.files <= self.limits.broadcast_rows
@@ -93,10 +89,10 @@ def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
         F.coalesce(F.sum("unkeyed"), F.lit(0)).alias("unkeyed"),
     ).first()
     layout = Layout(**first, **closer.asDict(), limits=limits, sizes=stage(files, "file-sizes"))
-    if layout.largest_sensor <= layout.hot_rows:
+    if layout.largest_sensor <= limits.group_rows:
         return layout
-    keyed = sensors.where(~unkeyed & (F.col("n") > layout.hot_rows))
-    return replace(layout, hot=stage(keyed.select(SENSOR), "hot-sensors"))
+    hot = stage(sensors.where(~unkeyed & (F.col("n") > limits.group_rows)).select(SENSOR), "hot-sensors")
+    return replace(layout, hot=hot, hot_groups=hot.count())
 
 
 def _totals(files: DataFrame) -> dict:
@@ -123,6 +119,18 @@ def spread_files(df: DataFrame, layout: Layout) -> DataFrame:
     return sized.withColumn("_part", part).drop("_parts").repartition(BATCH, "_part")
 
 
+def join_on(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", small: bool = False
+) -> DataFrame:
+    """Join on key columns of the same names, NULL being equal to NULL, as it is in windows and groups."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    if small:
+        renamed = F.broadcast(renamed)
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(renamed, reduce(and_, same), how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def attach(
     df: DataFrame, stats: DataFrame, keys: Sequence[str], small: bool, limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:
@@ -134,11 +142,11 @@ def attach(
     """
     keys = list(keys)
     if small:
-        return df.join(F.broadcast(stats), keys, "left")
+        return join_on(df, stats, keys, small=True)
     spread = [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, T.MapType)]
     copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(limits.salts)).cast("int"))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    return join_on(salted, copies, [*keys, "_salt"]).drop("_salt")
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], layout: Layout) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorweave.operators.layout import Layout, attach
+from sensorweave.operators.layout import Layout, attach, join_on
 from sensorweave.session import stage
 
 # The bracket reaches ten times the sketch's rank error to either side of the middle.
@@ -42,8 +42,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], name: str, layout: Layout)
     missed = ranked.where(F.col("median").isin(float("-inf"), float("inf")) | F.isnan("median"))
     if missed.isEmpty():
         return ranked
-    again = _middle(values.join(missed.select(keys), keys, "left_semi"), keys)
-    return ranked.join(missed.select(keys), keys, "left_anti").unionByName(again)
+    again = _middle(join_on(values, missed.select(keys), keys, "left_semi"), keys)
+    return join_on(ranked, missed.select(keys), keys, "left_anti").unionByName(again)
 
 
 def _middle(values: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorweave.functions.columns import EXTRA_FORMATS, ISO, clock
 from sensorweave.operators import calibrate as cal
 from sensorweave.operators import clean, features, profile, status, timestamps, validate
+from sensorweave.operators.layout import Limits, measure
 from sensorweave.plans import jobs
 from sensorweave.session import staging_root
 from sensorweave.sinks import tables
@@ -106,9 +108,9 @@ def normalize_timestamps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _monthly(spark: SparkSession, folder: str) -> DataFrame:
-    """One file per month, so that series cross days; complete keys and valid times only."""
-    rows = clean.drop_incomplete(read_events(spark, folder, per="month"))
-    return timestamps.normalize_timestamps(rows)
+    """One file per month, so that series cross days; rows with NULL keys and NULL times stay in."""
+    rows = read_events(spark, folder, per="month")
+    return rows.withColumn("timestamp", F.date_format(clock(rows, formats=EXTRA_FORMATS), ISO))
 
 
 def daily_avg(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,14 +138,11 @@ def type_and_timestamp_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def range_pct(spark: SparkSession, folder: str) -> DataFrame:
-    rows = validate.range_percent(read_events(spark, folder), default_config(spark))
-    share = F.round(F.col("out_of_range") * 100.0 / F.col("total"), DIGITS)
-    return rows.withColumn("outlier_pct", share)
+    return validate.range_percent(read_events(spark, folder), default_config(spark))
 
 
 def missing_pct(spark: SparkSession, folder: str) -> DataFrame:
-    rows = validate.missing_percent(read_events(spark, folder), default_config(spark))
-    return rows.withColumn("missing_pct", F.round(F.col("missing") * 100.0 / F.col("total"), DIGITS))
+    return validate.missing_percent(read_events(spark, folder), default_config(spark))
 
 
 def sensor_bounds(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,6 +174,45 @@ def transform_all(spark: SparkSession, folder: str) -> DataFrame:
     return _day_text(_rounded(result, *averages, digits=DIGITS_CALIBRATED))
 
 
+# Limits that send the whole table through the plans for large files and sensors.
+SMALL_LIMITS = Limits(group_rows=50, broadcast_rows=10, salts=4)
+
+
+def correct_outliers_large(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_events(spark, folder)
+    return _rounded(clean.correct_outliers(rows, measure(rows, SMALL_LIMITS)), "value")
+
+
+def clean_large(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = clean.clean(read_events(spark, folder), default_config(spark), limits=SMALL_LIMITS)
+    return _rounded(cleaned, "value", "battery_level")
+
+
+def transform_large(spark: SparkSession, folder: str) -> DataFrame:
+    result = jobs.transform(read_events(spark, folder), default_config(spark), limits=SMALL_LIMITS)
+    averages = ["value", "battery_level", "daily_avg", "rolling_7d_avg"]
+    return _day_text(_rounded(result, *averages, digits=DIGITS_CALIBRATED))
+
+
+def rolling_7_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Sensors cut into chunks of time."""
+    rows = _monthly(spark, folder)
+    result = features.rolling_average(rows, measure(rows, Limits(group_rows=10, broadcast_rows=10, salts=4)))
+    return _rounded(result, "rolling_7d_avg").select(*ROW, "rolling_7d_avg")
+
+
+def quality_report_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The two maps of the report, one row per file and reading type."""
+    report = validate.quality_report(read_events(spark, folder), default_config(spark))
+    shares = {"outlier_pct": "outlier_%", "missing_pct": "missing_%"}
+    parts = [
+        report.select("file_name", F.lit(name).alias("share"), F.explode(F.from_json(f"`{column}`", "map<string,double>")))
+        for name, column in shares.items()
+    ]
+    rows = parts[0].unionByName(parts[1])
+    return rows.select("file_name", "share", F.col("key").alias("reading_type"), F.round("value", DIGITS).alias("percent"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/sensorweave/{name}-{uuid.uuid4().hex}"
 
@@ -237,6 +275,11 @@ QUERIES: dict[str, Query] = {
         gap_totals,
         quality_report,
         transform_all,
+        correct_outliers_large,
+        clean_large,
+        transform_large,
+        rolling_7_split,
+        quality_report_shares,
         partitioned_roundtrip,
         new_file_footers,
     ]

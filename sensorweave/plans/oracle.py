@@ -56,6 +56,9 @@ timed AS (
   FROM parsed WHERE p IS NOT NULL
 )"""
 
+# The same for all rows, those without a valid time included.
+TIMED = PARSED.replace(" FROM parsed WHERE p IS NOT NULL", " FROM parsed").replace("{src}", "raw")
+
 KEYED = """
 keyed AS (SELECT * FROM raw WHERE sensor_id IS NOT NULL AND "timestamp" IS NOT NULL AND reading_type IS NOT NULL)"""
 
@@ -100,6 +103,11 @@ _ANOMALOUS = "NOT coalesce(s.value BETWEEN coalesce(c.lo, '-inf'::DOUBLE) AND co
 _ROW = 'row_index, file_name, sensor_id, "timestamp", reading_type'
 _ROLL = "PARTITION BY file_name, sensor_id, reading_type ORDER BY ts"
 
+_ROLLING_7 = f"""
+SELECT {_ROW}, CASE WHEN sensor_id IS NOT NULL THEN round(avg(value) OVER (
+         PARTITION BY file_name, sensor_id, reading_type ORDER BY ts NULLS LAST, row_index
+         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) END AS rolling_7d_avg FROM timed"""
+
 ISO_TS = """
 iso AS (SELECT *, CASE WHEN regexp_matches("timestamp", '^\\d{4}-\\d{2}-\\d{2}') THEN try_cast("timestamp" AS TIMESTAMP) END AS ts FROM raw)"""
 
@@ -125,6 +133,13 @@ _NULLS = """count(*) FILTER (WHERE sensor_id IS NULL) AS missing_sensor,
        count(*) FILTER (WHERE "timestamp" IS NULL) AS missing_ts,
        count(*) FILTER (WHERE value IS NULL) AS missing_value"""
 
+
+
+def _percent(part: str) -> str:
+    """A share of ``total`` in percent with two digits, rounded half up in whole numbers."""
+    return f"(({part} * 20000 + total) // (2 * total)) / 100.0::DOUBLE"
+
+
 SQL: dict[str, str] = {
     "anomalies_by_type": f"""WITH {DAY}, {CONFIG}, {CALIBRATED.format(src='raw')}
 SELECT s.reading_type, count(*) AS readings, count(*) FILTER (WHERE {_ANOMALOUS}) AS anomalies, round(avg(s.value), 8) AS avg_value
@@ -155,13 +170,14 @@ SELECT * REPLACE (round(value, 8) AS value, round(battery_level, 8) AS battery_l
     "calibrate": f"""WITH {DAY}, {CONFIG}, {CALIBRATED.format(src='raw')}
 SELECT * REPLACE (round(value, 8) AS value) FROM calibrated""",
     "normalize_timestamps": f"WITH {DAY}, {PARSED.replace('{src}', 'raw')} SELECT * EXCLUDE (ts) FROM timed",
-    "daily_avg": f"""WITH {MONTH}, {KEYED}, {PARSED.replace('{src}', 'keyed')}
-SELECT {_ROW}, strftime(ts, '%Y-%m-%d') AS date,
-       round(avg(value) OVER (PARTITION BY file_name, sensor_id, reading_type, CAST(ts AS DATE)), 8) AS daily_avg FROM timed""",
-    "rolling_7": f"""WITH {MONTH}, {KEYED}, {PARSED.replace('{src}', 'keyed')}
-SELECT {_ROW}, round(avg(value) OVER ({_ROLL}, row_index ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS rolling_7d_avg FROM timed""",
-    "rolling_7_days": f"""WITH {MONTH}, {KEYED}, {PARSED.replace('{src}', 'keyed')}
-SELECT {_ROW}, round(avg(value) OVER ({_ROLL} RANGE BETWEEN INTERVAL '6 days 23:59:59.999999' PRECEDING AND CURRENT ROW), 8)
+    "daily_avg": f"""WITH {MONTH}, {TIMED}
+SELECT {_ROW}, strftime(ts, '%Y-%m-%d') AS date, CASE WHEN sensor_id IS NOT NULL AND ts IS NOT NULL THEN
+       round(avg(value) OVER (PARTITION BY file_name, sensor_id, reading_type, CAST(ts AS DATE)), 8) END AS daily_avg FROM timed""",
+    "rolling_7": f"""WITH {MONTH}, {TIMED} {_ROLLING_7}""",
+    "rolling_7_split": f"""WITH {MONTH}, {TIMED} {_ROLLING_7}""",
+    "rolling_7_days": f"""WITH {MONTH}, {TIMED}
+SELECT {_ROW}, CASE WHEN sensor_id IS NOT NULL AND ts IS NOT NULL THEN
+       round(avg(value) OVER ({_ROLL} RANGE BETWEEN INTERVAL '6 days 23:59:59.999999' PRECEDING AND CURRENT ROW), 8) END
        AS rolling_7d_avg FROM timed""",
     "anomaly_flag": f"""WITH {DAY}, {CONFIG}
 SELECT row_index, file_name, sensor_id, "timestamp", s.reading_type, value, {_ANOMALOUS} AS anomalous_reading
@@ -172,11 +188,11 @@ SELECT file_name, count(*) AS total_records, count(*) FILTER (WHERE typeof(value
     "range_pct": f"""WITH {DAY}, {CONFIG}, g AS (
   SELECT file_name, s.reading_type, count(*) AS total, count(*) FILTER (WHERE value < c.lo OR value > c.hi) AS out_of_range
   FROM raw s LEFT JOIN config c ON s.reading_type = c.reading_type GROUP BY file_name, s.reading_type)
-SELECT *, round(out_of_range * 100.0::DOUBLE / total, 8) AS outlier_pct FROM g""",
+SELECT *, {_percent('out_of_range')} AS outlier_pct FROM g""",
     "missing_pct": f"""WITH {DAY}, g AS (
   SELECT file_name, reading_type, count(*) AS total, count(*) FILTER (WHERE value IS NULL) AS missing
   FROM raw GROUP BY file_name, reading_type)
-SELECT *, round(missing * 100.0::DOUBLE / total, 8) AS missing_pct FROM g""",
+SELECT *, {_percent('missing')} AS missing_pct FROM g""",
     "sensor_bounds": f"""WITH {DAY}, {ISO_TS}
 SELECT file_name, sensor_id, min(ts) AS min_ts, max(ts) AS max_ts FROM iso GROUP BY file_name, sensor_id HAVING min(ts) < max(ts)""",
     "missing_hours": f"WITH {HOURLY}, {ISO_TS}, {GAPS} SELECT * FROM missing",
@@ -209,4 +225,12 @@ SELECT sensor_id, strftime(ts, '%Y-%m-%d') AS date, ts AS "timestamp", reading_t
     "new_file_footers": f"""WITH {DAY}
 SELECT file_name, count(*) AS rows, CAST(0 AS BIGINT) AS missing_columns, CAST(1 AS BIGINT) AS extra_columns,
        CAST(0 AS BIGINT) AS unreadable FROM raw WHERE CAST(substr(file_name, 9, 2) AS INT) % 2 = 1 GROUP BY file_name""",
+    "quality_report_shares": f"""WITH {DAY}, {CONFIG}, g AS (
+  SELECT file_name, s.reading_type, count(*) AS total, count(*) FILTER (WHERE value < c.lo OR value > c.hi) AS bad,
+         count(*) FILTER (WHERE value IS NULL) AS gone
+  FROM raw s LEFT JOIN config c ON s.reading_type = c.reading_type GROUP BY file_name, s.reading_type)
+SELECT file_name, 'outlier_pct' AS share, reading_type, {_percent('bad')} AS percent FROM g
+UNION ALL SELECT file_name, 'missing_pct', reading_type, {_percent('gone')} FROM g""",
 }
+for _name, _same in {"correct_outliers_large": "correct_outliers", "clean_large": "clean_all", "transform_large": "transform_all"}.items():
+    SQL[_name] = SQL[_same]

@@ -30,8 +30,15 @@ def build_session(app_name: str = "sensorweave", master: str | None = None, **co
     return builder.getOrCreate()
 
 
-# Stored bytes per shuffle partition. Rows take several times their Parquet size in a shuffle.
-BYTES_PER_PARTITION = 32 * 1024 * 1024
+# Stored bytes per shuffle partition, and the most partitions: their map outputs are tracked by
+# the driver, so beyond that a partition gets more work instead. 100 TB then make 5 GB each,
+# which spills but needs no more memory.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 20_000
+
+
+def partitions_for(stored: int, least: int) -> int:
+    return max(least, min(MOST_PARTITIONS, -(-stored // BYTES_PER_PARTITION)))
 
 
 @contextmanager
@@ -39,10 +46,11 @@ def shuffles_sized_for(spark: SparkSession, stored: int) -> Iterator[None]:
     """Raise the number of shuffle partitions to what ``stored`` bytes of input ask for.
 
     Adaptive execution can merge partitions that turn out small, but never add any.
+    The setting is put back at the end, also after a failure.
     """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    spark.conf.set(name, max(int(before), -(-stored // BYTES_PER_PARTITION)))
+    spark.conf.set(name, partitions_for(stored, int(before)))
     try:
         yield
     finally:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.functions.columns import clock, is_clock, iso_text
+from sensorweave.functions.columns import clock, is_clock, precise_text
 from sensorweave.schema import BATCH, ORDER, RAW
 from sensorweave.sources.files import list_files
 
@@ -30,7 +30,7 @@ def _standard(rows: DataFrame) -> DataFrame:
     for name in rows.columns:
         column = F.col(f"`{name}`")
         if name == "timestamp" and is_clock(rows.schema[name].dataType):
-            column = iso_text(clock(rows)).alias(name)
+            column = precise_text(clock(rows)).alias(name)
         elif name in RAW.names and rows.schema[name].dataType != RAW[name].dataType:
             column = column.cast(RAW[name].dataType).alias(name)
         columns.append(column)
