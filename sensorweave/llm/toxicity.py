@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.linear import Grams, Hasher, Model, train
-from sensorweave.llm.words import KNOWN_WORDS, Numbers, slices, words_of
+from sensorweave.llm.words import KNOWN_WORDS, slices, words_of
 
 # Letters that a look-alike may stand for.
 LOOKALIKES = {
@@ -177,7 +178,7 @@ class Decoder:
         return re.sub(r"[^\x20\x09-\x0D]+", plain, text)
 
 
-def _gram_counts(words: list[str], counts: np.ndarray, folding: Folding) -> np.ndarray:
+def _gram_counts(words: list[str], counts: list[int], folding: Folding) -> np.ndarray:
     """How often each string of four symbols occurs in words that occur so often."""
     total = np.zeros(SYMBOLS**ORDER)
     codes, weights = [], []
@@ -206,18 +207,15 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches):
         import pyarrow as pa
 
-        folding, numbers = Folding(), Numbers()
-        total, seen = np.zeros(SYMBOLS**ORDER), np.zeros(0, np.int64)
+        folding, seen = Folding(), Counter()
+        total = np.zeros(SYMBOLS**ORDER)
         for batch in slices(batches):
             for text in batch["_text"].to_pylist():
-                ids = numbers.of(words_of((text or "").lower()))
-                if len(numbers) > len(seen):
-                    seen = np.concatenate([seen, np.zeros(len(numbers), np.int64)])
-                np.add.at(seen, ids, 1)
-            if len(numbers) > KNOWN_WORDS:
-                total += _gram_counts(numbers.fresh, seen[: len(numbers)], folding)
-                numbers, seen = Numbers(), np.zeros(0, np.int64)
-        total += _gram_counts(numbers.fresh, seen[: len(numbers)], folding)
+                seen.update(words_of((text or "").lower()))
+            if len(seen) > KNOWN_WORDS:
+                total += _gram_counts(list(seen), list(seen.values()), folding)
+                seen.clear()
+        total += _gram_counts(list(seen), list(seen.values()), folding)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], ["gram", "n"])
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from sensorweave.llm import catalog, linear, quality, toxicity
-from sensorweave.llm.words import Numbers, covered, distinct, repeated_windows, words_of
+from sensorweave.llm.words import covered, distinct, repeated_windows, words_of
 
 FOLDER = "/root/testdata/sf0.01"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -120,9 +120,7 @@ WORDLIST = "the idiot and a clown went stupid of pathetic loser then again idiot
 
 @pytest.fixture(scope="module")
 def decoder():
-    numbers = Numbers()
-    numbers.of(WORDLIST * 3)
-    counts = toxicity._gram_counts(numbers.fresh, np.full(len(numbers), 50), toxicity.Folding())
+    counts = toxicity._gram_counts(WORDLIST, [50] * len(WORDLIST), toxicity.Folding())
     return toxicity.Decoder(toxicity.smoothed(counts))
 
 
