@@ -47,9 +47,11 @@ def footer_status(footers: DataFrame) -> DataFrame:
     )
     unprofiled = F.filter(F.array(F.lit("value"), F.lit("battery_level")), lambda c: ~_is_number(F.col("types")[c]))
     not_numeric = F.concat(F.lit("not numeric: "), F.array_join(unprofiled, ", "))
+    clash = F.size(F.array_distinct(F.transform("columns", F.lower))) < F.size("columns")
     cases = [
         ("schema_error", F.col("schema_error").isNotNull(), F.col("schema_error")),
         ("schema_mismatch", F.size("missing") > 0, lacking),
+        ("schema_mismatch", clash, F.lit("column names that differ in case only")),
         ("profiling_error", F.size(unprofiled) > 0, not_numeric),
         ("read_error", F.col("read_error").isNotNull(), F.col("read_error")),
     ]

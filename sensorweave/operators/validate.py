@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,10 @@ def record_checks(df: DataFrame, footers: DataFrame | None = None) -> DataFrame:
     return checks.select(BATCH, "total_records", bad.alias("invalid_value_type"), "invalid_timestamp")
 
 
+def _percent(part: str) -> Column:
+    return F.coalesce(F.round(F.try_divide(F.col(part) * 100.0, F.col("total")), 2), F.lit(0.0))
+
+
 def type_checks(df: DataFrame, config: DataFrame) -> DataFrame:
     """Per file and reading type: rows, share out of range and share missing, in percent.
 
@@ -44,14 +48,10 @@ def type_checks(df: DataFrame, config: DataFrame) -> DataFrame:
         F.count_if(outside(value, F.col("_low"), F.col("_high"))).alias("out_of_range"),
         F.count_if(value.isNull()).alias("missing"),
     )
-
-    def percent(part: str):
-        return F.coalesce(F.round(F.try_divide(F.col(part) * 100.0, F.col("total")), 2), F.lit(0.0))
-
     return counts.withColumns(
         {
-            "outlier_pct": F.when(F.col("reading_type").isNotNull(), percent("out_of_range")),
-            "missing_pct": percent("missing"),
+            "outlier_pct": F.when(F.col("reading_type").isNotNull(), _percent("out_of_range")),
+            "missing_pct": _percent("missing"),
         }
     )
 
@@ -122,9 +122,18 @@ def _fill_gaps(files: DataFrame, gaps: DataFrame) -> DataFrame:
 
 def quality_report(df: DataFrame, config: DataFrame, footers: DataFrame | None = None) -> DataFrame:
     """One row per file. ``footers`` adds files without rows (all zero) and unreadable ones (``error``)."""
-    types = type_checks(df, config)
+    types = type_checks(df, config).withColumn("_name", F.coalesce("reading_type", F.lit("null")))
+    types = types.groupBy(BATCH, "_name").agg(
+        F.sum("total").alias("total"),
+        F.sum("invalid_timestamp").alias("invalid_timestamp"),
+        F.sum("missing").alias("missing"),
+        F.max("reading_type").alias("reading_type"),
+        F.max("outlier_pct").alias("outlier_pct"),
+    )
+    types = types.withColumn("missing_pct", _percent("missing"))
     outlier_entry = F.when(F.col("reading_type").isNotNull(), F.struct("reading_type", "outlier_pct"))
-    missing_entry = F.struct(F.coalesce("reading_type", F.lit("null")), F.col("missing_pct"))
+    # Rows without a type count under the name "null", together with a type of that name.
+    missing_entry = F.struct(F.col("_name"), F.col("missing_pct"))
 
     def as_json(entry):
         return F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry))))

@@ -21,7 +21,7 @@ from sensorweave.schema import BATCH, Settings
 from sensorweave.session import shuffles_sized_for, stage
 from sensorweave.sinks import tables
 from sensorweave.sources.config import read_config
-from sensorweave.sources.files import list_files, new_files, read_ledger, stored_bytes
+from sensorweave.sources.files import current_files, list_files, new_files, read_ledger, stored_bytes
 from sensorweave.sources.footers import inspect_files
 from sensorweave.sources.readings import read_inspected, read_table
 
@@ -61,11 +61,13 @@ def ingest_files(spark: SparkSession, files: DataFrame, settings: Settings, veri
         sums = accepted.select(BATCH, "checksum")
         outcome = outcome.unionByName(content_status(profiled.join(sums, BATCH)).select(entry))
         processed = tables.with_suffix(readings, "processed")
+        tables.append_accepted(accepted, settings.accepted)
     tables.write_quarantine(rejected, settings.quarantine)
 
     outcome = stage(outcome, "outcome")
     seconds = round(time.monotonic() - start, 2)
-    entries = outcome.withColumns({"processed_at": utc_now(), "duration_sec": F.lit(seconds)})
+    batch = F.lit(time.time_ns() // 1000)
+    entries = outcome.withColumns({"processed_at": utc_now(), "duration_sec": F.lit(seconds), "batch": batch})
     tables.append_ingest_log(entries, settings.ingest_log)
     tables.append_ledger(entries, settings.ledger)
     return IngestResult(processed, profiles, read_ledger(spark, settings.ledger), rejected)
@@ -113,10 +115,20 @@ def transform_files(spark: SparkSession, settings: Settings | None = None, rolli
     processed = read_table(spark, settings.processed)
     if processed is None:
         return None
+    processed = _current(processed, settings, "processed")
     config = read_config(spark, settings.config)
     with shuffles_sized_for(spark, stored_bytes(spark, settings.processed)):
         tables.write_by_file(transform(processed, config, rolling), settings.transformed, "transformed")
-    return read_table(spark, settings.transformed)
+    return _current(read_table(spark, settings.transformed), settings, "transformed")
+
+
+def _current(rows: DataFrame, settings: Settings, suffix: str) -> DataFrame:
+    """Without rows of files whose last ingest failed or brought none: those are left from an earlier one."""
+    ledger = read_ledger(rows.sparkSession, settings.ledger)
+    if ledger.isEmpty():
+        return rows
+    names = tables.with_suffix(current_files(ledger).withColumnRenamed("filename", BATCH), suffix)
+    return rows.join(names, BATCH, "left_semi")
 
 
 def validate(df: DataFrame, config: DataFrame, footers: DataFrame | None = None) -> DataFrame:
@@ -130,8 +142,14 @@ def validate_files(spark: SparkSession, settings: Settings | None = None) -> Dat
     if transformed is None:
         return None
     config = read_config(spark, settings.config, required=False)
+    transformed = _current(transformed, settings, "transformed")
+    footers = tables.read_accepted(spark, settings.accepted)
+    if footers is not None:
+        known = read_ledger(spark, settings.ledger).where(F.col("status").isin("success", "dq_warning"))
+        footers = footers.join(known.select(F.col("filename").alias(BATCH)), BATCH, "left_semi")
+        footers = tables.with_suffix(footers, "transformed")
     with shuffles_sized_for(spark, stored_bytes(spark, settings.transformed)):
-        report = stage(validate(transformed, config), "report")
+        report = stage(validate(transformed, config, footers), "report")
     tables.write_report(report, settings.report)
     return report
 
@@ -148,6 +166,7 @@ def load_files(spark: SparkSession, settings: Settings | None = None, mode: str
     transformed = read_table(spark, settings.transformed)
     if transformed is None:
         return False
+    transformed = _current(transformed, settings, "transformed")
     with shuffles_sized_for(spark, stored_bytes(spark, settings.transformed)):
         load(transformed, settings.analytics, mode)
     return True

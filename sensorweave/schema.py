@@ -58,6 +58,7 @@ LEDGER = T.StructType(
         T.StructField("error", T.StringType()),
         T.StructField("processed_at", T.StringType()),
         T.StructField("duration_sec", T.DoubleType()),
+        T.StructField("batch", T.LongType()),  # microseconds, to order entries of one second
     ]
 )
 
@@ -95,6 +96,10 @@ class Settings:
     def ledger(self) -> str:
         return f"{self.state}/ledger"
 
+    @property
+    def accepted(self) -> str:
+        return f"{self.state}/accepted"
+
     @property
     def ingest_log(self) -> str:
         return f"{self.metadata}/ingest_log"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock
@@ -57,6 +57,24 @@ def append_ledger(entries: DataFrame, path: str) -> None:
     entries.select(LEDGER.names).write.mode("append").parquet(path)
 
 
+def append_accepted(accepted: DataFrame, path: str) -> None:
+    """The column types of files that could be read, for later reports."""
+    rows = accepted.select(BATCH, "types", F.unix_micros(F.current_timestamp()).alias("batch"))
+    rows.write.mode("append").parquet(path)
+
+
+def read_accepted(spark: SparkSession, path: str) -> DataFrame | None:
+    """Per accepted file the types of its last ingest, and a NULL ``error``; ``None`` if there is none."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        rows = spark.read.schema(f"{BATCH} string, types map<string,string>, batch long").parquet(path)
+    except AnalysisException:
+        return None
+    latest = rows.groupBy(BATCH).agg(F.max_by(F.map_entries("types"), "batch").alias("types"))
+    return latest.select(BATCH, F.map_from_entries("types").alias("types"), F.lit(None).cast("string").alias("error"))
+
+
 def append_ingest_log(entries: DataFrame, path: str) -> None:
     log = entries.select(
         "filename", "checksum", "rows", "status", "error", "duration_sec", F.col("processed_at").alias("timestamp")

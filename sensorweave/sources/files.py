@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave.schema import LEDGER
@@ -16,7 +18,8 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", rec
         .option("recursiveFileLookup", str(recursive).lower())
         .load(folder)
     )
-    return files.select("path", file_name_of("path").alias("filename"), "length", F.col("modificationTime").alias("modified"))
+    name = decoded_name(files.metadataColumn("_metadata")["file_name"])
+    return files.select("path", name.alias("filename"), "length", F.col("modificationTime").alias("modified"))
 
 
 def stored_bytes(spark: SparkSession, folder: str) -> int:
@@ -24,8 +27,14 @@ def stored_bytes(spark: SparkSession, folder: str) -> int:
     return sizes.first()["bytes"]
 
 
-def file_name_of(path: str):
-    return F.url_decode(F.regexp_replace(F.element_at(F.split(F.col(path), "/"), -1), r"\+", "%2B"))
+def decoded_name(encoded: Column) -> Column:
+    """The plain name of a file. Spark's file metadata have it percent-encoded, whatever reads the file."""
+    return F.url_decode(F.regexp_replace(encoded, r"\+", "%2B"))
+
+
+def literal_path(path: str) -> str:
+    """A path as readers take it, with the characters that would make it a pattern escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -40,10 +49,15 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_entries(entries: DataFrame) -> DataFrame:
-    whole = F.max_by(F.struct(*LEDGER.names), "processed_at").alias("_entry")
+    whole = F.max_by(F.struct(*LEDGER.names), F.struct("processed_at", "batch")).alias("_entry")
     return entries.groupBy("filename").agg(whole).select("_entry.*")
 
 
+def current_files(ledger: DataFrame) -> DataFrame:
+    """Names of the files whose last ingest succeeded and brought rows; data of others is out of date."""
+    return ledger.where(F.col("status").isin("success", "dq_warning") & (F.col("rows") > 0)).select("filename")
+
+
 def new_files(files: DataFrame, ledger: DataFrame, key: str = "name", retry_failed: bool = False) -> DataFrame:
     """Files not in the ledger.
 

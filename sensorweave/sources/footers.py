@@ -8,8 +8,8 @@ Python part reads footers and byte streams with bounded memory.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
-from urllib.parse import unquote, urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,13 +22,16 @@ MOST_TASKS = 10_000
 
 
 def _open(path: str):
+    """A file by its plain (not percent-encoded) path."""
     from pyarrow import fs
 
-    parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        return fs.LocalFileSystem().open_input_file(unquote(parts.path) if parts.scheme else path)
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):(?://([^/]*))?(/.*)", path)
+    scheme, store, inner = found.groups() if found else ("file", "", path)
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file(inner)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    filesystem, root = fs.FileSystem.from_uri(f"{scheme}://{store}/")
+    return filesystem.open_input_file(root.rstrip("/") + inner)
 
 
 def _message(error: Exception) -> str:
@@ -48,9 +51,13 @@ def _inspect(path: str, checksum: bool) -> dict:
     import pyarrow.parquet as pq
 
     found = {"checksum": None, "rows": None, "row_groups": None, "columns": None, "types": None, "schema_error": None}
+    # A store that fails is no fault of the file: such an error ends the task, which Spark tries again.
+    if checksum:
+        found["checksum"] = _md5(path)
+    else:
+        with _open(path) as stream:
+            stream.read(1)
     try:
-        if checksum:
-            found["checksum"] = _md5(path)
         with _open(path) as stream:
             parquet = pq.ParquetFile(stream)
             schema = parquet.schema_arrow
@@ -60,7 +67,9 @@ def _inspect(path: str, checksum: bool) -> dict:
                 columns=list(schema.names),
                 types={f.name: str(f.type) for f in schema},
             )
-    except Exception as error:  # any reader failure is a result here, not a crash
+    except (FileNotFoundError, PermissionError, ConnectionError, TimeoutError):
+        raise
+    except Exception as error:  # what the format reader finds wrong is a result here, not a crash
         found["schema_error"] = _message(error)
     return found
 

@@ -10,19 +10,31 @@ from pyspark.sql import types as T
 
 from sensorweave.functions.columns import clock, is_clock, precise_text
 from sensorweave.schema import BATCH, ORDER, RAW
-from sensorweave.sources.files import list_files
+from sensorweave.sources.files import decoded_name, list_files, literal_path
 
 
-def read_readings(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+def read_readings(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None, nanos: bool = False
+) -> DataFrame:
     """Rows of the given files with ``file_name`` and ``row_index``, the position in the file.
 
-    Required columns come out with their standard types; extra columns pass as they are.
+    Required columns come out with their standard types; extra columns pass as they are,
+    but for those called like one of the two added here: they get ``_in_file`` appended.
+    Timestamps in nanoseconds are read as whole numbers; this session setting stays on,
+    as frames are read when they are used.
     """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     reader = spark.read.schema(schema) if schema else spark.read
-    rows = reader.parquet(*paths)
-    where = {BATCH: F.col("_metadata.file_name"), ORDER: F.col("_metadata.row_index")}
-    rows = rows.select("*", *[c.alias(n) for n, c in where.items()])
-    return _standard(rows)
+    rows = reader.parquet(*[literal_path(p) for p in paths])
+    about = rows.metadataColumn("_metadata")
+    own = [F.col(f"`{c}`").alias(f"{c}_in_file" if c.lower() in (BATCH, ORDER) else c) for c in rows.columns]
+    added = [decoded_name(about["file_name"]).alias(BATCH), about["row_index"].alias(ORDER)]
+    return _standard(_from_nanos(rows.select(*own, *added)) if nanos else rows.select(*own, *added))
+
+
+def _from_nanos(rows: DataFrame) -> DataFrame:
+    """``timestamp`` from nanoseconds since 1970; what is below a microsecond is cut off."""
+    return rows.withColumn("timestamp", F.timestamp_micros(F.expr("timestamp DIV 1000")))
 
 
 def _standard(rows: DataFrame) -> DataFrame:
@@ -51,7 +63,10 @@ def read_inspected(spark: SparkSession, footers: DataFrame) -> DataFrame | None:
         by_schema.setdefault(row["signature"], []).append(row["path"])
     if not by_schema:
         return None
-    frames = [read_readings(spark, paths) for _, paths in sorted(by_schema.items())]
+    frames = [
+        read_readings(spark, paths, nanos="timestamp:timestamp[ns" in signature)
+        for signature, paths in sorted(by_schema.items())
+    ]
     types: dict[str, set] = {}
     for frame in frames:
         for field in frame.schema:

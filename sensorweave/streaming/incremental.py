@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorweave.plans.jobs import ingest_files
 from sensorweave.schema import Settings
 from sensorweave.session import stage
-from sensorweave.sources.files import file_name_of, new_files, read_ledger
+from sensorweave.sources.files import decoded_name, new_files, read_ledger
 
 
 def start_ingest(
@@ -31,13 +31,17 @@ def start_ingest(
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", max_files)
         .load(settings.raw)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
+        .select(
+            "path",
+            decoded_name(F.col("_metadata.file_name")).alias("filename"),
+            "length",
+            F.col("modificationTime").alias("modified"),
+        )
     )
 
     def ingest_batch(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        files = batch.withColumn("filename", file_name_of("path"))
-        files = stage(new_files(files, read_ledger(session, settings.ledger)), "new-files")
+        files = stage(new_files(batch, read_ledger(session, settings.ledger)), "new-files")
         if not files.isEmpty():
             ingest_files(session, files, settings, verify_pages)
 

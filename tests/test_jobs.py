@@ -164,7 +164,8 @@ def test_only_bad_files(spark, tmp_path):
 def test_run_all(spark, settings):
     report = {r["file_name"]: r for r in jobs.run_all(spark, settings).collect()}
     transformed = spark.read.parquet(settings.transformed)
-    assert set(report) == {r["file_name"] for r in transformed.select("file_name").distinct().collect()}
+    with_rows = {r["file_name"] for r in transformed.select("file_name").distinct().collect()}
+    assert set(report) == with_rows | {"2025-06-05_empty_transformed.parquet"}  # every accepted file has a row
     assert report["2025-06-05_valid_transformed.parquet"]["total_records"] == 3
 
     by_file = {}
@@ -257,3 +258,107 @@ def test_config(spark, settings, tmp_path):
 def test_settings_follow_the_environment(monkeypatch):
     monkeypatch.setenv("RAW_DATA_PATH", "/somewhere")
     assert Settings().raw == "/somewhere" and Settings().analytics == "data/analytics"
+
+
+ODD_NAMES = ["a b.parquet", "50%.parquet", "a#b.parquet", "a?b.parquet", "a%20b.parquet", "a+b.parquet", "x[1].parquet"]
+
+
+def test_odd_names_columns_and_times(spark, settings):
+    raw = Path(settings.raw)
+    for name in ODD_NAMES:
+        VALID.to_parquet(raw / name, index=False)
+    VALID.assign(file_name="mine", row_index=7).to_parquet(raw / "extras.parquet", index=False)
+    VALID.assign(Value=1.0).to_parquet(raw / "case.parquet", index=False)
+    times = pd.to_datetime(VALID["timestamp"]) + pd.to_timedelta([0.1, 0.5, 0.9], unit="s")
+    same = VALID.assign(sensor_id="s", reading_type="humidity", timestamp=times.dt.floor("D") + pd.to_timedelta([0.1, 0.5, 0.9], unit="s"))
+    pq.write_table(pa.Table.from_pandas(same, preserve_index=False), raw / "nanos.parquet")
+    assert "ns" in str(pq.read_schema(raw / "nanos.parquet").field("timestamp").type)
+
+    report = jobs.run_all(spark, settings)
+    ledger = {r["filename"]: (r["status"], r["rows"]) for r in read_ledger(spark, settings.ledger).collect()}
+    for name in [*ODD_NAMES, "extras.parquet", "nanos.parquet"]:
+        assert ledger[name] == ("success", 3), name
+    assert ledger["case.parquet"][0] == "schema_mismatch"
+
+    rows = {r["file_name"]: r for r in report.collect()}
+    accepted = [n for n, (status, _) in ledger.items() if status in ("success", "dq_warning")]
+    assert rows.keys() == {n.removesuffix(".parquet") + "_transformed.parquet" for n in accepted}
+    assert rows["2025-06-05_float_transformed.parquet"]["invalid_value_type"] == 3
+    assert rows["2025-06-05_empty_transformed.parquet"]["total_records"] == 0
+    assert rows["nanos_transformed.parquet"]["total_records"] == 3  # readings within one second are not copies
+
+
+def test_data_of_replaced_files_is_not_used(spark, settings):
+    """By checksum: a file replaced by an empty one, and one that lacks a column now."""
+    raw = Path(settings.raw)
+    jobs.run_all(spark, settings)
+    VALID.iloc[:0].astype({c: str for c in VALID.columns[:3]}).to_parquet(raw / "2025-06-05_valid.parquet", index=False)
+    VALID.drop(columns=["value"]).to_parquet(raw / "2025-06-05_outlier.parquet", index=False)
+    jobs.ingest(spark, settings, key="checksum")
+    names = {r["file_name"] for r in jobs.transform_files(spark, settings).select("file_name").distinct().collect()}
+    assert "2025-06-05_duplicates_transformed.parquet" in names
+    assert not names & {"2025-06-05_valid_transformed.parquet", "2025-06-05_outlier_transformed.parquet"}
+
+
+def test_type_called_null_beside_none(spark, readings, config):
+    from sensorweave.operators.validate import quality_report
+
+    rows = readings([("s", "2025-06-05T10:00:00", t, v, 1.0) for t, v in [("null", 1.0), ("null", None), (None, None)]])
+    row = quality_report(rows, config).first()
+    assert json.loads(row["missing_%"]) == {"null": 66.67} and row["total_records"] == 3
+
+
+def test_null_types_under_every_layout(readings):
+    from sensorweave.operators import clean
+    from sensorweave.operators.layout import Limits, measure
+
+    rows = [("s", f"2025-06-05T10:00:{n:02d}", None, v, 1.0) for n, v in enumerate([1.0] * 10 + [1e6])]
+    gaps = [("s", "2025-06-05T10:00:00", None, 2.0, 1.0), ("s", "2025-06-05T11:00:00", None, None, 1.0)]
+    for limits in (Limits(), Limits(group_rows=2), Limits(group_rows=2, broadcast_rows=0, salts=3)):
+        frame = readings(rows)
+        fixed = clean.correct_outliers(frame, measure(frame, limits)).collect()
+        assert {r["value"] for r in fixed} == {1.0}
+        frame = readings(gaps * 3)
+        filled = clean.impute_mean(frame, measure(frame, limits), by_type=True).collect()
+        assert {r["value"] for r in filled} == {2.0}
+
+
+def test_partitions_are_bounded():
+    from sensorweave.session import MOST_PARTITIONS, partitions_for
+
+    assert partitions_for(10**9, 8) == 8 and partitions_for(10**14, 8) == MOST_PARTITIONS
+
+
+def test_no_local_folder_on_a_cluster():
+    from sensorweave.session import staging_root
+
+    class Away:
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        staging_root(Away)
+
+
+def test_workers_need_no_copy_of_the_package(settings, tmp_path):
+    """Ingest from another working folder, the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from sensorweave.session import build_session
+from sensorweave.schema import Settings
+from sensorweave.plans import jobs
+spark = build_session("away", "local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path / "staging")!r}}})
+result = jobs.ingest(spark, Settings(**{settings.__dict__!r}))
+print("ROWS", result.ledger.count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "ROWS 10" in done.stdout, done.stderr[-2000:]
