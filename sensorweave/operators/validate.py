@@ -73,9 +73,14 @@ def sensor_bounds(df: DataFrame) -> DataFrame:
 
 
 def expected_hours(bounds: DataFrame) -> DataFrame:
-    """Every hour from a sensor's first timestamp up to its last, counted from the first."""
-    series = F.expr("sequence(min_ts, max_ts, INTERVAL '1' HOUR)")
-    return bounds.select(BATCH, "sensor_id", F.explode(series).alias("expected_ts"))
+    """Every hour from a sensor's first timestamp up to its last, counted from the first.
+
+    Stretches of 24 hours are listed first and then taken apart, so that no row holds a long array.
+    """
+    days = bounds.withColumn("_hours", F.expr("timestampdiff(HOUR, min_ts, max_ts)"))
+    days = days.withColumn("_day", F.explode(F.expr("sequence(0L, _hours DIV 24)")))
+    hours = days.withColumn("_hour", F.explode(F.expr("sequence(_day * 24, least(_hours, _day * 24 + 23))")))
+    return hours.select(BATCH, "sensor_id", F.expr("timestampadd(HOUR, CAST(_hour AS INT), min_ts)").alias("expected_ts"))
 
 
 def missing_hours(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,10 +155,16 @@ def validate_files(spark: SparkSession, settings: Settings | None = None) -> Dat
     return report
 
 
-def load(df: DataFrame, path: str, mode: str = "append", files_without_time: DataFrame | None = None) -> None:
-    """Store transformed rows as the analytics dataset, partitioned by day and sensor."""
+def load(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    files_without_time: DataFrame | None = None,
+    partition_by: Sequence[str] = ("date", "sensor_id"),
+) -> None:
+    """Store transformed rows as the analytics dataset, partitioned by day and sensor, or by day alone."""
     rows = tables.prepare_for_load(df, files_without_time).drop("row_index")
-    tables.write_analytics(rows, path, mode)
+    tables.write_analytics(rows, path, mode, partition_by=partition_by)
 
 
 def load_files(spark: SparkSession, settings: Settings | None = None, mode: str = "append") -> bool:

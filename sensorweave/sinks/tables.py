@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,10 +113,18 @@ def prepare_for_load(df: DataFrame, files_without_time: DataFrame | None = None)
 
 
 def write_analytics(
-    df: DataFrame, path: str, mode: str = "append", compression: str = "snappy", max_records: int = 0
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    compression: str = "snappy",
+    max_records: int = 0,
+    partition_by: Sequence[str] = ("date", "sensor_id"),
 ) -> None:
     """Hive partitions by ``date`` and ``sensor_id``.
 
+    With very many sensors, ``partition_by=("date",)`` keeps the number of folders down; files
+    are then sorted by sensor, so that readers of a few sensors skip most of them.
+
     ``append`` adds files on every call; ``replace_partitions`` overwrites the partitions
     present in ``df``. The rebalancing shuffle brings a partition's rows together, while
     adaptive execution splits partitions that are too large for one task and merges
@@ -122,8 +132,11 @@ def write_analytics(
     """
     if mode not in ("append", "replace_partitions"):
         raise ValueError(f"unknown mode: {mode}")
-    writer = df.hint("rebalance", "date", "sensor_id").write.option("compression", compression)
+    rows = df.hint("rebalance", *partition_by)
+    if "sensor_id" not in partition_by:
+        rows = rows.sortWithinPartitions(*partition_by, "sensor_id")
+    writer = rows.write.option("compression", compression)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer = writer.mode("append") if mode == "append" else _partition_overwrite(writer)
-    writer.partitionBy("date", "sensor_id").parquet(path)
+    writer.partitionBy(*partition_by).parquet(path)

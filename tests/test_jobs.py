@@ -362,3 +362,13 @@ print("ROWS", result.ledger.count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "ROWS 10" in done.stdout, done.stderr[-2000:]
+
+
+def test_analytics_by_day_alone(spark, readings, tmp_path):
+    rows = readings([(f"s{n}", f"2025-06-0{1 + n % 3}T10:00:00", "humidity", float(n), 1.0) for n in range(9)])
+    path = str(tmp_path / "by_day")
+    jobs.load(rows, path, partition_by=("date",))
+    assert sorted(p.name for p in Path(path).glob("date=*")) == ["date=2025-06-01", "date=2025-06-02", "date=2025-06-03"]
+    assert not list(Path(path).glob("date=*/sensor_id=*"))
+    back = spark.read.parquet(path)
+    assert back.count() == 9 and back.where("sensor_id = 's4'").first()["value"] == 4.0
