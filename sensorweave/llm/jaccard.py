@@ -10,9 +10,11 @@ Candidates come from prefix filters under several orders of all n-grams and must
 * Two more orders, by other hashes, each give a classical prefix; the prefixes of a pair
   must overlap under both before its sets are compared.
 
-Equal sets are one class from the start. An n-gram in many sets is not paired up: sets are
-compared with a leader of its bucket first, and only members of a bucket that are not
-connected by then are compared with each other, which loses no link between components.
+Equal sets are one class from the start. An n-gram in many sets is not paired up. Who would
+look one up, and whoever has it, meet again with their whole sets: there, what is rare in a
+set settles most of them. What is left has hardly anything of its own, so it is compared
+with leaders first, the sets that are closest to their bucket; and only members of a bucket
+that are not connected by then are compared with each other. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -162,16 +164,30 @@ def _live(own: DataFrame) -> DataFrame:
     return grams.join(counts, "gram")
 
 
+def _live_whole(whole: DataFrame) -> DataFrame:
+    """The same for whole sets."""
+    grams = whole.select("node", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    return grams.join(counts, "gram")
+
+
 def _ceil(a: Column, b: int) -> Column:
     return F.ceil(a / F.lit(b))
 
 
-def _probes(live: DataFrame, how: Similarity) -> DataFrame:
-    """What each class looks up: its rarest n-grams within reach, as far as others have them at all."""
+def _probes(live: DataFrame, how: Similarity, whole: bool = False) -> DataFrame:
+    """What each class looks up: its rarest n-grams within reach, as far as others have them at all.
+
+    Where ``live`` has whole sets, all of a set is within reach.
+    """
     n = F.col("n")
     needed = n - _ceil(2 * how.percent * n, 100 + how.percent) + 1
     reach = F.least(n, F.greatest(_ceil(how.slack * n, 100) + 1, needed))
-    near = live.where(F.col("pos") < reach)
+    near = live
+    if whole:
+        reach = n
+    else:
+        near = live.where(F.col("pos") < reach)
     order = Window.partitionBy("node").orderBy("df", "gram")
     every = Window.partitionBy("node")
     ranked = near.select(
@@ -201,10 +217,17 @@ def _size_class(n: Column, how: Similarity) -> Column:
 
 
 def _led(probes: DataFrame, index: DataFrame, how: Similarity, number: int) -> DataFrame:
-    """Pairs of a class with the leaders of its buckets: one per n-gram and class of sizes."""
-    leader = F.min_by(F.struct("b", "b_n"), F.struct(F.xxhash64("b", F.lit(number)), "b")).alias("l")
-    index = _as(index, "b").withColumn("size", _size_class(F.col("b_n"), how))
-    leaders = index.groupBy("gram", "size").agg(leader).select("gram", "size", "l.b", "l.b_n")
+    """Pairs of a class with the leaders of its buckets: one per n-gram and class of sizes.
+
+    The first leaders are the sets with the largest share of frequent n-grams, which have the
+    least of their own; later ones are drawn by hashes, another one for each n-gram.
+    """
+    own_share = index.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
+    ranked = _as(index, "b").join(own_share.withColumnRenamed("node", "b"), "b")
+    by = F.struct(-F.col("share"), "b") if number == 0 else F.struct(F.xxhash64("b", "gram", F.lit(number)), "b")
+    ranked = ranked.withColumn("size", _size_class(F.col("b_n"), how))
+    leaders = ranked.groupBy("gram", "size").agg(F.min_by(F.struct("b", "b_n"), by).alias("l"))
+    leaders = leaders.select("gram", "size", "l.b", "l.b_n")
     own = _size_class(F.col("a_n"), how)
     asking = _as(probes, "a").withColumn("size", F.explode(F.array(own, own + 1)))
     met = asking.join(leaders, ["gram", "size"])
@@ -236,15 +259,20 @@ class _Verifier:
         self.docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
         self.own, self.how = own.select("node", "id", "digest"), how
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stage(pairs, f"jaccard-pairs-{name}")
-        nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"jaccard-nodes-{name}")
+    def whole(self, nodes: DataFrame, name: str) -> DataFrame:
+        """Whole sets and prefixes of the given classes, from their texts."""
+        nodes = stage(nodes, f"jaccard-nodes-{name}")
         small = nodes.count() <= BROADCAST_ROWS
         known = stage(self.own.join(F.broadcast(nodes) if small else nodes, "node"), f"jaccard-known-{name}")
         ids = known.select("id").distinct()
         texts = self.docs.join(F.broadcast(ids) if small else ids, F.col("_id").eqNullSafe(F.col("id")), "left_semi")
-        whole = _whole_sets(texts, self.how).join(known.select("node", "digest"), "digest").drop("digest")
-        whole = stage(whole.dropDuplicates(["node"]), f"jaccard-sets-{name}")
+        found = _whole_sets(texts, self.how).join(known.select("node", "digest"), "digest").drop("digest")
+        return stage(found.dropDuplicates(["node"]), f"jaccard-whole-{name}")
+
+    def links(self, pairs: DataFrame, name: str, whole: DataFrame | None = None) -> DataFrame:
+        pairs = stage(pairs, f"jaccard-pairs-{name}")
+        if whole is None:
+            whole = self.whole(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), name)
         side = lambda s: whole.select([F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in whole.columns])
         met = pairs.join(side("a"), "a").join(side("b"), "b")
         met = met.where(F.arrays_overlap("a_order1", "b_order1")).where(F.arrays_overlap("a_order2", "b_order2"))
@@ -253,6 +281,32 @@ class _Verifier:
         return stage(met.where(100 * both >= self.how.percent * either).select("a", "b"), f"jaccard-links-{name}")
 
 
+def _rare_pairs(probes: DataFrame, live: DataFrame, how: Similarity) -> DataFrame:
+    """Pairs through n-grams that few sets have."""
+    rare = F.col("df") <= how.bucket
+    return _as(probes.where(rare), "a").join(_as(live.where(rare), "b"), "gram").where(_meets(how))
+
+
+def _frequent_links(often: DataFrame, live: DataFrame, links: DataFrame, verifier: _Verifier, how: Similarity) -> DataFrame:
+    """Links through n-grams that many sets have, among those sets alone; with ``links``, all there are to know."""
+    grams = often.select("gram").distinct()
+    whole = verifier.whole(live.join(grams, "gram", "left_semi").select("node").distinct(), "again")
+    live = stage(_live_whole(whole), "jaccard-live-again")
+    hunters = often.select("node").distinct()
+    probes = stage(_probes(live.join(hunters, "node", "left_semi"), how, whole=True), "jaccard-probes-again")
+    frequent = F.col("df") > how.bucket
+    often, index = probes.where(frequent), live.where(frequent)
+    pairs = _rare_pairs(probes, live, how)
+    pairs = _pairs(pairs)
+    for number in range(how.leaders):
+        pairs = pairs.unionByName(_led(often, index, how, number))
+    links = links.unionByName(verifier.links(pairs.distinct(), "again", whole))
+    if not often.limit(1).count():
+        return links
+    rest = _unconnected(often, index, components(links, "jaccard-roots"), how)
+    return links.unionByName(verifier.links(rest, "rest", whole))
+
+
 def link(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, ``n_shingles``, ``component_id``.
 
@@ -270,24 +324,12 @@ def link(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id"
 
     live = stage(_live(own), "jaccard-live")
     probes = stage(_probes(live, how), "jaccard-probes")
-    frequent = F.col("df") > how.bucket
-    few = _as(probes.where(~frequent), "a").join(_as(live.where(~frequent), "b"), "gram").where(_meets(how))
     verifier = _Verifier(docs, own, how, id_col, text_col)
-    often, index = probes.where(frequent), live.where(frequent)
-    many = bool(often.limit(1).count())
-    pairs = _pairs(few)
-    if many:
-        for number in range(how.leaders):
-            pairs = pairs.unionByName(_led(often, index, how, number))
-        pairs = pairs.distinct()
-    links = verifier.links(pairs, "first")
+    links = verifier.links(_pairs(_rare_pairs(probes, live, how)), "first")
+    often = probes.where(F.col("df") > how.bucket)
+    if often.limit(1).count():
+        links = _frequent_links(often, live, links, verifier, how)
     roots = components(links, "jaccard-roots")
-    if many:
-        rest = stage(_unconnected(often, index, roots, how), "jaccard-rest")
-        rest = rest.join(pairs, ["a", "b"], "left_anti")
-        more = verifier.links(rest, "rest")
-        if more.limit(1).count():
-            roots = components(links.unionByName(more), "jaccard-roots")
     rooted = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     rooted = rooted.select("node", "id", "n", F.coalesce("root", "rep").alias("root"))
     least = rooted.groupBy("root").agg(F.min("id").alias("least"))
