@@ -287,12 +287,27 @@ def _rare_pairs(probes: DataFrame, live: DataFrame, how: Similarity) -> DataFram
     return _as(probes.where(rare), "a").join(_as(live.where(rare), "b"), "gram").where(_meets(how))
 
 
+def _concerned(hunters: DataFrame, live: DataFrame, how: Similarity) -> DataFrame:
+    """The hunters, and whatever may be similar to one: enough of its front must be within reach of hunters.
+
+    Of a hunter's reach, a similar set that is no shorter lacks fewer n-grams than there are
+    probes, and has the others in its front.
+    """
+    n = F.col("n")
+    needed = n - _ceil(2 * how.percent * n, 100 + how.percent) + 1
+    reach = F.least(n, F.greatest(_ceil(how.slack * n, 100) + 1, needed))
+    hunted = live.join(hunters, "node", "left_semi").where(F.col("pos") < reach).select("gram").distinct()
+    shared = live.join(hunted, "gram", "left_semi").groupBy("node").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("shared"))
+    rest = max(0.0, how.slack / 100 - (1 - 2 * how.percent / (100 + how.percent)))
+    least = F.greatest(F.lit(1), F.floor(n * (rest * how.percent / 100)) - 1)
+    return shared.where(F.col("shared") >= least).select("node").unionByName(hunters).distinct()
+
+
 def _frequent_links(often: DataFrame, live: DataFrame, links: DataFrame, verifier: _Verifier, how: Similarity) -> DataFrame:
     """Links through n-grams that many sets have, among those sets alone; with ``links``, all there are to know."""
-    grams = often.select("gram").distinct()
-    whole = verifier.whole(live.join(grams, "gram", "left_semi").select("node").distinct(), "again")
-    live = stage(_live_whole(whole), "jaccard-live-again")
     hunters = often.select("node").distinct()
+    whole = verifier.whole(_concerned(hunters, live, how), "again")
+    live = stage(_live_whole(whole), "jaccard-live-again")
     probes = stage(_probes(live.join(hunters, "node", "left_semi"), how, whole=True), "jaccard-probes-again")
     frequent = F.col("df") > how.bucket
     often, index = probes.where(frequent), live.where(frequent)
