@@ -78,18 +78,30 @@ class PieceModel:
             return [found]
         return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
 
-    def _merge(self, text: str) -> list[str]:
-        """Merge neighbours, the pair of the best score first and of equals the leftmost."""
-        parts, ids, scores = list(text), self.ids, self.scores
+    def stays_apart(self, left: str, right: str) -> bool:
+        """Whether merging neighbours, the best score first and of equals the leftmost, ends in these two pieces.
+
+        A merge across their border settles that it does not.
+        """
+        parts, border, ids, scores = [*left, *right], len(left), self.ids, self.scores
+        prices = [scores.get(ids.get(parts[k] + parts[k + 1])) for k in range(len(parts) - 1)]
         while True:
             best, at = None, -1
-            for k in range(len(parts) - 1):
-                i = ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or scores[i] > best):
-                    best, at = scores[i], k
+            for k, price in enumerate(prices):
+                if price is not None and (best is None or price > best):
+                    best, at = price, k
             if at < 0:
-                return parts
+                return parts == ([left, right] if left else [right])
+            if at == border - 1:
+                return False
+            if at < border:
+                border -= 1
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del prices[at]
+            if at:
+                prices[at - 1] = scores.get(ids.get(parts[at - 1] + parts[at]))
+            if at < len(prices):
+                prices[at] = scores.get(ids.get(parts[at] + parts[at + 1]))
 
 
 class Pairs(dict):
@@ -103,7 +115,7 @@ class Pairs(dict):
         if len(self) > 1_000_000:
             self.clear()
         left, right = pair
-        found = self[pair] = self.model._merge(left + right) == ([left, right] if left else [right])
+        found = self[pair] = self.model.stays_apart(left, right)
         return found
 
 
@@ -196,15 +208,17 @@ def encode(model: PieceModel, text: str) -> list[int]:
     return out + stream.finish()
 
 
-def prefix_counts(model: PieceModel, marked: str) -> np.ndarray:
+def prefix_counts(model: PieceModel, marked: str) -> list[int]:
     """Tokens of the encoding of each non-empty prefix, by dynamic programming over back-pointers."""
     stream, counts = Stream(model), [0]
     stream.text = marked
     stream._grow()
+    ids, back = model.ids, stream.back
     for end in range(1, len(marked) + 1):
-        start = stream.back[end]
-        counts.append(counts[start] + (1 if marked[start:end] in model.ids else len(model.ids_of(marked[start:end]))))
-    return np.array(counts[1:], np.int32)
+        start = back[end]
+        piece = marked[start:end]
+        counts.append(counts[start] + (1 if piece in ids else len(model.ids_of(piece))))
+    return counts[1:]
 
 
 class Remembered(dict):

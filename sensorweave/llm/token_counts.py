@@ -22,7 +22,7 @@ class Counter:
     def __init__(self, path: str):
         self.model = PieceModel(path)
         self.parts = Remembered(lambda part: prefix_counts(self.model, part))
-        self.totals = Remembered(lambda chunk: sum(int(self.parts[p][-1]) for p in self.model.split(chunk)))
+        self.totals = Remembered(lambda chunk: sum([self.parts[p][-1] for p in self.model.split(chunk)]))
 
     def trim(self) -> None:
         self.parts.trim()
@@ -36,7 +36,7 @@ class Counter:
         parts, before = [], 0
         for chunk in self.model.chunks(self.model.marked(text)):
             for part in self.model.split(chunk):
-                parts.append(self.parts[part] + before)
+                parts.append(np.array(self.parts[part], np.int32) + before)
                 before = int(parts[-1][-1])
         counts = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         if self.model.dummy and text:
