@@ -10,6 +10,7 @@ such pairs give the library's ids without replaying merges over the whole text.
 from __future__ import annotations
 
 import re
+from operator import add
 
 import numpy as np
 
@@ -68,7 +69,8 @@ class PieceModel:
 
     def split(self, chunk: str) -> list[str]:
         """Parts of a chunk between neighbours that stand side by side in no piece."""
-        cuts = [k for k in range(1, len(chunk)) if chunk[k - 1 : k + 1] not in self.inner]
+        inner = self.inner
+        cuts = [k for k, pair in enumerate(map(add, chunk, chunk[1:]), 1) if pair not in inner]
         return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)])] if cuts else [chunk]
 
     def ids_of(self, piece: str) -> list[int]:
@@ -208,17 +210,27 @@ def encode(model: PieceModel, text: str) -> list[int]:
     return out + stream.finish()
 
 
-def prefix_counts(model: PieceModel, marked: str) -> list[int]:
-    """Tokens of the encoding of each non-empty prefix, by dynamic programming over back-pointers."""
-    stream, counts = Stream(model), [0]
-    stream.text = marked
-    stream._grow()
-    ids, back = model.ids, stream.back
-    for end in range(1, len(marked) + 1):
-        start = back[end]
-        piece = marked[start:end]
-        counts.append(counts[start] + (1 if piece in ids else len(model.ids_of(piece))))
-    return counts[1:]
+def prefix_counts(model: PieceModel, parts: list[str]):
+    """Of each (marked) part, the tokens of the encoding of each non-empty prefix; by dynamic programming.
+
+    What was worked out for a prefix holds for every part that begins with it, so sorted parts
+    are cheapest: each goes on where it differs from the one before.
+    """
+    stream, counts, ids = Stream(model), [0], model.ids
+    back = stream.back
+    for part in parts:
+        same, before = 0, stream.text
+        most = min(len(part), len(before))
+        while same < most and part[same] == before[same]:
+            same += 1
+        del back[same + 1 :], stream.ends[same + 1 :], stream.cost[same + 1 :], counts[same + 1 :]
+        stream.text = part
+        stream._grow()
+        for end in range(same + 1, len(part) + 1):
+            start = back[end]
+            piece = part[start:end]
+            counts.append(counts[start] + (1 if piece in ids else len(model.ids_of(piece))))
+        yield counts[1:]
 
 
 class Remembered(dict):

@@ -12,33 +12,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.pieces import PieceModel, Remembered, prefix_counts
+from sensorweave.llm.pieces import PieceModel, prefix_counts
 from sensorweave.llm.words import slices
 
 
 class Counter:
     """Prefix counts of the texts of one task; those of a word are worked out once."""
 
-    def __init__(self, path: str):
-        self.model = PieceModel(path)
-        self.parts = Remembered(lambda part: prefix_counts(self.model, part))
-        self.totals = Remembered(lambda chunk: sum([self.parts[p][-1] for p in self.model.split(chunk)]))
-
-    def trim(self) -> None:
-        self.parts.trim()
-        self.totals.trim()
-
-    def total(self, text: str) -> int:
-        return sum(map(self.totals.__getitem__, self.model.chunks(self.model.marked(text))))
+    def __init__(self, path: str, most: int = 400_000):
+        self.model, self.most = PieceModel(path), most
+        self.parts: dict[str, list[int]] = {}
+        self.totals: dict[str, int] = {}
+
+    def words(self, texts: list[str]) -> list[list[str]]:
+        """The words of texts, after working out those that are new. What is known is bounded."""
+        model = self.model
+        if len(self.parts) > self.most or len(self.totals) > self.most:
+            self.parts, self.totals = {}, {}
+        found = [model.chunks(model.marked(t)) for t in texts]
+        fresh = {word: model.split(word) for word in set().union(*found) - self.totals.keys()}
+        parts = sorted({p for own in fresh.values() for p in own} - self.parts.keys())
+        self.parts.update(zip(parts, prefix_counts(model, parts)))
+        for word, own in fresh.items():
+            self.totals[word] = sum([self.parts[p][-1] for p in own])
+        return found
+
+    def totals_of(self, texts: list[str]) -> list[int]:
+        return [sum(map(self.totals.__getitem__, words)) for words in self.words(texts)]
 
     def counts(self, text: str) -> np.ndarray:
         """Element k is the count of the first k characters."""
-        parts, before = [], 0
-        for chunk in self.model.chunks(self.model.marked(text)):
-            for part in self.model.split(chunk):
-                parts.append(np.array(self.parts[part], np.int32) + before)
-                before = int(parts[-1][-1])
-        counts = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        counted, before = [], 0
+        for word in self.words([text])[0]:
+            for part in self.model.split(word):
+                counted.append(np.array(self.parts[part], np.int32) + before)
+                before = int(counted[-1][-1])
+        counts = np.concatenate(counted) if counted else np.zeros(0, np.int32)
         if self.model.dummy and text:
             counts = counts[1:]
         return np.concatenate([np.zeros(1, np.int32), counts])
@@ -60,7 +69,6 @@ def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
 
         counter = Counter(path)
         for batch in slices(batches):
-            counter.trim()
             texts = [t or "" for t in batch["_text"].to_pylist()]
             counts = [counter.counts(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -102,9 +110,8 @@ def count(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_c
 
         counter = Counter(path)
         for batch in slices(batches):
-            counter.trim()
             texts = [t or "" for t in batch["_text"].to_pylist()]
-            totals = [counter.total(t) for t in texts]
+            totals = counter.totals_of(texts)
             fits = [
                 len(t) if n <= limit else int(np.flatnonzero(counter.counts(t) <= limit)[-1]) for t, n in zip(texts, totals)
             ]

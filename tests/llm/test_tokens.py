@@ -47,7 +47,7 @@ def test_counts_of_all_prefixes(library):
     counter = token_counts.Counter(PIECES)
     for text in random_texts(60):
         assert counter.counts(text).tolist() == [len(library.encode(text[:k])) for k in range(len(text) + 1)]
-        assert counter.total(text) == len(library.encode(text))
+        assert counter.totals_of([text, text]) == [len(library.encode(text))] * 2
 
 
 def test_window_is_bounded(model):
