@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.pieces import PieceModel, decode, encoder
+from sensorweave.llm.pieces import Encoder, PieceModel, decode
 from sensorweave.llm.words import slices
 
 
@@ -19,11 +19,11 @@ def encode_column(docs: DataFrame, path: str, text_col: str = "text", out: str =
     def run(batches):
         import pyarrow as pa
 
-        memory, encode = encoder(PieceModel(path))
+        encoder = Encoder(PieceModel(path))
         for batch in slices(batches, text_col):
-            memory.trim()
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            ids = [None if t is None else np.frombuffer(encode(t), "<u4").astype(np.int32) for t in texts]
+            coded = encoder.of([t or "" for t in texts])
+            ids = [None if t is None else np.frombuffer(c, "<u4").astype(np.int32) for t, c in zip(texts, coded)]
             yield batch.append_column(out, pa.array(ids, pa.list_(pa.int32())))
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
@@ -53,11 +53,10 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         import pyarrow as pa
 
         model = PieceModel(path)
-        memory, encode = encoder(model)
+        encoder = Encoder(model)
         for batch in slices(batches):
-            memory.trim()
             texts = [t or "" for t in batch["_text"].to_pylist()]
-            coded = [encode(t) for t in texts]
+            coded = encoder.of(texts)
             same = [decode(model, np.frombuffer(c, "<u4").tolist()) == t for c, t in zip(coded, texts)]
             yield pa.RecordBatch.from_arrays(
                 [

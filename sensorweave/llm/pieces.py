@@ -181,14 +181,18 @@ class Stream:
             alive.add(self.back[last])
         return self._commit(alive.pop())
 
+    def path(self, end: int) -> list[int]:
+        """The ids on the best path from the start of the window to a place."""
+        pieces = []
+        while end:
+            pieces.append(self._piece(end))
+            end = self.back[end]
+        return [i for piece in reversed(pieces) for i in self.model.ids_of(piece)]
+
     def _commit(self, boundary: int) -> list[int]:
         if not boundary:
             return []
-        ends, at = [], boundary
-        while at:
-            ends.append(at)
-            at = self.back[at]
-        out = [i for end in reversed(ends) for i in self.model.ids_of(self._piece(end))]
+        out = self.path(boundary)
         self.ends = self.ends[boundary:]
         self.text = self.text[boundary:]
         self.back = [max(0, b - boundary) for b in self.back[boundary:]]
@@ -251,25 +255,48 @@ class Remembered(dict):
             self.clear()
 
 
-def encoder(model: PieceModel) -> tuple[Remembered, object]:
-    """The memory of chunks, and a function that gives the ids of a text as little-endian 32-bit bytes.
+def encoded_parts(model: PieceModel, parts: list[str]):
+    """Ids of each (marked) part as little-endian 32-bit bytes.
 
-    All paths meet between the parts of a chunk, so the ids of a part are final at its end.
+    Long parts stream through a window. Of short ones, which fit into it, each goes on where it
+    differs from the one before, so sorted parts are cheapest; at their end all paths meet.
     """
-    parts = Remembered(lambda part: np.array(_part_ids(model, part), "<u4").tobytes())
-
-    def whole(chunk):
-        parts.trim()
-        return b"".join([parts[p] for p in model.split(chunk)])
-
-    memory = Remembered(whole)
-    return memory, lambda text: b"".join(map(memory.__getitem__, model.chunks(model.marked(text))))
-
-
-def _part_ids(model: PieceModel, part: str) -> list[int]:
     stream = Stream(model)
-    out = stream.feed(part)
-    return out + stream.finish()
+    for part in parts:
+        if len(part) > LONGEST_REMEMBERED:
+            own = Stream(model)
+            ids = own.feed(part)
+            yield np.array(ids + own.finish(), "<u4").tobytes()
+            continue
+        same, before = 0, stream.text
+        most = min(len(part), len(before))
+        while same < most and part[same] == before[same]:
+            same += 1
+        del stream.back[same + 1 :], stream.ends[same + 1 :], stream.cost[same + 1 :]
+        stream.text = part
+        stream._grow()
+        yield np.array(stream.path(len(part)), "<u4").tobytes()
+
+
+class Encoder:
+    """Ids of the texts of one task; those of a word are worked out once. What is known is bounded."""
+
+    def __init__(self, model: PieceModel, most: int = 400_000):
+        self.model, self.most = model, most
+        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        model = self.model
+        if len(self.parts) > self.most or len(self.known) > self.most:
+            self.parts, self.known = {}, {}
+        found = [model.chunks(model.marked(t)) for t in texts]
+        fresh = {word: model.split(word) for word in set().union(*found) - self.known.keys()}
+        parts = sorted({p for own in fresh.values() for p in own} - self.parts.keys())
+        self.parts.update(zip(parts, encoded_parts(model, parts)))
+        for word, own in fresh.items():
+            self.known[word] = b"".join([self.parts[p] for p in own])
+        return [b"".join(map(self.known.__getitem__, words)) for words in found]
 
 
 def decode(model: PieceModel, ids) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sensorweave.llm import catalog, encoding, packing, token_counts
-from sensorweave.llm.pieces import PieceModel, Stream, decode, encode, encoder
+from sensorweave.llm.pieces import Encoder, PieceModel, Stream, decode, encode
 
 FOLDER = "/root/testdata/sf0.001"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -35,11 +35,11 @@ def random_texts(count, letters="abcdethionsr   ▁<s>éß中\n\t0123'."):
 
 
 def test_ids_are_those_of_the_library(model, library):
-    memory, fast = encoder(model)
+    fast = Encoder(model)
     for text in random_texts(300) + [t for t in ODD if t]:
         ids = library.encode(text)
         assert encode(model, text) == ids
-        assert np.frombuffer(fast(text), "<u4").tolist() == ids
+        assert np.frombuffer(fast.of([text])[0], "<u4").tolist() == ids
         assert decode(model, ids) == library.decode(ids)
 
 
