@@ -29,7 +29,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum("b"), F.bit_xor(F.xxhash64("a", "b"))).first())
+    """What tells two rounds apart. Node numbers may be near 2**63, so they are added up as decimals."""
+    total = F.sum(F.col("b").cast("decimal(38,0)"))
+    return tuple(edges.agg(F.count("*"), total, F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

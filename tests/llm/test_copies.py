@@ -117,6 +117,15 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_large_node_numbers(spark):
+    """Sums of node numbers do not fit into 64 bits."""
+    top = 1 << 62
+    edges = [(top + k, top + k + 1) for k in range(8)] + [(top + 100, top + 200), ((1 << 63) - 1, (1 << 63) - 2)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    expected = {top + k: top for k in range(9)} | {top + 100: top + 100, top + 200: top + 100}
+    assert found == expected | {(1 << 63) - 1: (1 << 63) - 2, (1 << 63) - 2: (1 << 63) - 2}
+
+
 def test_exact_query_against_sql(spark):
     found = catalog.op4_exact_dedup(spark, FOLDER)
     assert difference(found, connect(FOLDER), catalog.SQL["op4_exact_dedup"]) is None
