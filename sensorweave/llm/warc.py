@@ -1,11 +1,16 @@
 """Derived WARC records: from responses to linked metadata and plain-text conversion records.
 
-DataFrame functions only. A derived record names the response it comes from, repeats that
+DataFrame functions, but for character references, which Python's table resolves. A derived record names the response it comes from, repeats that
 response's address and date, and carries its payload digest.
 """
 
 from __future__ import annotations
 
+import html as markup_of
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +20,32 @@ CRLF = "\r\n"
 HIDDEN = r"(?is)<!--.*?-->|<(?:script|style|template|noscript)\b[^>]*>.*?</(?:script|style|template|noscript)\s*>"
 BREAKING = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|body|head|html|blockquote|pre|hr|td|th|form|main|aside)\b[^>]*>"
 ANY_TAG = r"<[^>]*>"
+# The references that the SQL of oracle() resolves; derive() resolves all.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
 
+# A reference in text: decimal, hexadecimal or named, the closing mark optional as in HTML.
+REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{1,31};?)")
+
+
+# White space breaks no line in HTML, nor does it when written as a reference.
+BLANKS = str.maketrans("\xa0\t\n\f\r", " " * 5)
+
+
+def resolve(text: str) -> str:
+    """``text`` with each character reference of HTML resolved once, so ``&amp;lt;`` gives ``&lt;``."""
+    return REFERENCE.sub(lambda r: markup_of.unescape(r.group()).translate(BLANKS), text) if "&" in text else text
+
+
+def _resolved(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield batch.map(resolve, na_action="ignore")
+
+
 def _plain(markup: Column) -> Column:
-    """Entities resolved, blanks collapsed within lines, empty lines gone."""
-    for entity, char in ENTITIES:
-        markup = F.replace(markup, F.lit(entity), F.lit(char))
+    """Character references resolved, blanks collapsed within lines, empty lines gone."""
+    markup = F.pandas_udf(_resolved, "string", F.PandasUDFType.SCALAR_ITER)(markup)
     markup = F.regexp_replace(markup, r"[\x20\x09\x0B-\x0D]+", " ")
     return F.regexp_replace(F.regexp_replace(markup, r" ?\n[ \n]*", "\n"), r"\A[ \n]+|[ \n]+\z", "")
 

@@ -1,5 +1,6 @@
 """WARC derivatives, licence scans, chat repair and the pipeline."""
 
+import hashlib
 import itertools
 import random
 
@@ -40,6 +41,29 @@ def test_derived_records(spark):
     assert warc.derive(warc.responses(pages.limit(0), "d")).count() == 0
 
 
+def test_character_references(spark):
+    """Each against the character that HTML gives it, in text and title."""
+    cases = {
+        "&copy; 2024 &middot; x": "\u00a9 2024 \u00b7 x",
+        "caf&eacute; &mdash; it&#8217;s &#x2019;&#X2019;": "caf\u00e9 \u2014 it\u2019s \u2019\u2019",
+        "&amp;lt; &amp;amp;copy; &lt;b&gt;": "&lt; &amp;copy; <b>",
+        "a&nbsp;b&#160;&#10;&Tab;&NewLine;&nbspc": "a b c",
+        "&euro;&#128; &#0;&#xD800;&#x110000; &copy x": "\u20ac\u20ac \ufffd\ufffd\ufffd \u00a9 x",
+        "AT&T & co &unknown; &;&#;&#x;": "AT&T & co &unknown; &;&#;&#x;",
+        "&#x1F600;&NotEqualTilde;&#39;&quot;": "\U0001f600\u2242\u0338'\"",
+    }
+    rows = [(k, "u", f"<title>{t}</title><p>{t}</p>") for k, t in enumerate(cases)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for record in warc.derive(warc.responses(pages, "2020-01-01T00:00:00Z")).collect():
+        text = list(cases.values())[record["page_id"]]
+        if record["warc_type"] == "conversion":
+            assert record["block"] == f"{text}\n{text}"
+            assert record["block_digest"] == "sha256:" + hashlib.sha256(record["block"].encode()).hexdigest()
+            assert record["content_length"] == len(record["block"].encode())
+        else:
+            assert f"title: {text}\r\n" in record["block"] and f"text-characters: {2 * len(text) + 1}\r\n" in record["block"]
+
+
 def test_rendered_records_can_be_read(spark):
     pages = spark.createDataFrame([(1, "http://a/", HTML), (2, "http://b/", None)], "page_id long, url string, html string")
     records = warc.derive(warc.responses(pages, "2020-01-01T00:00:00Z"))
