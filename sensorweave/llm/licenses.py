@@ -1,7 +1,8 @@
 """Licences recognised by their sentences.
 
-A text becomes a sequence of known licence sentences; ordered rules over that sequence
-name the licences. All of it happens within a row, without a shuffle or Python.
+A text becomes a sequence of known licence sentences, found also inside longer ones and across
+the line breaks and comment marks of wrapped texts; ordered rules over that sequence name the
+licences. All of it happens within a row, without a shuffle or Python.
 """
 
 from __future__ import annotations
@@ -63,10 +64,26 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), BREAK, -1), plain), lambda s: s != "")
 
 
-def sentence_ids(found: Column) -> Column:
-    """Ids of the known ones among sentences, in order."""
+# What comment marks, boxes and quotes put before a line.
+MARKS = r"(?m)^[\x20\x09#/*;%!<>|'\"-]*+(?:(?:\.\\\"|(?i:rem|dnl)(?=[\x20\x09]|$))[\x20\x09#/*;%!<>|'\"-]*+)?"
+
+# In running text a line break is a blank; sentences end at empty lines and at marks. A colon or
+# semicolon ends none, as a known sentence may have one inside ("free software: you can").
+END = r"[.!?]+(?=[\x20\x09-\x0D]|\z)|\n[\x20\x09]*(?=\n)"
+
+
+def running(text: Column) -> Column:
+    """The text without comment marks and line breaks, normalised, ``|`` at the ends of sentences."""
+    lines = F.regexp_replace(F.coalesce(text, F.lit("")), r"\r+\n", "\n")
+    ended = F.regexp_replace(F.regexp_replace(lines, MARKS, ""), r"\|", " ")
+    return F.lower(F.regexp_replace(F.regexp_replace(ended, END, "|"), "[^A-Za-z0-9|]+", " "))
+
+
+def sentence_ids(text: Column) -> Column:
+    """Ids of the known sentences in a text, in order, each wherever it stands inside a sentence."""
     known = F.create_map(*[F.lit(x) for name, words in SENTENCES.items() for x in (words, name)])
-    return F.filter(F.transform(found, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    any_of = "(?<![a-z0-9])(?=(" + "|".join(SENTENCES.values()) + ")(?![a-z0-9]))"
+    return F.transform(F.regexp_extract_all(running(text), F.lit(any_of), F.lit(1)), lambda s: F.element_at(known, s))
 
 
 def pattern(ids: list[str]) -> str:
@@ -99,13 +116,14 @@ def _any(conditions: list[Column]) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_sentences``, ``sentence_ids`` and ``licenses`` (arrays of names).
 
-    Null and empty texts have no sentences and no licences. Rows are scanned one by one.
+    ``n_sentences`` counts a line end as the end of a sentence; known sentences are found in
+    wrapped texts and inside longer sentences, too. Null and empty texts have no sentences and
+    no licences. Rows are scanned one by one.
     """
-    return (
-        docs.select(F.col(id_col), sentences(F.col(text_col)).alias("_s"))
-        .select(id_col, F.size("_s").cast("long").alias("n_sentences"), sentence_ids(F.col("_s")).alias("sentence_ids"))
-        .select(id_col, "n_sentences", "sentence_ids", licenses(F.col("sentence_ids")).alias("licenses"))
-    )
+    counted = F.size(sentences(F.col(text_col))).cast("long")
+    return docs.select(
+        F.col(id_col), counted.alias("n_sentences"), sentence_ids(F.col(text_col)).alias("sentence_ids")
+    ).select(id_col, "n_sentences", "sentence_ids", licenses(F.col("sentence_ids")).alias("licenses"))
 
 
 def oracle() -> str:

@@ -93,6 +93,93 @@ def test_licenses(spark, text, names):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+WRAPPED = {
+    "MIT": """\
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY.""",
+    "ISC": """\
+Copyright (c) 2020, A Person
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "BSD-3-Clause": """\
+Copyright (c) 2020, A Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "GPL-3.0": """\
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "Apache-2.0": """\
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+}
+
+
+def test_wrapped_licences_behind_comment_marks(spark):
+    marks = ["", "# ", "// ", " * ", "-- ", "; ", "! ", "% ", "rem ", "dnl ", "> ", '.\\" ']
+    cases = [(name, m, end) for name in WRAPPED for m in marks for end in ("\n", "\r\n")]
+    texts = [end.join(m + line for line in WRAPPED[name].split("\n")) for name, m, end in cases]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    by = {r["doc_id"]: r["licenses"] for r in found.collect()}
+    assert {case: by[k] for k, case in enumerate(cases)} == {case: [case[0]] for case in cases}
+
+
+def test_known_sentences_inside_longer_ones(spark):
+    cases = {
+        "This project is licensed under the Apache License, Version 2.0": ["Apache-2.0"],
+        "The tool is released under the\nMIT License; see the file": ["MIT"],
+        "It is unreleased under the MIT License": [],
+        "It was released.\nUnder the MIT License, or": [],
+        "It was released under\n\nthe MIT License": [],
+        "#" * 100_000 + "\n" + "/" * 100_000 + " released under the MIT License": ["MIT"],
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    found = {r["doc_id"]: r["licenses"] for r in licenses.scan(rows).collect()}
+    assert [found[i] for i in range(len(cases))] == list(cases.values())
+    for a, b in itertools.permutations(licenses.SENTENCES.values(), 2):
+        assert not f"{a} ".startswith(f"{b} ")  # at most one starts at a place
+
+
 def test_rules_need_their_order(spark):
     grant, source, binary, names = (licenses.SENTENCES[f"bsd-{k}"] for k in ("grant", "source", "binary", "names"))
     cases = {
