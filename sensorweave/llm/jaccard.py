@@ -212,6 +212,19 @@ def _as(df: DataFrame, side: str) -> DataFrame:
     return df.select("gram", F.col("node").alias(side), F.col("n").alias(f"{side}_n"))
 
 
+# Members of a bucket that one block holds about, where all of them are paired up.
+BLOCK = 1024
+
+
+def _all_pairs(probes: DataFrame, index: DataFrame, how: Similarity) -> DataFrame:
+    """Pairs through n-grams of any frequency: buckets are cut on both sides, each key pairs two blocks."""
+    blocks = F.ceil(F.col("df") / F.lit(BLOCK)).cast("int")
+    own, others = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    asking = probes.select("gram", F.col("node").alias("a"), F.col("n").alias("a_n"), own.alias("_a"), others.alias("_b"))
+    asked = index.select("gram", F.col("node").alias("b"), F.col("n").alias("b_n"), own.alias("_b"), others.alias("_a"))
+    return _pairs(asking.join(asked, ["gram", "_a", "_b"]).where(_meets(how)))
+
+
 def _size_class(n: Column, how: Similarity) -> Column:
     return F.floor(F.log(n.cast("double")) / float(-np.log(how.percent / 100))).cast("int")
 
@@ -303,8 +316,13 @@ def _concerned(hunters: DataFrame, live: DataFrame, how: Similarity) -> DataFram
     return shared.where(F.col("shared") >= least).select("node").unionByName(hunters).distinct()
 
 
-def _frequent_links(often: DataFrame, live: DataFrame, links: DataFrame, verifier: _Verifier, how: Similarity) -> DataFrame:
-    """Links through n-grams that many sets have, among those sets alone; with ``links``, all there are to know."""
+def _frequent_links(
+    often: DataFrame, live: DataFrame, links: DataFrame, verifier: _Verifier, how: Similarity, every: bool
+) -> DataFrame:
+    """Links through n-grams that many sets have, among those sets alone; with ``links``, all that components need.
+
+    With ``every``, all there are.
+    """
     hunters = often.select("node").distinct()
     whole = verifier.whole(_concerned(hunters, live, how), "again")
     live = stage(_live_whole(whole), "jaccard-live-again")
@@ -313,6 +331,9 @@ def _frequent_links(often: DataFrame, live: DataFrame, links: DataFrame, verifie
     often, index = probes.where(frequent), live.where(frequent)
     pairs = _rare_pairs(probes, live, how)
     pairs = _pairs(pairs)
+    if every:
+        pairs = pairs.unionByName(_all_pairs(often, index, how))
+        return links.unionByName(verifier.links(pairs.distinct(), "again", whole)).distinct()
     for number in range(how.leaders):
         pairs = pairs.unionByName(_led(often, index, how, number))
     links = links.unionByName(verifier.links(pairs.distinct(), "again", whole))
@@ -322,14 +343,8 @@ def _frequent_links(often: DataFrame, live: DataFrame, links: DataFrame, verifie
     return links.unionByName(verifier.links(rest, "rest", whole))
 
 
-def link(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, ``n_shingles``, ``component_id``.
-
-    The latter is the smallest id that can be reached by links. A text without words (null,
-    empty) has no n-grams and is linked with nothing: its component is its own id. Rows with
-    equal sets are linked. A null id is no id: its row may connect others, and gets the
-    smallest id of its component. Other columns do not matter.
-    """
+def _linked(docs: DataFrame, how: Similarity, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows; those with n-grams and ``rep``, the class of equal sets; links between classes, with ``every`` all."""
     found = stage(sets(docs, how, id_col, text_col), "jaccard-sets")
     slim = found.select("node", "id", "n", "digest").where("n > 0")
     classes = slim.groupBy("digest").agg(F.min("node").alias("rep"))
@@ -343,7 +358,19 @@ def link(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id"
     links = verifier.links(_pairs(_rare_pairs(probes, live, how)), "first")
     often = probes.where(F.col("df") > how.bucket)
     if often.limit(1).count():
-        links = _frequent_links(often, live, links, verifier, how)
+        links = _frequent_links(often, live, links, verifier, how, every)
+    return found, members, links
+
+
+def link(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: id, ``n_shingles``, ``component_id``.
+
+    The latter is the smallest id that can be reached by links. A text without words (null,
+    empty) has no n-grams and is linked with nothing: its component is its own id. Rows with
+    equal sets are linked. A null id is no id: its row may connect others, and gets the
+    smallest id of its component. Other columns do not matter.
+    """
+    found, members, links = _linked(docs, how, id_col, text_col, every=False)
     roots = components(links, "jaccard-roots")
     rooted = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     rooted = rooted.select("node", "id", "n", F.coalesce("root", "rep").alias("root"))
@@ -355,6 +382,35 @@ def link(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id"
     )
 
 
+def pairs(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The join itself: each two different sets that are similar, once.
+
+    Rows with equal sets are one class. ``a`` and ``b`` are the smallest ids of two classes, the
+    smaller one first, ``a_rows`` and ``b_rows`` their numbers of rows. A class without any id
+    has null. The result, and the work, grow with the square of a group of similar sets.
+    """
+    _, members, links = _linked(docs, how, id_col, text_col, every=True)
+    classes = stage(members.groupBy("rep").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows")), "jaccard-reps")
+    side = lambda s: classes.select(F.col("rep").alias(s), F.struct("id", "rows").alias(f"_{s}"))
+    both = F.sort_array(F.array("_a", "_b"))
+    met = links.join(side("a"), "a").join(side("b"), "b").select(both.alias("_p"))
+    first, second = F.col("_p")[0], F.col("_p")[1]
+    return met.select(first["id"].alias("a"), second["id"].alias("b"), first["rows"].alias("a_rows"), second["rows"].alias("b_rows"))
+
+
+def link_counts(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: id and ``n_links``, the number of other rows that are similar to it, equal sets included."""
+    found, members, links = _linked(docs, how, id_col, text_col, every=True)
+    classes = stage(members.groupBy("rep").agg(F.count(F.lit(1)).alias("rows")), "jaccard-reps")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(classes.withColumnRenamed("rep", "b"), "b").groupBy("a").agg(F.sum("rows").alias("others"))
+    counts = classes.join(others, F.col("rep") == F.col("a"), "left")
+    counts = counts.select("rep", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    counted = members.join(counts, "rep").select("id", "n_links")
+    empty = found.where("n = 0").select("id", F.lit(0).cast("long").alias("n_links"))
+    return counted.unionByName(empty).select(F.col("id").alias(id_col), "n_links")
+
+
 def keep_one(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not linked to a row with a smaller id, with their columns as they are.
 

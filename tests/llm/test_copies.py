@@ -1,5 +1,6 @@
 """Exact dedup and the n-gram Jaccard join, against brute force."""
 
+import itertools
 import random
 import re
 import uuid
@@ -81,6 +82,31 @@ def test_links_against_all_pairs(spark, how):
     assert result(jaccard.link(docs, how)) == linked(rows, how.words, how.percent)
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_every_link_is_listed(spark, monkeypatch, block):
+    """Pairs of different sets and links per row, where most n-grams are in more sets than a bucket."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    how = jaccard.Similarity(words=4, percent=60, bucket=2)
+    rows = corpus(11)
+    docs = spark.createDataFrame([(i, t, "x", 7) for i, t in rows], SCHEMA)
+    classes = {}
+    for i, t in rows:
+        classes.setdefault(frozenset(shingles(t, how.words)), []).append(i)
+    links = []
+    for a, b in itertools.combinations([c for c in classes if c], 2):
+        if len(a & b) and 100 * len(a & b) >= how.percent * len(a | b):
+            links.append(tuple(sorted((a, b), key=lambda c: min(classes[c]))))
+    expected = sorted((min(classes[a]), min(classes[b]), len(classes[a]), len(classes[b])) for a, b in links)
+    assert sorted(tuple(r) for r in jaccard.pairs(docs, how).collect()) == expected and len(expected) > 500
+    counts = {i: len(ids) - 1 if c else 0 for c, ids in classes.items() for i in ids}
+    for a, b in links:
+        for one, other in ((a, b), (b, a)):
+            for i in classes[one]:
+                counts[i] += len(classes[other])
+    assert {r["doc_id"]: r["n_links"] for r in jaccard.link_counts(docs, how).collect()} == counts
+    assert jaccard.pairs(docs.limit(0)).count() == 0 and jaccard.link_counts(docs.limit(0)).count() == 0
+
+
 def test_query_against_all_pairs(spark):
     rows = [(r["doc_id"], r["text"]) for r in catalog.table(spark, FOLDER, "documents").collect()]
     assert result(catalog.op2_ngram_jaccard(spark, FOLDER)) == linked(rows, 4, 85)
