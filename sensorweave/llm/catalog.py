@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import chat, dedup, encoding, jaccard, licenses, packing, quality, token_counts, toxicity, warc
+from sensorweave.llm import (
+    chat,
+    dedup,
+    encoding,
+    jaccard,
+    licenses,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +83,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
 
 
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.link(table(spark, folder, "documents"), words=3, bits=2)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in [
@@ -84,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op8_chat_repair,
         op9_license_scan,
         op10_packing,
+        op13_simhash,
     ]
 }
 
