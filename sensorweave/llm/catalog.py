@@ -12,8 +12,10 @@ from sensorweave.llm import (
     chat,
     dedup,
     encoding,
+    importance,
     jaccard,
     licenses,
+    merkle,
     packing,
     quality,
     simhash,
@@ -32,6 +34,9 @@ MOST_TOKENS = 4096
 # The table of pages has no time of fetching; records bear this one.
 FETCHED = "2024-01-01T00:00:00Z"
 
+# Windows of one word in 10,000 buckets; a tenth of the documents of 20 words or more is drawn.
+DRAW = importance.Draw(longest=1, buckets=10_000, percent=10, least_words=20, seed=2024)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -83,6 +88,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return merkle.manifest(docs, seen={"text": merkle.case_tampered("doc_id", "text")})
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return importance.resample(docs, target, DRAW).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.link(table(spark, folder, "documents"), words=3, bits=2)
 
@@ -100,6 +115,8 @@ QUERIES: dict[str, Query] = {
         op8_chat_repair,
         op9_license_scan,
         op10_packing,
+        op11_merkle_manifest,
+        op12_importance_resampling,
         op13_simhash,
     ]
 }
@@ -118,4 +135,6 @@ SQL: dict[str, str] = {
     """,
     "op5_warc_derivatives": warc.oracle(FETCHED),
     "op9_license_scan": licenses.oracle(),
+    "op11_merkle_manifest": merkle.oracle(),
+    "op12_importance_resampling": importance.oracle(DRAW),
 }
