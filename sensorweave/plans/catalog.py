@@ -13,6 +13,7 @@ from sensorweave.operators import calibrate as cal
 from sensorweave.operators import clean, features, profile, status, timestamps, validate
 from sensorweave.operators.layout import Limits, measure
 from sensorweave.plans import jobs
+from sensorweave.plans.job_catalog import JOB_QUERIES
 from sensorweave.session import staging_root
 from sensorweave.sinks import tables
 from sensorweave.sources.config import default_config
@@ -282,5 +283,6 @@ QUERIES: dict[str, Query] = {
         quality_report_shares,
         partitioned_roundtrip,
         new_file_footers,
+        *JOB_QUERIES,
     ]
 }

@@ -20,11 +20,22 @@ from sensorweave.operators.timestamps import normalize_timestamps
 from sensorweave.operators.validate import quality_report
 from sensorweave.schema import BATCH, Settings
 from sensorweave.session import shuffles_sized_for, stage
-from sensorweave.sinks import tables
+from sensorweave.sinks import quarantine, tables
+from sensorweave.sinks.manifest import Manifest
 from sensorweave.sources.config import read_config
-from sensorweave.sources.files import current_files, list_files, new_files, read_ledger, stored_bytes
-from sensorweave.sources.footers import inspect_files
-from sensorweave.sources.readings import read_inspected, read_table
+from sensorweave.sources.files import (
+    ACCEPTED_STATUS,
+    current_files,
+    decoded_name,
+    list_files,
+    new_files,
+    read_ledger,
+    stored_bytes,
+    unseen_files,
+)
+from sensorweave.sources.footers import inspect_files, read_checksums, read_footers
+from sensorweave.sources.readings import read_complete, read_table
+from sensorweave.sources.store import drop_partitions, partition_value
 
 
 @dataclass(frozen=True)
@@ -37,23 +48,28 @@ class IngestResult:
     quarantine: DataFrame
 
 
-def ingest_files(spark: SparkSession, files: DataFrame, settings: Settings, verify_pages: bool = True) -> IngestResult:
-    """Inspect, profile and store the given files in one batch.
+def ingest_files(spark: SparkSession, files: DataFrame, settings: Settings) -> IngestResult:
+    """Inspect, profile and store the given files in one batch; ``files`` should be staged.
 
     Data is written first and the ledger last, and all data is keyed by file name, so
-    a batch that breaks off is simply repeated.
+    a batch that breaks off is simply repeated. What an earlier version of a file left in the
+    processed table or in quarantine, and this one does not replace, is dropped.
     """
     start = time.monotonic()
-    inspected = stage(footer_status(inspect_files(files, verify_pages=verify_pages)), "inspected")
+    inspected = stage(footer_status(inspect_files(files, verify_pages=False)), "inspected")
+    volume = inspected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    found = read_complete(spark, inspected.where(F.col("status").isNull()))
+    if not found.refused.isEmpty():
+        unread = inspected.drop("read_error", "status", "error").join(found.refused, "path", "left")
+        inspected = stage(footer_status(unread), "inspected")
     accepted = inspected.where(F.col("status").isNull())
     rejected = inspected.where(F.col("status").isNotNull())
-    readings = read_inspected(spark, accepted)
-    volume = inspected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    readings = found.rows
 
     processed = profiles = None
     entry = [F.col(BATCH).alias("filename"), "checksum", "rows", "status", "error"]
     outcome = rejected.withColumn("rows", F.lit(0).cast("bigint")).select(entry)
-    if readings is not None:
+    if readings is not None and not accepted.isEmpty():
         tables.write_by_file(readings, settings.processed, "processed")
         with shuffles_sized_for(spark, volume):
             profiled = stage(profile_with_counts(readings, accepted.select(BATCH)), "profiles")
@@ -63,37 +79,71 @@ def ingest_files(spark: SparkSession, files: DataFrame, settings: Settings, veri
         outcome = outcome.unionByName(content_status(profiled.join(sums, BATCH)).select(entry))
         processed = tables.with_suffix(readings, "processed")
         tables.append_accepted(accepted, settings.accepted)
-    tables.write_quarantine(rejected, settings.quarantine)
-
+    quarantine.write_quarantine(rejected, settings.quarantine)
     outcome = stage(outcome, "outcome")
+    _drop_replaced(spark, outcome, settings)
+
     seconds = round(time.monotonic() - start, 2)
     batch = F.lit(time.time_ns() // 1000)
-    entries = outcome.withColumns({"processed_at": utc_now(), "duration_sec": F.lit(seconds), "batch": batch})
+    entries = outcome.withColumns({"processed_at": utc_now(), "duration_sec": F.lit(seconds), "batch": batch, "seen": batch})
+    entries = stage(entries.join(files.select("filename", "length", "modified"), "filename"), "entries")
     tables.append_ingest_log(entries, settings.ingest_log)
     tables.append_ledger(entries, settings.ledger)
     return IngestResult(processed, profiles, read_ledger(spark, settings.ledger), rejected)
 
 
+def _drop_replaced(spark: SparkSession, outcome: DataFrame, settings: Settings) -> None:
+    """Processed rows of files that bring none now, and quarantined bytes of files accepted now."""
+    before = read_ledger(spark, settings.ledger).join(outcome.select("filename"), "filename", "left_semi")
+    before = stage(before, "before")
+    if before.isEmpty():
+        return
+    now = current_files(outcome)
+    emptied = current_files(before).join(now, "filename", "left_anti")
+    names = tables.with_suffix(emptied.withColumnRenamed("filename", BATCH), "processed")
+    drop_partitions(spark, settings.processed, [BATCH], names.select(F.array(BATCH).alias("values")))
+    kept = F.col("status").isin(*ACCEPTED_STATUS)
+    released = before.where(~kept).join(outcome.where(kept), "filename", "left_semi")
+    quarantine.release(spark, released.select(F.col("filename").alias(BATCH)), settings.quarantine)
+
+
+def changed_files(files: DataFrame, settings: Settings, retry_failed: bool = False) -> DataFrame:
+    """Files that are new or whose bytes have changed, with their ``checksum``.
+
+    Only files whose length or time of change is not the one in the ledger are opened. Those of
+    them that have the same bytes as before are noted in the ledger as seen, so that they need not
+    be opened again.
+    """
+    spark = files.sparkSession
+    ledger = read_ledger(spark, settings.ledger)
+    unseen = stage(unseen_files(files, ledger, retry_failed), "unseen")
+    if unseen.isEmpty():
+        return unseen.withColumn("checksum", F.lit(None).cast("string"))
+    hashed = stage(read_checksums(unseen), "hashed")
+    changed = new_files(hashed, ledger, "checksum", retry_failed)
+    same = ledger.drop("length", "modified", "seen").join(
+        hashed.join(changed, "path", "left_anti").select("filename", "length", "modified"), "filename"
+    )
+    same = same.withColumn("seen", F.lit(time.time_ns() // 1000))
+    if not ledger.isEmpty() and not same.isEmpty():
+        tables.append_ledger(same, settings.ledger)
+    return changed
+
+
 def ingest(
-    spark: SparkSession,
-    settings: Settings | None = None,
-    key: str = "name",
-    retry_failed: bool = False,
-    verify_pages: bool = True,
+    spark: SparkSession, settings: Settings | None = None, key: str = "name", retry_failed: bool = False
 ) -> IngestResult | None:
     """Ingest the raw files that are not in the ledger; ``None`` if there are none."""
     settings = settings or Settings()
     files = list_files(spark, settings.raw)
-    ledger = read_ledger(spark, settings.ledger)
     if key == "checksum":
-        from sensorweave.sources.footers import read_footers
-
-        sums = read_footers(files).select("path", "checksum")
-        files = files.join(sums, "path")
-    files = stage(new_files(files, ledger, key, retry_failed).drop("checksum"), "new-files")
+        files = changed_files(files, settings, retry_failed)
+    else:
+        files = new_files(files, read_ledger(spark, settings.ledger), key, retry_failed)
+    files = stage(files, "new-files")
     if files.isEmpty():
         return None
-    return ingest_files(spark, files, settings, verify_pages)
+    return ingest_files(spark, files, settings)
 
 
 def transform(
@@ -111,16 +161,58 @@ def transform(
 
 
 def transform_files(spark: SparkSession, settings: Settings | None = None, rolling: str = "rows") -> DataFrame | None:
-    """Transform all processed files and store the result; ``None`` if there are none."""
+    """Transform the processed files and store the result; ``None`` if there are none.
+
+    A file is transformed again if its ledger entry, the configuration or ``rolling`` has changed since;
+    rows of an earlier version are replaced, also by none. Files that no ledger knows are always transformed.
+    """
     settings = settings or Settings()
+    manifest = Manifest(spark, settings.manifest, "transformed")
     processed = read_table(spark, settings.processed)
-    if processed is None:
+    if processed is None and manifest.partitions().isEmpty():
         return None
-    processed = _current(processed, settings, "processed")
     config = read_config(spark, settings.config)
-    with shuffles_sized_for(spark, stored_bytes(spark, settings.processed)):
-        tables.write_by_file(transform(processed, config, rolling), settings.transformed, "transformed")
-    return _current(read_table(spark, settings.transformed), settings, "transformed")
+    wanted = _wanted(spark, processed, settings, _fingerprint(config, rolling))
+    changed = stage(manifest.changed(wanted.drop("source")), "changed")
+    if not changed.isEmpty():
+        sources = stage(changed.join(wanted.select(BATCH, "source"), BATCH), "sources")
+        meant = sources.select(BATCH, F.array(BATCH).alias("partition"))
+
+        def write(touched: DataFrame) -> DataFrame | None:
+            # Away with the earlier versions first: of the new ones, some may have no rows.
+            drop_partitions(spark, settings.transformed, [BATCH], touched.select(F.col("partition").alias("values")))
+            if processed is None or sources.isEmpty():
+                return None
+            rows = processed.join(sources.select(F.col("source").alias(BATCH)), BATCH, "left_semi")
+            with shuffles_sized_for(spark, stored_bytes(spark, settings.processed)):
+                tables.write_by_file(transform(rows, config, rolling), settings.transformed, "transformed")
+            written = read_table(spark, settings.transformed)
+            if written is None:
+                return None
+            counts = written.join(sources.select(BATCH), BATCH, "left_semi").groupBy(F.array(BATCH).alias("partition"), BATCH)
+            return counts.agg(F.count(F.lit(1)).alias("rows"))
+
+        manifest.replace(changed, meant, [BATCH], write, settings.transformed)
+    transformed = read_table(spark, settings.transformed)
+    return None if transformed is None else _current(transformed, settings, "transformed")
+
+
+def _fingerprint(config: DataFrame, *options: str) -> str:
+    """What a transformed file depends on besides its rows. The configuration has a row for each reading type."""
+    rows = config.agg(F.bit_xor(F.xxhash64(*config.columns)).alias("x"), F.count(F.lit(1)).alias("n")).first()
+    return "-".join([str(rows["x"]), str(rows["n"]), *options])
+
+
+def _wanted(spark: SparkSession, processed: DataFrame | None, settings: Settings, options: str) -> DataFrame:
+    """Per current file: its name as transformed, as processed (``source``), and the ``version`` to be stored."""
+    ledger = read_ledger(spark, settings.ledger)
+    if ledger.isEmpty() and processed is not None:
+        names = processed.select(BATCH).distinct().withColumn("_batch", F.lit(time.time_ns()))
+    else:
+        names = ledger.join(current_files(ledger), "filename", "left_semi")
+        names = tables.with_suffix(names.select(F.col("filename").alias(BATCH), F.col("batch").alias("_batch")), "processed")
+    names = names.withColumns({"source": F.col(BATCH), "version": F.concat_ws("-", F.col("_batch"), F.lit(options))})
+    return tables.with_suffix(names.drop("_batch"), "transformed")
 
 
 def _current(rows: DataFrame, settings: Settings, suffix: str) -> DataFrame:
@@ -145,10 +237,9 @@ def validate_files(spark: SparkSession, settings: Settings | None = None) -> Dat
     config = read_config(spark, settings.config, required=False)
     transformed = _current(transformed, settings, "transformed")
     footers = tables.read_accepted(spark, settings.accepted)
-    if footers is not None:
-        known = read_ledger(spark, settings.ledger).where(F.col("status").isin("success", "dq_warning"))
-        footers = footers.join(known.select(F.col("filename").alias(BATCH)), BATCH, "left_semi")
-        footers = tables.with_suffix(footers, "transformed")
+    known = read_ledger(spark, settings.ledger).where(F.col("status").isin(*ACCEPTED_STATUS))
+    footers = footers.join(known.select(F.col("filename").alias(BATCH)), BATCH, "left_semi")
+    footers = None if footers.isEmpty() else tables.with_suffix(footers, "transformed")
     with shuffles_sized_for(spark, stored_bytes(spark, settings.transformed)):
         report = stage(validate(transformed, config, footers), "report")
     tables.write_report(report, settings.report)
@@ -167,26 +258,93 @@ def load(
     tables.write_analytics(rows, path, mode, partition_by=partition_by)
 
 
-def load_files(spark: SparkSession, settings: Settings | None = None, mode: str = "append") -> bool:
-    """Load all transformed files; False if there are none."""
+def load_files(
+    spark: SparkSession,
+    settings: Settings | None = None,
+    mode: str = "append",
+    partition_by: Sequence[str] = ("date", "sensor_id"),
+) -> bool:
+    """Load the transformed files; False if there are none.
+
+    ``append`` adds the rows of all files on every call. ``replace_partitions`` looks only at files that
+    have changed since the last such call: it writes the partitions again that their old rows are in or
+    their new ones go to, with the rows of all files that have a share, and deletes those left empty.
+    """
     settings = settings or Settings()
+    manifest = Manifest(spark, settings.manifest, "analytics")
     transformed = read_table(spark, settings.transformed)
-    if transformed is None:
+    if transformed is not None:
+        transformed = _current(transformed, settings, "transformed")
+    elif mode == "append" or manifest.partitions().isEmpty():
         return False
-    transformed = _current(transformed, settings, "transformed")
     with shuffles_sized_for(spark, stored_bytes(spark, settings.transformed)):
-        load(transformed, settings.analytics, mode)
+        if mode == "replace_partitions":
+            _load_changed(spark, transformed, settings, manifest, partition_by)
+        else:
+            load(transformed, settings.analytics, mode, _without_time(spark, settings), partition_by)
     return True
 
 
-def run_all(spark: SparkSession, settings: Settings | None = None) -> DataFrame | None:
+def _without_time(spark: SparkSession, settings: Settings) -> DataFrame | None:
+    """Transformed files that lack the column ``timestamp``. Ingested ones have it, so those need not be opened."""
+    files = list_files(spark, settings.transformed, recursive=True)
+    folder = decoded_name(F.regexp_extract("path", rf"/{BATCH}=([^/]+)/[^/]+$", 1))
+    names = tables.with_suffix(read_ledger(spark, settings.ledger).select(F.col("filename").alias(BATCH)), "transformed")
+    foreign = stage(files.withColumn(BATCH, folder).join(names, BATCH, "left_anti"), "foreign")
+    if foreign.isEmpty():
+        return None
+    footers = read_footers(foreign.drop(BATCH), checksum=False).join(foreign.select("path", F.col(BATCH).alias("_name")), "path")
+    lacking = footers.where(F.array_contains("missing", "timestamp"))
+    return stage(lacking.select(F.col("_name").alias(BATCH)).distinct(), "without-time")
+
+
+def _load_changed(
+    spark: SparkSession, transformed: DataFrame | None, settings: Settings, manifest: Manifest, partition_by: Sequence[str]
+) -> None:
+    columns = list(partition_by)
+    stored = Manifest(spark, settings.manifest, "transformed").versions()
+    if transformed is None:
+        stored = stored.limit(0)
+    elif stored.isEmpty():  # transformed by other means: no telling what has changed
+        stored = transformed.select(BATCH).distinct().withColumn("version", F.lit(str(time.time_ns())))
+    wanted = stored.withColumn("version", F.concat_ws("-", "version", F.lit("/".join(columns))))
+    changed = stage(manifest.changed(wanted), "changed")
+    if changed.isEmpty():
+        return
+    without_time = None if transformed is None else _without_time(spark, settings)
+
+    def rows_of(files: DataFrame) -> DataFrame:
+        rows = transformed.join(files.select(BATCH), BATCH, "left_semi")
+        rows = tables.prepare_for_load(rows, without_time).drop("row_index")
+        return rows.withColumn("_partition", F.array(*[partition_value(F.col(c)) for c in columns]))
+
+    if transformed is None:
+        meant = changed.limit(0).select(BATCH, F.array(BATCH).alias("partition"))
+    else:
+        meant = rows_of(changed).groupBy(BATCH, F.col("_partition").alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+
+    def write(touched: DataFrame) -> None:
+        if transformed is None:
+            return
+        sharing = manifest.partitions().join(touched, "partition", "left_semi").select(BATCH)
+        files = stage(sharing.unionByName(changed.select(BATCH)).distinct(), "sharing")
+        rows = rows_of(files).join(touched.select(F.col("partition").alias("_partition")), "_partition", "left_semi")
+        tables.write_analytics(rows.drop("_partition"), settings.analytics, "replace_partitions", partition_by=columns)
+
+    manifest.replace(changed, meant, columns, write, settings.analytics)
+
+
+def run_all(
+    spark: SparkSession, settings: Settings | None = None, key: str = "name", retry_failed: bool = False
+) -> DataFrame | None:
     """Ingest, transform, validate, load. Returns the quality report, which never stops the load.
 
-    All files are loaded by one write, so files that share a day and a sensor do not
-    overwrite each other, and a re-run replaces partitions rather than doubling them.
+    Every stage works on what has changed, and files that share a day and a sensor do not overwrite
+    each other. With ``key="checksum"`` files whose content has changed are taken in again, and all
+    tables then have their new rows only.
     """
     settings = settings or Settings()
-    ingest(spark, settings)
+    ingest(spark, settings, key, retry_failed)
     transform_files(spark, settings)
     report = validate_files(spark, settings)
     load_files(spark, settings, mode="replace_partitions")

@@ -140,6 +140,20 @@ def _percent(part: str) -> str:
     return f"(({part} * 20000 + total) // (2 * total)) / 100.0::DOUBLE"
 
 
+# Daily files with their damage by the last digit of the day: 3 lacks a column, 5 has text, 7 is cut off, 9 is empty.
+_LEDGER = f"""WITH {DAY}, c AS (SELECT file_name, substr(file_name, 10, 1) AS d, count(*) AS n, {_NULLS} FROM raw GROUP BY file_name),
+e AS (SELECT *, d NOT IN ('3', '5', '7', '9') AND missing_sensor + missing_ts + missing_value > 0 AS warned FROM c)
+SELECT file_name AS filename, CASE WHEN d IN ('3', '5', '7', '9') THEN 0 ELSE n END AS rows,
+       CASE d WHEN '3' THEN 'schema_mismatch' WHEN '5' THEN 'profiling_error' WHEN '7' THEN 'schema_error'
+              ELSE CASE WHEN warned THEN 'dq_warning' ELSE 'success' END END AS status,
+       CASE d WHEN '3' THEN 'missing:[''battery_level'']' WHEN '5' THEN 'not numeric: value'
+              ELSE CASE WHEN warned THEN concat('missing sensor:', missing_sensor, ', ts:', missing_ts, ', value:', missing_value) END END AS error,
+       CAST(32 AS BIGINT) AS digits
+FROM e"""
+
+# The rows of the transformed tables, without their values: complete, first copies, with a valid time.
+_STORED = f"""{DEDUPED.replace("FROM raw", "FROM chosen")}, {PARSED.replace("{src}", "deduped")}"""
+
 SQL: dict[str, str] = {
     "anomalies_by_type": f"""WITH {DAY}, {CONFIG}, {CALIBRATED.format(src='raw')}
 SELECT s.reading_type, count(*) AS readings, count(*) FILTER (WHERE {_ANOMALOUS}) AS anomalies, round(avg(s.value), 8) AS avg_value
@@ -225,6 +239,36 @@ SELECT sensor_id, strftime(ts, '%Y-%m-%d') AS date, ts AS "timestamp", reading_t
     "new_file_footers": f"""WITH {DAY}
 SELECT file_name, count(*) AS rows, CAST(0 AS BIGINT) AS missing_columns, CAST(1 AS BIGINT) AS extra_columns,
        CAST(0 AS BIGINT) AS unreadable FROM raw WHERE CAST(substr(file_name, 9, 2) AS INT) % 2 = 1 GROUP BY file_name""",
+    "ingest_ledger": _LEDGER,
+    "stream_ledger": _LEDGER,
+    "quarantined_files": f"""WITH {DAY}
+SELECT DISTINCT file_name AS filename, CASE substr(file_name, 10, 1) WHEN '3' THEN 'schema_mismatch' WHEN '5' THEN 'profiling_error'
+       ELSE 'schema_error' END AS status, TRUE AS whole, TRUE AS all_blocks, TRUE AS same_bytes
+FROM raw WHERE substr(file_name, 10, 1) IN ('3', '5', '7')""",
+    "ingest_report": f"""WITH {DAY}, chosen AS (SELECT * FROM raw WHERE substr(file_name, 10, 1) NOT IN ('3', '5', '7', '9')), {_STORED},
+iso AS (SELECT * FROM timed), {GAPS},
+per_sensor AS (SELECT file_name, sensor_id, count(*) AS n FROM missing GROUP BY file_name, sensor_id),
+gaps AS (SELECT file_name, count(*) AS sensors, sum(n) AS hours FROM per_sensor GROUP BY file_name),
+files AS (SELECT DISTINCT file_name FROM raw WHERE substr(file_name, 10, 1) NOT IN ('3', '5', '7')),
+totals AS (SELECT file_name, count(*) AS n FROM timed GROUP BY file_name)
+SELECT replace(file_name, '.parquet', '_transformed.parquet') AS file_name, coalesce(n, 0) AS total_records,
+       CASE WHEN substr(file_name, 10, 1) = '1' THEN coalesce(n, 0) ELSE 0 END AS invalid_value_type,
+       CAST(0 AS BIGINT) AS invalid_timestamp, coalesce(sensors, 0) AS sensors_with_gaps,
+       CAST(coalesce(hours, 0) AS BIGINT) AS total_missing_hours
+FROM files LEFT JOIN totals USING (file_name) LEFT JOIN gaps USING (file_name)""",
+    "reingest_current": f"""WITH {GATEWAY}, later AS (
+  SELECT * REPLACE (CASE WHEN regexp_matches("timestamp", '^\\d{{4}}-') THEN
+           strftime(CAST("timestamp" AS TIMESTAMP) + INTERVAL 40 DAY, '%Y-%m-%dT%H:%M:%S') ELSE 'moved' END AS "timestamp")
+  FROM raw WHERE substr(file_name, 10, 1) = '3'
+), chosen AS (
+  SELECT * FROM raw WHERE substr(file_name, 10, 1) NOT IN ('3', '5', '7', '9') UNION ALL SELECT * FROM later
+), {_STORED}
+SELECT replace(file_name, '.parquet', '_transformed.parquet') AS file_name, sensor_id, strftime(ts, '%Y-%m-%d') AS date, "timestamp",
+       reading_type, count(*) OVER (PARTITION BY file_name) AS in_report FROM timed""",
+    "load_unknown_dates": f"""WITH {GATEWAY}, {ISO_TS}
+SELECT file_name, CASE WHEN substr(file_name, 10, 1) = '4' THEN 'unknown' ELSE coalesce(strftime(ts, '%Y-%m-%d'), 'none') END AS day,
+       count(*) AS rows, count(ts) FILTER (WHERE substr(file_name, 10, 1) <> '4') AS timed
+FROM iso GROUP BY ALL""",
     "quality_report_shares": f"""WITH {DAY}, {CONFIG}, g AS (
   SELECT file_name, s.reading_type, count(*) AS total, count(*) FILTER (WHERE value < c.lo OR value > c.hi) AS bad,
          count(*) FILTER (WHERE value IS NULL) AS gone

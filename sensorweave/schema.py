@@ -59,6 +59,18 @@ LEDGER = T.StructType(
         T.StructField("processed_at", T.StringType()),
         T.StructField("duration_sec", T.DoubleType()),
         T.StructField("batch", T.LongType()),  # microseconds, to order entries of one second
+        # The change index: what the file looked like in the listing when it was last looked into, and when that was.
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("seen", T.LongType()),
+    ]
+)
+
+ACCEPTED = T.StructType(
+    [
+        T.StructField("file_name", T.StringType()),
+        T.StructField("types", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("batch", T.LongType()),
     ]
 )
 
@@ -100,6 +112,10 @@ class Settings:
     def accepted(self) -> str:
         return f"{self.state}/accepted"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.state}/manifest"
+
     @property
     def ingest_log(self) -> str:
         return f"{self.metadata}/ingest_log"

@@ -72,8 +72,17 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def sibling(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session over the same context with the settings of ``spark``, but for those given."""
+    other = spark.newSession()
+    for name, value in {**spark.conf.getAll, **conf}.items():
+        if other.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
+def stage(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, with the session ``reader`` if that is another one.
 
     This cuts the lineage, so a lost executor costs no recomputation, lets later
     readers scan only the columns they need, and tells Catalyst the true size, so
@@ -82,4 +91,4 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/sensorweave/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (reader or spark).read.schema(df.schema).parquet(path)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock
-from sensorweave.schema import BATCH, LEDGER, REPORT_COLUMNS
-
-BINARY_LIMIT = 2_000_000_000
+from sensorweave.schema import ACCEPTED, BATCH, REPORT_COLUMNS
+from sensorweave.sources.files import ledger_journal
+from sensorweave.sources.journal import Journal
 
 
 def _partition_overwrite(writer: DataFrameWriter) -> DataFrameWriter:
@@ -34,47 +34,23 @@ def with_suffix(df: DataFrame, suffix: str) -> DataFrame:
     return df.withColumn(BATCH, F.concat(stem, F.lit(f"_{suffix}.parquet")))
 
 
-def write_quarantine(rejected: DataFrame, path: str) -> None:
-    """Rejected files with status, error and their bytes, keyed by file name.
-
-    ``rejected`` has ``path``, ``file_name``, ``length``, ``checksum``, ``status`` and
-    ``error``. A file above the 2 GB limit of a binary value is recorded without its
-    bytes and stays where it is.
-    """
-    spark = rejected.sparkSession
-    paths = [r["path"] for r in rejected.where(F.col("length") < BINARY_LIMIT).select("path").toLocalIterator()]
-    if paths:
-        contents = spark.read.format("binaryFile").load(paths).select("path", "content")
-        rejected = rejected.join(contents, "path", "left")
-    else:
-        rejected = rejected.withColumn("content", F.lit(None).cast("binary"))
-    table = rejected.select(
-        F.col(BATCH).alias("filename"), "path", "length", F.col("checksum").alias("md5"), "status", "error", "content"
-    )
-    _partition_overwrite(table.write).partitionBy("filename").parquet(path)
-
-
 def append_ledger(entries: DataFrame, path: str) -> None:
     """Entries are only ever added; readers take the latest one per file name."""
-    entries.select(LEDGER.names).write.mode("append").parquet(path)
+    ledger_journal(path).append(entries)
+
+
+def _accepted(path: str) -> Journal:
+    return Journal(path, ACCEPTED, (BATCH,), ("batch",))
 
 
 def append_accepted(accepted: DataFrame, path: str) -> None:
     """The column types of files that could be read, for later reports."""
-    rows = accepted.select(BATCH, "types", F.unix_micros(F.current_timestamp()).alias("batch"))
-    rows.write.mode("append").parquet(path)
-
+    _accepted(path).append(accepted.select(BATCH, "types", F.unix_micros(F.current_timestamp()).alias("batch")))
 
-def read_accepted(spark: SparkSession, path: str) -> DataFrame | None:
-    """Per accepted file the types of its last ingest, and a NULL ``error``; ``None`` if there is none."""
-    from pyspark.errors import AnalysisException
 
-    try:
-        rows = spark.read.schema(f"{BATCH} string, types map<string,string>, batch long").parquet(path)
-    except AnalysisException:
-        return None
-    latest = rows.groupBy(BATCH).agg(F.max_by(F.map_entries("types"), "batch").alias("types"))
-    return latest.select(BATCH, F.map_from_entries("types").alias("types"), F.lit(None).cast("string").alias("error"))
+def read_accepted(spark: SparkSession, path: str) -> DataFrame:
+    """Per accepted file the types of its last ingest, and a NULL ``error``."""
+    return _accepted(path).read(spark).select(BATCH, "types", F.lit(None).cast("string").alias("error"))
 
 
 def append_ingest_log(entries: DataFrame, path: str) -> None:

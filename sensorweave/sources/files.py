@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from sensorweave.schema import LEDGER
 
+# Status of files whose rows are stored.
+ACCEPTED_STATUS = ("success", "dq_warning")
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", recursive: bool = False) -> DataFrame:
     """``path``, ``filename``, ``length`` and ``modified`` of the matching files. Contents are not read."""
@@ -39,23 +42,19 @@ def literal_path(path: str) -> str:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The latest entry per file name; empty if nothing has been ingested yet."""
-    from pyspark.errors import AnalysisException
+    return ledger_journal(path).read(spark)
 
-    try:
-        entries = spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], LEDGER)
-    return latest_entries(entries)
 
+def ledger_journal(path: str):
+    """An entry of a later batch counts; of one batch, the one that saw the file last."""
+    from sensorweave.sources.journal import Journal
 
-def latest_entries(entries: DataFrame) -> DataFrame:
-    whole = F.max_by(F.struct(*LEDGER.names), F.struct("processed_at", "batch")).alias("_entry")
-    return entries.groupBy("filename").agg(whole).select("_entry.*")
+    return Journal(path, LEDGER, ("filename",), ("batch", "seen"))
 
 
 def current_files(ledger: DataFrame) -> DataFrame:
     """Names of the files whose last ingest succeeded and brought rows; data of others is out of date."""
-    return ledger.where(F.col("status").isin("success", "dq_warning") & (F.col("rows") > 0)).select("filename")
+    return ledger.where(F.col("status").isin(*ACCEPTED_STATUS) & (F.col("rows") > 0)).select("filename")
 
 
 def new_files(files: DataFrame, ledger: DataFrame, key: str = "name", retry_failed: bool = False) -> DataFrame:
@@ -67,6 +66,18 @@ def new_files(files: DataFrame, ledger: DataFrame, key: str = "name", retry_fail
     """
     done = ledger
     if retry_failed:
-        done = done.where(F.col("status").isin("success", "dq_warning"))
+        done = done.where(F.col("status").isin(*ACCEPTED_STATUS))
     on = ["filename", "checksum"] if key == "checksum" else ["filename"]
     return files.join(done.select(on), on, "left_anti")
+
+
+def unseen_files(files: DataFrame, ledger: DataFrame, retry_failed: bool = False) -> DataFrame:
+    """Files whose name, length and time of change together are not in the ledger: all that may have changed.
+
+    This takes the listing alone, no file is opened.
+    """
+    done = ledger
+    if retry_failed:
+        done = done.where(F.col("status").isin(*ACCEPTED_STATUS))
+    on = ["filename", "length", "modified"]
+    return files.join(done.select(on), on, "left_anti")

@@ -8,7 +8,6 @@ Python part reads footers and byte streams with bounded memory.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,22 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave.schema import FOOTER, REQUIRED
+from sensorweave.sources.store import one_task_each, open_file
 
 BLOCK = 4 * 1024 * 1024
-MOST_TASKS = 10_000
-
-
-def _open(path: str):
-    """A file by its plain (not percent-encoded) path."""
-    from pyarrow import fs
-
-    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):(?://([^/]*))?(/.*)", path)
-    scheme, store, inner = found.groups() if found else ("file", "", path)
-    if scheme == "file":
-        return fs.LocalFileSystem().open_input_file(inner)
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    filesystem, root = fs.FileSystem.from_uri(f"{scheme}://{store}/")
-    return filesystem.open_input_file(root.rstrip("/") + inner)
 
 
 def _message(error: Exception) -> str:
@@ -41,7 +27,7 @@ def _message(error: Exception) -> str:
 
 def _md5(path: str) -> str:
     digest = hashlib.md5()
-    with _open(path) as stream:
+    with open_file(path) as stream:
         while block := stream.read(BLOCK):
             digest.update(block)
     return digest.hexdigest()
@@ -55,10 +41,10 @@ def _inspect(path: str, checksum: bool) -> dict:
     if checksum:
         found["checksum"] = _md5(path)
     else:
-        with _open(path) as stream:
+        with open_file(path) as stream:
             stream.read(1)
     try:
-        with _open(path) as stream:
+        with open_file(path) as stream:
             parquet = pq.ParquetFile(stream)
             schema = parquet.schema_arrow
             found.update(
@@ -74,21 +60,25 @@ def _inspect(path: str, checksum: bool) -> dict:
     return found
 
 
-def _one_task_each(listed: DataFrame) -> DataFrame:
-    """Spread a short list over as many tasks as it has rows, up to a limit.
+def read_checksums(files: DataFrame) -> DataFrame:
+    """``files`` with ``checksum``, the MD5 of their bytes. One task reads a file, block by block."""
 
-    The number is explicit: judged by the few bytes of the list, adaptive execution
-    would merge it into one task, which would then read all the files.
-    """
-    return listed.repartition(max(1, min(listed.count(), MOST_TASKS)))
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "checksum": [_md5(p) for p in batch["path"]]})
+
+    sums = one_task_each(files.select("path")).mapInPandas(scan, "path string, checksum string")
+    return files.join(sums, "path")
 
 
 def read_footers(files: DataFrame, checksum: bool = True) -> DataFrame:
     """One row per file: columns, types, row count and checksum, or ``schema_error``.
 
-    ``files`` comes from ``list_files``. ``missing`` and ``extra`` compare the exact
-    column names with the required ones; both are sorted.
+    ``files`` comes from ``list_files``; checksums that it has already are taken from there. ``missing``
+    and ``extra`` compare the exact column names with the required ones; both are sorted.
     """
+    known = "checksum" in files.columns
+    checksum = checksum and not known
     listed = files.select("path", F.col("filename").alias("file_name"), "length")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,7 +89,9 @@ def read_footers(files: DataFrame, checksum: bool = True) -> DataFrame:
             out["row_groups"] = out["row_groups"].astype("Int32")
             yield out[FOOTER.names]
 
-    footers = _one_task_each(listed).mapInPandas(scan, FOOTER)
+    footers = one_task_each(listed).mapInPandas(scan, FOOTER)
+    if known:
+        footers = footers.drop("checksum").join(files.select("path", "checksum"), "path").select(FOOTER.names)
     needed = F.array(*[F.lit(c) for c in REQUIRED])
     return footers.withColumns(
         {
@@ -109,40 +101,14 @@ def read_footers(files: DataFrame, checksum: bool = True) -> DataFrame:
     )
 
 
-def read_errors(footers: DataFrame) -> DataFrame:
-    """Files with pages that cannot be decoded: ``path`` and ``read_error``.
-
-    The work is spread by row group, so that one huge file does not end up in one task.
-    """
-    import pyarrow.parquet as pq
-
-    readable = footers.where("schema_error IS NULL AND size(missing) = 0 AND row_groups > 0")
-    groups = readable.select("path", F.explode(F.sequence(F.lit(0), F.col("row_groups") - 1)).alias("group"))
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            errors = []
-            for path, group in zip(batch["path"], batch["group"]):
-                error = None
-                try:
-                    with _open(path) as stream:
-                        for _ in pq.ParquetFile(stream).iter_batches(row_groups=[int(group)]):
-                            pass
-                except Exception as failure:  # any decoder failure is a result here, not a crash
-                    error = _message(failure)
-                errors.append(error)
-            yield pd.DataFrame({"path": batch["path"], "read_error": errors})
-
-    checked = _one_task_each(groups).mapInPandas(decode, "path string, read_error string")
-    return checked.where("read_error IS NOT NULL").groupBy("path").agg(F.min("read_error").alias("read_error"))
-
-
 def inspect_files(files: DataFrame, checksum: bool = True, verify_pages: bool = True) -> DataFrame:
-    """Footers with ``read_error`` from a full decode; ``verify_pages=False`` skips that extra read."""
+    """Footers with ``read_error`` from a full read by Spark; ``verify_pages=False`` skips that."""
     footers = read_footers(files, checksum)
     if not verify_pages:
         return footers.withColumn("read_error", F.lit(None).cast("string"))
     from sensorweave.session import stage
+    from sensorweave.sources.readings import read_complete
 
     footers = stage(footers, "footers")
-    return footers.join(read_errors(footers), "path", "left")
+    readable = footers.where("schema_error IS NULL AND size(missing) = 0")
+    return footers.join(read_complete(files.sparkSession, readable).refused, "path", "left")

@@ -17,7 +17,6 @@ def start_ingest(
     settings: Settings | None = None,
     checkpoint: str | None = None,
     max_files: int = 1000,
-    verify_pages: bool = True,
 ) -> StreamingQuery:
     """Ingest everything that is there and stop; the checkpoint remembers what has been offered.
 
@@ -43,7 +42,7 @@ def start_ingest(
         session = batch.sparkSession
         files = stage(new_files(batch, read_ledger(session, settings.ledger)), "new-files")
         if not files.isEmpty():
-            ingest_files(session, files, settings, verify_pages)
+            ingest_files(session, files, settings)
 
     return (
         stream.writeStream.foreachBatch(ingest_batch)
