@@ -1,4 +1,6 @@
+import math
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,10 +193,42 @@ def test_exact_median_of_large_groups(spark, group_rows):
         assert r["median"] == (ordered[(n - 1) // 2] + ordered[n // 2]) / 2
 
 
-def test_median_survives_a_bracket_that_misses(spark, monkeypatch):
+def test_median_by_repeated_narrowing(spark, monkeypatch):
+    """Whatever the distribution, ranking is left with no more rows of a group than the limit."""
     from sensorweave.operators import ranks
 
-    monkeypatch.setattr(ranks, "REACH", -0.4)  # brackets the wrong way round hold no middle
-    df = spark.createDataFrame([("f", "t", float(i)) for i in range(101)], "file_name string, reading_type string, value double")
-    layout = measure(df.withColumn("sensor_id", F.lit("s")), Limits(group_rows=1))
-    assert [r["median"] for r in exact_median(df, ["file_name", "reading_type"], "value", layout).collect()] == [50.0]
+    rng = random.Random(2)
+    most = sys.float_info.max
+    groups = {
+        "powers": [10.0**e for e in range(-300, 308, 50)] + [-(10.0**e) for e in range(-300, 308, 60)],
+        "ends": [float("inf")] * 20 + [float("-inf")] * 20 + [most, -most, 0.0],
+        "nan": [float("nan")] * 30 + [float(k) for k in range(10)],
+        "equal": [7.0] * 60,
+        "two": [1.0] * 30 + [2.0] * 30,
+        "close": [1.0 + k * 2**-52 for k in range(64)],
+        "random": [rng.gauss(0, 1) for _ in range(301)],
+        "small": [3.0, 1.0],
+        "none": [None],
+    }
+    rows = [("a", name, v) for name, values in groups.items() for v in values]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "file_name string, reading_type string, value double")
+    limit, ranked, original = 8, [], ranks._ranked
+
+    def counting(values, keys):
+        ranked.append(values.groupBy(keys).count().agg(F.max("count")).first()[0] or 0)
+        return original(values, keys)
+
+    monkeypatch.setattr(ranks, "BINS", 8)
+    monkeypatch.setattr(ranks, "_ranked", counting)
+    layout = measure(df.withColumn("sensor_id", F.lit("s")), Limits(group_rows=limit))
+    found = {r["reading_type"]: r["median"] for r in exact_median(df, ["file_name", "reading_type"], "value", layout).collect()}
+    for name, values in groups.items():
+        ordered = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+        n = len(ordered)
+        if not n:
+            assert name not in found
+            continue
+        middle = (ordered[(n - 1) // 2] + ordered[n // 2]) / 2
+        assert found[name] == middle or math.isnan(found[name]) and math.isnan(middle), name
+    assert max(ranked) <= limit

@@ -60,16 +60,35 @@ def check(spark, settings, report, expected):
     return totals
 
 
+def stamps(folder):
+    return {p: p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet") if p.is_file()}
+
+
 def test_replaced_files_leave_nothing(spark, two):
-    """One file loses all its valid times, one moves to another day."""
+    """Files lose all their valid times, move to another day, lack a column, have no rows, and are good again."""
+    for name in ("d", "e"):
+        raw(two, f"{name}.parquet", at("2025-06-08", VALID.assign(sensor_id=f"sensor_{name}")))
     report = jobs.run_all(spark, two, key="checksum")
-    check(spark, two, report, [("a", "2025-06-05"), ("b", "2025-06-05"), ("c", "2025-06-06")])
+    days = {"a": "2025-06-05", "b": "2025-06-05", "c": "2025-06-06", "d": "2025-06-08", "e": "2025-06-08"}
+    check(spark, two, report, list(days.items()))
+    transformed, analytics = stamps(two.transformed), stamps(two.analytics)
+
     raw(two, "a.parquet", VALID.assign(timestamp=["bad", "worse", "none"]))
     raw(two, "b.parquet", at("2025-07-01"))
+    raw(two, "d.parquet", VALID.drop(columns=["value"]))
+    raw(two, "e.parquet", VALID.iloc[:0].astype({c: str for c in VALID.columns[:3]}))
     report = jobs.run_all(spark, two, key="checksum")
     totals = check(spark, two, report, [("b", "2025-07-01"), ("c", "2025-06-06")])
-    assert totals["a_transformed.parquet"] == 0
-    assert not list(Path(two.analytics).glob("date=2025-06-05/sensor_id=*"))
+    assert totals["a_transformed.parquet"] == totals["e_transformed.parquet"] == 0 and "d_transformed.parquet" not in totals
+    processed = {r["file_name"] for r in spark.read.parquet(two.processed).select("file_name").distinct().collect()}
+    assert processed == {f"{name}_processed.parquet" for name in "abc"}
+    assert [r["filename"] for r in quarantine.read_quarantine(spark, two.quarantine).collect()] == ["d.parquet"]
+    # What has not changed was not written again.
+    same = {p for p, t in stamps(two.transformed).items() if transformed.get(p) == t}
+    assert {p.parent.name for p in same} == {"file_name=c_transformed.parquet"}
+    same = {p for p, t in stamps(two.analytics).items() if analytics.get(p) == t}
+    assert {p.parent.parent.name for p in same} == {"date=2025-06-06"}
+
     manifest = Manifest(spark, two.manifest, "analytics")
     held = {(r["file_name"], *r["partition"]) for r in manifest.partitions().collect()}
     assert held == set(rows_of(spark, two))
@@ -77,20 +96,10 @@ def test_replaced_files_leave_nothing(spark, two):
     assert {(r["file_name"], *r["partition"]) for r in manifest.partitions().collect()} == held
     assert manifest.changed(manifest.versions()).isEmpty()
 
-
-def test_files_that_become_bad_empty_or_good_again(spark, two):
-    jobs.run_all(spark, two, key="checksum")
-    raw(two, "a.parquet", VALID.drop(columns=["value"]))
-    raw(two, "b.parquet", VALID.iloc[:0].astype({c: str for c in VALID.columns[:3]}))
-    report = jobs.run_all(spark, two, key="checksum")
-    totals = check(spark, two, report, [("c", "2025-06-06")])
-    assert "a_transformed.parquet" not in totals and totals["b_transformed.parquet"] == 0
-    assert {r["file_name"] for r in spark.read.parquet(two.processed).select("file_name").distinct().collect()} == {"c_processed.parquet"}
-    assert [r["filename"] for r in quarantine.read_quarantine(spark, two.quarantine).collect()] == ["a.parquet"]
-    raw(two, "a.parquet", at("2025-06-06"))
+    raw(two, "d.parquet", at("2025-06-06"))
     raw(two, "c.parquet", at("2025-06-07", VALID.iloc[:1]))
     report = jobs.run_all(spark, two, key="checksum")
-    check(spark, two, report, [("a", "2025-06-06"), ("c", "2025-06-07")])
+    check(spark, two, report, [("b", "2025-07-01"), ("c", "2025-06-07"), ("d", "2025-06-06")])
     assert quarantine.read_quarantine(spark, two.quarantine).isEmpty()
 
 
@@ -114,19 +123,6 @@ def test_a_run_that_breaks_off_is_made_good(spark, two, monkeypatch):
     check(spark, two, report, [("a", "2025-06-05"), ("b", "2025-07-02"), ("c", "2025-06-06")])
 
 
-def test_only_changed_files_are_transformed(spark, two):
-    jobs.run_all(spark, two, key="checksum")
-    stamps = lambda: {p: p.stat().st_mtime_ns for p in Path(two.transformed).rglob("*.parquet") if p.is_file()}
-    before = stamps()
-    raw(two, "b.parquet", at("2025-06-06"))
-    jobs.run_all(spark, two, key="checksum")
-    after = stamps()
-    same = {p for p in before if after.get(p) == before[p]}
-    assert {p.parent.name for p in same} == {"file_name=a_transformed.parquet", "file_name=c_transformed.parquet"}
-    kept = {p.parent.parent.name for p in Path(two.analytics).rglob("*.parquet") if p.is_file()}
-    assert kept == {"date=2025-06-05", "date=2025-06-06"}
-
-
 def test_partition_folders(spark, tmp_path):
     names = ["a/b", "x=y", "50%", "ü ö", "a:b*?", "q'\"", "back\\slash", "{z}[1]^", "tab\t", "plain", "", None, "+", "%2F"]
     rows = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "sensor_id string, k int").withColumn("date", F.lit("d"))
