@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import EXTRA_FORMATS, ISO, clock
 from sensorweave.operators import calibrate as cal
-from sensorweave.operators import clean, features, profile, status, timestamps, validate
+from sensorweave.operators import clean, distinct, features, profile, status, timestamps, validate
 from sensorweave.operators.layout import Limits, measure
 from sensorweave.plans import jobs
 from sensorweave.plans.job_catalog import JOB_QUERIES
@@ -61,6 +61,16 @@ def distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
     return profile.distinct_counts(read_events(spark, folder))
 
 
+def distinct_over_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct sensors of each week and of everything, from what is stored per file."""
+    rows = read_events(spark, folder)
+    bitmaps = distinct.file_bitmaps(rows, "sensor_id", distinct.extend_dictionary(rows, "sensor_id"))
+    files = rows.select("file_name").distinct()
+    week = F.date_trunc("week", F.to_date(F.substring("file_name", 1, 10)))
+    sets = files.select("file_name", F.explode(F.array(F.lit("all"), F.date_format(week, "yyyy-MM-dd"))).alias("set"))
+    return distinct.distinct_over(bitmaps, sets)
+
+
 def range_counts(spark: SparkSession, folder: str) -> DataFrame:
     return profile.range_counts(read_events(spark, folder))
 
@@ -253,6 +263,7 @@ QUERIES: dict[str, Query] = {
         reading_summary,
         missing_ratio,
         distinct_counts,
+        distinct_over_files,
         range_counts,
         profile_documents,
         row_null_status,

@@ -161,6 +161,10 @@ FROM calibrated s LEFT JOIN config c ON s.reading_type = c.reading_type GROUP BY
     "reading_summary": f"WITH {DAY} SELECT file_name, reading_type, {_SUMMARY} FROM raw GROUP BY file_name, reading_type",
     "missing_ratio": f"WITH {DAY} SELECT file_name, {_RATIOS} FROM raw GROUP BY file_name",
     "distinct_counts": f"WITH {DAY} SELECT file_name, {_DISTINCT} FROM raw GROUP BY file_name",
+    "distinct_over_files": f"""WITH {DAY}, s AS (
+  SELECT 'all' AS set, sensor_id FROM raw
+  UNION ALL SELECT strftime(date_trunc('week', CAST(substr(file_name, 1, 10) AS DATE)), '%Y-%m-%d'), sensor_id FROM raw)
+SELECT set, count(DISTINCT sensor_id) AS "distinct" FROM s GROUP BY set""",
     "range_counts": f"WITH {DAY} SELECT file_name, {_VIOLATIONS} FROM raw GROUP BY file_name",
     "profile_documents": f"""WITH {DAY},
 types AS (SELECT file_name, reading_type, {_SUMMARY} FROM raw GROUP BY file_name, reading_type),
