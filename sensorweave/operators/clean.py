@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ from sensorweave.operators.layout import (
     attach,
     join_on,
     measure,
+    route,
     with_group_values,
 )
 from sensorweave.operators.ranks import exact_median
@@ -193,10 +196,14 @@ def clean(
     few of their columns follow. They are staged file by file (a large file in several
     pieces), so that those passes aggregate nearly everything before they shuffle.
 
+    Without a ``layout``, ordinary files and large ones go through their own plans.
+
     ``keep_clock`` parses the time right after de-duplication and keeps it for the
     steps that follow; with ordinary files it also sorts once for all windows to come.
     """
-    layout = layout or measure(df, limits)
+    if layout is None:
+        parts = [clean(rows, config, own, limits, keep_clock) for rows, own in route(df, limits)]
+        return reduce(DataFrame.unionByName, parts)
     rows = dedupe_first(df, layout.by_file)
     if keep_clock:
         rows = add_clock(rows)

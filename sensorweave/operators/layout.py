@@ -76,7 +76,7 @@ def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
     files = df.groupBy(BATCH).agg(total.alias("n"))
     first = _totals(files)
     if first["largest_file"] <= limits.group_rows:
-        return Layout(**first, largest_sensor=first["largest_file"], type_groups=first["rows"], limits=limits)
+        return _by_file(first, limits)
 
     sensors = df.groupBy(SENSOR).agg(total.alias("n"))
     unkeyed = F.col("sensor_id").isNull() | F.col("reading_type").isNull()
@@ -95,6 +95,32 @@ def measure(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Layout:
     return replace(layout, hot=hot, hot_groups=hot.count())
 
 
+def route(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> list[tuple[DataFrame, Layout]]:
+    """The rows in parts, each with the layout that its files need: ordinary files apart from large ones.
+
+    So one large file does not send all others through the plan for large files. Both parts read the
+    input; where it is stored by file, each reads its own files only. There are few large files: at most one for
+    every ``group_rows`` rows.
+    """
+    files = df.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"))
+    whole = _totals(files)
+    if whole["largest_file"] <= limits.group_rows:
+        return [(df, _by_file(whole, limits))]
+    sizes = stage(files, "routed-sizes")
+    ordinary = _totals(sizes.where(F.col("n") <= limits.group_rows))
+    if not ordinary["files"]:
+        return [(df, measure(df, limits))]
+    names = sizes.where(F.col("n") > limits.group_rows).select(BATCH)
+    if whole["files"] - ordinary["files"] <= limits.broadcast_rows:
+        names = F.broadcast(names)
+    large = df.join(names, BATCH, "left_semi")
+    return [(df.join(names, BATCH, "left_anti"), _by_file(ordinary, limits)), (large, measure(large, limits))]
+
+
+def _by_file(totals: dict, limits: Limits) -> Layout:
+    return Layout(**totals, largest_sensor=totals["largest_file"], type_groups=totals["rows"], limits=limits)
+
+
 def _totals(files: DataFrame) -> dict:
     return (
         files.agg(

@@ -205,6 +205,17 @@ def transform_large(spark: SparkSession, folder: str) -> DataFrame:
     return _day_text(_rounded(result, *averages, digits=DIGITS_CALIBRATED))
 
 
+def transform_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """One large file, of all even days, among daily ones: each kind goes through its own plan."""
+    rows = read_events(spark, folder)
+    even = F.substring("file_name", 9, 2).cast("int") % 2 == 0
+    rows = rows.withColumn("file_name", F.when(even, "even.parquet").otherwise(F.col("file_name")))
+    limits = Limits(group_rows=max(1, rows.count() // 8), broadcast_rows=10, salts=4)
+    result = jobs.transform(rows, default_config(spark), limits=limits)
+    averages = ["value", "battery_level", "daily_avg", "rolling_7d_avg"]
+    return _day_text(_rounded(result, *averages, digits=DIGITS_CALIBRATED))
+
+
 def rolling_7_split(spark: SparkSession, folder: str) -> DataFrame:
     """Sensors cut into chunks of time."""
     rows = _monthly(spark, folder)
@@ -290,6 +301,7 @@ QUERIES: dict[str, Query] = {
         correct_outliers_large,
         clean_large,
         transform_large,
+        transform_mixed,
         rolling_7_split,
         quality_report_shares,
         partitioned_roundtrip,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from sensorweave.functions.columns import utc_now
 from sensorweave.operators.calibrate import calibrate
 from sensorweave.operators.clean import clean
 from sensorweave.operators.features import derive_features
-from sensorweave.operators.layout import DEFAULT_LIMITS, Limits, measure
+from sensorweave.operators.layout import DEFAULT_LIMITS, Layout, Limits, route
 from sensorweave.operators.profile import DOCUMENT, profile_with_counts
 from sensorweave.operators.status import content_status, footer_status
 from sensorweave.operators.timestamps import normalize_timestamps
@@ -151,10 +152,14 @@ def transform(
 ) -> DataFrame:
     """Clean, calibrate, normalise timestamps and derive features.
 
-    The group sizes are counted once, on the input; later steps only remove rows.
-    With files of ordinary size the rows are shuffled once, by file.
+    The group sizes are counted once, on the input; later steps only remove rows. Rows of files of
+    ordinary size are shuffled once, by file; large files go through a plan of their own.
     """
-    layout = measure(df, limits)
+    parts = [_transform_part(rows, config, rolling, layout) for rows, layout in route(df, limits)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _transform_part(df: DataFrame, config: DataFrame, rolling: str, layout: Layout) -> DataFrame:
     cleaned = clean(df, config, layout, keep_clock=True)
     timed = normalize_timestamps(calibrate(cleaned, config))
     return derive_features(timed, config, replace(layout, unkeyed=0), rolling)

@@ -280,5 +280,8 @@ FROM iso GROUP BY ALL""",
 SELECT file_name, 'outlier_pct' AS share, reading_type, {_percent('bad')} AS percent FROM g
 UNION ALL SELECT file_name, 'missing_pct', reading_type, {_percent('gone')} FROM g""",
 }
+_MIXED = DAY.replace("raw AS (", "daily AS (", 1) + """, raw AS (
+  SELECT * REPLACE (CASE WHEN CAST(substr(file_name, 9, 2) AS INT) % 2 = 0 THEN 'even.parquet' ELSE file_name END AS file_name) FROM daily)"""
+SQL["transform_mixed"] = SQL["transform_all"].replace(DAY, _MIXED)
 for _name, _same in {"correct_outliers_large": "correct_outliers", "clean_large": "clean_all", "transform_large": "transform_all"}.items():
     SQL[_name] = SQL[_same]

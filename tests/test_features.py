@@ -196,3 +196,21 @@ def test_transform_is_the_same_for_large_files_and_hot_sensors(readings, config,
         for name in ["value", "battery_level", "daily_avg", "rolling_7d_avg"]:
             assert a.pop(name) == pytest.approx(b.pop(name))
         assert a == b
+
+
+def test_large_files_do_not_change_the_plan_of_others(spark, config, readings):
+    """Ordinary files are shuffled once, whatever else is in the table, and all rows come out alike."""
+    from sensorweave.operators.layout import Limits, route
+    from sensorweave.plans.jobs import _transform_part, transform
+
+    rows = lambda n, k: [(f"s{i % k}", f"2025-06-{1 + i // 24 % 28:02d}T{i % 24:02d}:00:00", "humidity", float(i * 7 % 50), 1.0) for i in range(n)]
+    df = readings(rows(400, 3), "large.parquet").unionByName(readings(rows(30, 2), "a.parquet")).unionByName(readings(rows(20, 1), "b.parquet"))
+    limits = Limits(group_rows=100, broadcast_rows=10, salts=3)
+    parts = route(df, limits)
+    assert [(own.by_file, own.largest_file, own.rows) for _, own in parts] == [(True, 30, 50), (False, 400, 400)]
+    assert {r["file_name"] for r in parts[1][0].collect()} == {"large.parquet"}
+    plan = _transform_part(*parts[0][:1], config, "rows", parts[0][1])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(file_name") == 1
+    key = lambda r: (r["file_name"], r["row_index"])
+    values = lambda found: [(*key(r), r["value"], pytest.approx(r["daily_avg"]), pytest.approx(r["rolling_7d_avg"])) for r in sorted(found.collect(), key=key)]
+    assert values(transform(df, config, limits=limits)) == values(transform(df, config))
