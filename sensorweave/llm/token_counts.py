@@ -7,32 +7,40 @@ answered from the stored counts, without encoding anything again.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.pieces import PieceModel, prefix_counts
-from sensorweave.llm.words import slices
+from sensorweave.llm.words import Recent, kept_in_worker, slices
+
+
+def _packed(counts: list[int]) -> bytes | array:
+    return bytes(counts) if max(counts, default=0) < 256 else array("q", counts)
 
 
 class Counter:
     """Prefix counts of the texts of one task; those of a word are worked out once."""
 
-    def __init__(self, path: str, most: int = 400_000):
-        self.model, self.most = PieceModel(path), most
-        self.parts: dict[str, list[int]] = {}
-        self.totals: dict[str, int] = {}
+    def __init__(self, path: str, most: int = 1_200_000, most_parts: int = 400_000):
+        self.model = PieceModel(path)
+        self.parts: Recent = Recent(most_parts)
+        self.totals: Recent = Recent(most)
+
+    def _learn(self, parts: set[str]) -> None:
+        fresh = sorted(self.parts.lacking(parts))
+        # As bytes or arrays, counts are nothing that Python's collector has to look through.
+        self.parts.update(zip(fresh, map(_packed, prefix_counts(self.model, fresh))))
 
     def words(self, texts: list[str]) -> list[list[str]]:
         """The words of texts, after working out those that are new. What is known is bounded."""
         model = self.model
-        if len(self.parts) > self.most or len(self.totals) > self.most:
-            self.parts, self.totals = {}, {}
         found = [model.chunks(model.marked(t)) for t in texts]
-        fresh = {word: model.split(word) for word in set().union(*found) - self.totals.keys()}
-        parts = sorted({p for own in fresh.values() for p in own} - self.parts.keys())
-        self.parts.update(zip(parts, prefix_counts(model, parts)))
+        fresh = {word: model.split(word) for word in self.totals.lacking(set().union(*found))}
+        self._learn({p for own in fresh.values() for p in own})
         for word, own in fresh.items():
             self.totals[word] = sum([self.parts[p][-1] for p in own])
         return found
@@ -40,12 +48,36 @@ class Counter:
     def totals_of(self, texts: list[str]) -> list[int]:
         return [sum(map(self.totals.__getitem__, words)) for words in self.words(texts)]
 
+    def fitting(self, words: list[str], limit: int) -> int:
+        """Characters of the longest prefix of the text of these (known) ``words`` that has no more tokens than ``limit``.
+
+        Tokens before a word never get fewer, so only the word in which they exceed the limit is opened.
+        """
+        characters = counted = 0
+        for word in words:
+            more = self.totals[word]
+            if counted + more > limit:
+                break
+            characters, counted = characters + len(word), counted + more
+        else:
+            word = ""
+        longest, parts = characters, self.model.split(word)
+        self._learn(set(parts))
+        for part in parts:
+            within = self.parts[part]
+            fits = [k for k, n in enumerate(within, 1) if counted + n <= limit]
+            longest = characters + fits[-1] if fits else longest
+            characters, counted = characters + len(part), counted + (within[-1] if within else 0)
+        return max(0, longest - int(self.model.dummy))
+
     def counts(self, text: str) -> np.ndarray:
         """Element k is the count of the first k characters."""
         counted, before = [], 0
-        for word in self.words([text])[0]:
+        words = self.words([text])[0]
+        self._learn({p for word in set(words) for p in self.model.split(word)})
+        for word in words:
             for part in self.model.split(word):
-                counted.append(np.array(self.parts[part], np.int32) + before)
+                counted.append(np.array(list(self.parts[part]), np.int32) + before)
                 before = int(counted[-1][-1])
         counts = np.concatenate(counted) if counted else np.zeros(0, np.int32)
         if self.model.dummy and text:
@@ -67,7 +99,7 @@ def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         import pyarrow as pa
 
-        counter = Counter(path)
+        counter = kept_in_worker(f"counter {path}", lambda: Counter(path))
         for batch in slices(batches):
             texts = [t or "" for t in batch["_text"].to_pylist()]
             counts = [counter.counts(t) for t in texts]
@@ -86,9 +118,9 @@ def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
 
 
 def tokens_of(prefix_tokens: Column, characters: Column | int) -> Column:
-    """Tokens of so many leading characters; of the whole text beyond its end."""
+    """Tokens of so many leading characters; of the whole text beyond its end, none of fewer than one."""
     last = F.size(prefix_tokens)
-    return F.element_at(prefix_tokens, F.least(F.lit(characters) + 1, last).cast("int"))
+    return F.element_at(prefix_tokens, F.greatest(F.lit(1), F.least(F.lit(characters) + 1, last)).cast("int"))
 
 
 def fitting(prefix_tokens: Column, budget: Column | int) -> Column:
@@ -108,13 +140,12 @@ def count(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_c
     def run(batches):
         import pyarrow as pa
 
-        counter = Counter(path)
+        counter = kept_in_worker(f"counter {path}", lambda: Counter(path))
         for batch in slices(batches):
             texts = [t or "" for t in batch["_text"].to_pylist()]
-            totals = counter.totals_of(texts)
-            fits = [
-                len(t) if n <= limit else int(np.flatnonzero(counter.counts(t) <= limit)[-1]) for t, n in zip(texts, totals)
-            ]
+            words = counter.words(texts)
+            totals = [sum(map(counter.totals.__getitem__, own)) for own in words]
+            fits = [len(t) if n <= limit else counter.fitting(own, limit) for t, n, own in zip(texts, totals, words)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch[id_col],

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import xxhash
@@ -70,6 +74,43 @@ class Numbers(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker, which works on task after task.
+
+    Only for memories that change no result; they must be bounded, as they stay as long as the worker.
+    """
+    home = sys.modules.setdefault("_sensorweave_llm_kept", types.ModuleType("_sensorweave_llm_kept"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)
+
+
+class Recent(dict):
+    """What was worked out lately, in two generations: the older one goes when the younger one is full.
+
+    So what is used all the time is never worked out again, and what is known stays bounded.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most // 2, {}
+
+    def lacking(self, keys: set) -> set:
+        """Those of ``keys`` that are not known; the others are in the younger generation after this."""
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+        # Asked key by key: set arithmetic would go through all that is known.
+        new, older = set(), self.older
+        for key in keys:
+            if key not in self:
+                if key in older:
+                    self[key] = older[key]
+                else:
+                    new.add(key)
+        return new
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit numbers."""
     x = x ^ (x >> np.uint64(31))
