@@ -10,16 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.llm.pieces import Encoder, PieceModel, decode
-from sensorweave.llm.words import slices
+from sensorweave.llm.words import kept_in_worker, slices
+
+
+def _unused(docs: DataFrame, name: str) -> None:
+    if name.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {name} already: choose another name for the result")
 
 
 def encode_column(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the ids of a text as a further array column. Null stays null, empty gives an empty array."""
+    """``docs`` with the ids of a text as a further array column. Null stays null, empty gives an empty array.
+
+    A column of the name ``out`` that is there already is an error; other columns stay as they are.
+    """
+    _unused(docs, out)
 
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(PieceModel(path))
+        encoder = kept_in_worker(f"encoder {path}", lambda: Encoder(PieceModel(path)))
         for batch in slices(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             coded = encoder.of([t or "" for t in texts])
@@ -30,7 +39,11 @@ def encode_column(docs: DataFrame, path: str, text_col: str = "text", out: str =
 
 
 def decode_column(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``docs`` with the text of an id array as a further column. Null stays null."""
+    """``docs`` with the text of an id array as a further column. Null stays null, an empty array gives an empty text.
+
+    A column of the name ``out`` that is there already is an error; other columns stay as they are.
+    """
+    _unused(docs, out)
 
     def run(batches):
         import pyarrow as pa
@@ -52,8 +65,8 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         import pyarrow as pa
 
-        model = PieceModel(path)
-        encoder = Encoder(model)
+        encoder = kept_in_worker(f"encoder {path}", lambda: Encoder(PieceModel(path)))
+        model = encoder.model
         for batch in slices(batches):
             texts = [t or "" for t in batch["_text"].to_pylist()]
             coded = encoder.of(texts)

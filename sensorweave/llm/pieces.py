@@ -14,6 +14,8 @@ from operator import add
 
 import numpy as np
 
+from sensorweave.llm.words import Recent
+
 SPACE_MARK = "▁"
 _CHUNKS = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
 LONGEST_REMEMBERED = 64
@@ -281,18 +283,16 @@ def encoded_parts(model: PieceModel, parts: list[str]):
 class Encoder:
     """Ids of the texts of one task; those of a word are worked out once. What is known is bounded."""
 
-    def __init__(self, model: PieceModel, most: int = 400_000):
-        self.model, self.most = model, most
-        self.parts: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+    def __init__(self, model: PieceModel, most: int = 1_200_000, most_parts: int = 400_000):
+        self.model = model
+        self.parts: Recent = Recent(most_parts)
+        self.known: Recent = Recent(most)
 
     def of(self, texts: list[str]) -> list[bytes]:
         model = self.model
-        if len(self.parts) > self.most or len(self.known) > self.most:
-            self.parts, self.known = {}, {}
         found = [model.chunks(model.marked(t)) for t in texts]
-        fresh = {word: model.split(word) for word in set().union(*found) - self.known.keys()}
-        parts = sorted({p for own in fresh.values() for p in own} - self.parts.keys())
+        fresh = {word: model.split(word) for word in self.known.lacking(set().union(*found))}
+        parts = sorted(self.parts.lacking({p for own in fresh.values() for p in own}))
         self.parts.update(zip(parts, encoded_parts(model, parts)))
         for word, own in fresh.items():
             self.known[word] = b"".join([self.parts[p] for p in own])
