@@ -18,11 +18,14 @@ CRLF = "\r\n"
 
 # What is cut out of HTML with its content, and what stands for a line break.
 HIDDEN = r"(?is)<!--.*?-->|<(?:script|style|template|noscript)\b[^>]*>.*?</(?:script|style|template|noscript)\s*>"
-BREAKING = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|body|head|html|blockquote|pre|hr|td|th|form|main|aside)\b[^>]*>"
-ANY_TAG = r"<[^>]*>"
-# The references that the SQL of oracle() resolves; derive() resolves all.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+# A tag begins with a letter after the bracket, and a bracket in a quoted attribute does not end it. Nothing is
+# ever given back, so a tag that does not end costs no more than its length.
+INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+BREAKING = rf"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|body|head|html|blockquote|pre|hr|td|th|form|main|aside)\b{INSIDE}"
+ANY_TAG = rf"</?[A-Za-z]{INSIDE}|<[!?][^>]*>"
+# What is left where quotes do not match.
+LOOSE_TAG = r"</?[A-Za-z][^>]*>"
+TITLE = rf"(?is)<title\b{INSIDE}(.*?)</title\s*>"
 
 
 # A reference in text: decimal, hexadecimal or named, the closing mark optional as in HTML.
@@ -53,11 +56,15 @@ def _plain(markup: Column) -> Column:
 def html_text(html: Column) -> Column:
     """The visible text of a page, a line for each block."""
     shown = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), r"[\x0A\x0D]+", " ")
-    return _plain(F.regexp_replace(F.regexp_replace(shown, BREAKING, "\n"), ANY_TAG, ""))
+    return _plain(_without_tags(F.regexp_replace(shown, BREAKING, "\n")))
+
+
+def _without_tags(markup: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(markup, ANY_TAG, ""), LOOSE_TAG, "")
 
 
 def title(html: Column) -> Column:
-    return F.regexp_replace(_plain(F.regexp_replace(F.regexp_extract(html, TITLE, 1), ANY_TAG, "")), "\n", " ")
+    return F.regexp_replace(_plain(_without_tags(F.regexp_extract(html, TITLE, 1))), "\n", " ")
 
 
 def digest(text: Column) -> Column:
@@ -139,7 +146,11 @@ def derive(found: DataFrame) -> DataFrame:
 
 
 def render(records: DataFrame, out: str = "record") -> DataFrame:
-    """``records`` with each one as it stands in a file, header, block and closing lines."""
+    """``records`` with each one as it stands in a file, header, block and closing lines.
+
+    A line break within a header value, as in an address from outside, becomes a blank: a value ends
+    with its line. A null value leaves its line out, a null block gives null. Repeated rows stay.
+    """
     pairs = [
         ("WARC-Type", "warc_type"),
         ("WARC-Record-ID", "record_id"),
@@ -150,40 +161,68 @@ def render(records: DataFrame, out: str = "record") -> DataFrame:
         ("WARC-Block-Digest", "block_digest"),
         ("Content-Type", "content_type"),
     ]
-    lines = [F.concat(F.lit(f"{name}: "), F.col(column)) for name, column in pairs]
+    lines = [F.concat(F.lit(f"{name}: "), F.regexp_replace(column, r"[\r\n]+", " ")) for name, column in pairs]
     length = F.concat(F.lit("Content-Length: "), F.col("content_length").cast("string"))
     head = F.concat_ws(CRLF, F.lit("WARC/1.1"), *lines, length)
     return records.withColumn(out, F.concat(head, F.lit(CRLF * 2), F.col("block"), F.lit(CRLF * 2)))
 
 
 def parse(rendered: DataFrame, column: str = "record") -> DataFrame:
-    """Header fields (a map) and block of rendered records, one in each row."""
+    """Header fields (a map) and block of rendered records, one in each row; null for a null. Other columns go."""
     end = F.instr(F.col(column), CRLF * 2)
-    fields = F.slice(F.split(F.substring(F.col(column), F.lit(1), end - 1), CRLF), 2, 1000)
+    fields = F.slice(F.split(F.substring(F.col(column), F.lit(1), end - 1), CRLF), F.lit(2), F.greatest(F.size(F.split(F.substring(F.col(column), F.lit(1), end - 1), CRLF)) - 1, F.lit(0)))
     keys = F.transform(fields, lambda f: F.substring_index(f, ": ", 1))
     values = F.transform(fields, lambda f: F.substring(f, F.instr(f, ": ") + 2, F.char_length(f)))
     body = F.substring(F.col(column), end + 4, F.char_length(column) - end - 7)
     return rendered.select(F.map_from_arrays(keys, values).alias("header"), body.alias("block"))
 
 
+def _reference_tables() -> str:
+    """Python's table of named references, and the numbers that do not stand for the character of that code, as DuckDB maps."""
+    import html.entities
+
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    names = ", ".join(f"{quoted(name)}: {quoted(value)}" for name, value in html.entities.html5.items())
+    # Control characters and codes that are no characters are all below 160, in one block, or at the end of a plane.
+    codes = [*range(160), *range(0xFDD0, 0xFDF0), *(plane * 0x10000 + last for plane in range(17) for last in (0xFFFE, 0xFFFF))]
+    other = {code: markup_of.unescape(f"&#{code};") for code in codes}
+    numbers = ", ".join(f"{code}: {quoted(value)}" for code, value in other.items() if value != chr(code))
+    return f"SELECT MAP {{{names}}} AS names, MAP {{{numbers}}} AS numbers"
+
+
+def _resolved_sql(text: str) -> str:
+    """``resolve`` in DuckDB: a text is cut at references, each is looked up, and the pieces are joined again."""
+    pieces = f"regexp_extract_all({text}, '{REFERENCE.pattern}|[^&]+|&')"
+    code = """CASE WHEN p[3] IN ('x', 'X') THEN TRY_CAST('0x' || rtrim(p[4:], ';') AS BIGINT) ELSE TRY_CAST(rtrim(p[3:], ';') AS BIGINT) END"""
+    lone = "coalesce(n, 1114112) > 1114111 OR n BETWEEN 55296 AND 57343"
+    number = f"list_transform([{code}], lambda n: coalesce(numbers[n], CASE WHEN {lone} THEN chr(65533) ELSE chr(n::INT) END))[1]"
+    # A name that is not known as a whole may begin with one that is.
+    start = "list_filter(list_transform(range(len(p) - 2, 1, -1), lambda k: names[p[2:k + 1]] || p[k + 2:]), lambda x: x IS NOT NULL)[1]"
+    found = f"CASE WHEN p[2] = '#' THEN {number} ELSE coalesce(names[p[2:]], {start}, p) END"
+    found = f"translate({found}, chr(160) || chr(9) || chr(10) || chr(12) || chr(13), '     ')"
+    return f"array_to_string(list_transform({pieces}, lambda p: CASE WHEN len(p) > 1 AND p[1] = '&' THEN {found} ELSE p END), '')"
+
+
 def oracle(date: str) -> str:
     """The query over ``pages`` in DuckDB, with the same expressions spelled in its functions."""
     uuid = lambda h: f"'<urn:uuid:' || {h}[1:8] || '-' || {h}[9:12] || '-' || {h}[13:16] || '-' || {h}[17:20] || '-' || {h}[21:32] || '>'"
 
     def plain(x: str) -> str:
-        for entity, char in ENTITIES:
-            x = f"replace({x}, '{entity}', {repr(char) if char != chr(39) else 'chr(39)'})".replace("'\"'", "chr(34)")
+        x = _resolved_sql(x)
         x = rf"regexp_replace({x}, '[\x20\x09\x0B-\x0D]+', ' ', 'g')"
         x = rf"regexp_replace({x}, ' ?\n[ \n]*', chr(10), 'g')"
         return rf"regexp_replace({x}, '\A[ \n]+|[ \n]+\z', '', 'g')"
 
     shown = rf"regexp_replace(regexp_replace(payload, '{HIDDEN}', '', 'g'), '[\x0A\x0D]+', ' ', 'g')"
-    body = f"regexp_replace(regexp_replace({shown}, '{BREAKING}', chr(10), 'g'), '{ANY_TAG}', '', 'g')"
-    head = f"regexp_replace(regexp_extract(payload, '{TITLE}', 1), '{ANY_TAG}', '', 'g')"
+    # DuckDB's expressions never go back, and have no marks for that.
+    quoted = lambda pattern: pattern.replace("'", "''").replace("++", "+").replace("*+", "*")
+    untagged = lambda x: f"regexp_replace(regexp_replace({x}, '{quoted(ANY_TAG)}', '', 'g'), '{LOOSE_TAG}', '', 'g')"
+    body = untagged(f"regexp_replace({shown}, '{quoted(BREAKING)}', chr(10), 'g')")
+    head = untagged(f"regexp_extract(payload, '{quoted(TITLE)}', 1)")
     return f"""
         WITH r AS (
             SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload,
-                   'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages
+                   'sha256:' || sha256(coalesce(html, '')) AS source_digest, names, numbers FROM pages, ({_reference_tables()})
         ), i AS (
             SELECT *, sha256('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || target_uri || '|' || source_digest) AS h,
                    {plain(body)} AS text, replace({plain(head)}, chr(10), ' ') AS title
