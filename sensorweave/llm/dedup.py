@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.llm.words import SPACE
 from sensorweave.session import stage, staging_root
+from sensorweave.sources.files import stored_bytes
 
 # Session settings while the stream runs. Changes are logged instead of copying whole stores,
 # and no store reserves disk that it does not fill, as there is a store for every partition.
@@ -23,10 +24,14 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # All stores of an executor share this much memory, and those that are no longer used are closed soon.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
 
-# Digest records that a micro-batch reads, in bytes of Parquet.
-BYTES_PER_BATCH = 1 << 40
+# Micro-batches that the digest records are read in, about: later ones meet the state that earlier ones left.
+BATCHES = 4
 
 
 def normalized(text: Column) -> Column:
@@ -91,7 +96,7 @@ def keyed_state(records: DataFrame, path: str) -> DataFrame:
 
 
 def groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256, bytes_per_batch: int = BYTES_PER_BATCH
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256, batches: int = BATCHES
 ) -> tuple[DataFrame, DataFrame]:
     """The digest records of all rows, and per group of equal texts which row stays and how many rows it has.
 
@@ -99,13 +104,15 @@ def groups(
     find those, the texts of hits are grouped in full, copies being merged before the shuffle.
     """
     spark = docs.sparkSession
-    records = stage(digests(docs, id_col, text_col, digest), "dedup-digests")
-    source = f"{records.inputFiles()[0].rsplit('/', 1)[0]}" if records.inputFiles() else None
+    source = f"{staging_root(spark)}/sensorweave/dedup-digests-{uuid.uuid4().hex}"
+    digests(docs, id_col, text_col, digest).write.parquet(source)
+    records = spark.read.parquet(source)
     path = f"{staging_root(spark)}/sensorweave/dedup-stream-{uuid.uuid4().hex}"
-    if source is None:
+    if records.isEmpty():
         empty = records.groupBy("digest").agg(_first().alias("first"), F.count(F.lit(1)).alias("rows"))
         return records, empty.withColumn("text", F.lit(None).cast("string"))
-    stream = spark.readStream.schema(records.schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(source)
+    share = -(-stored_bytes(spark, source) // batches)
+    stream = spark.readStream.schema(records.schema).option("maxBytesPerTrigger", str(share)).parquet(source)
     state = stage(keyed_state(stream, path), "dedup-state")
 
     texts = digests(docs, id_col, text_col, digest, with_text=True)
@@ -128,14 +135,14 @@ def _collisions(found: DataFrame) -> bool:
 
 
 def dedupe(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256, bytes_per_batch: int = BYTES_PER_BATCH
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256, batches: int = BATCHES
 ) -> DataFrame:
     """Per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Null texts count as empty, and empty texts are equal. A null id sorts after all others.
     Of repeated rows with the smallest id, one is kept. Other columns do not matter.
     """
-    records, found = groups(docs, id_col, text_col, digest, bytes_per_batch)
+    records, found = groups(docs, id_col, text_col, digest, batches)
     same = F.col("locator.row") == F.col("first.row")
     if digest is sha256 and not _collisions(found):
         rows, shown = records.join(found, "digest"), F.col("digest")
@@ -151,19 +158,23 @@ def dedupe(
     )
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each text, with their columns as they are."""
-    _, found = groups(docs, id_col, text_col, bytes_per_batch=bytes_per_batch)
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
+    """The rows of ``docs`` that stay, one for each text, with their columns as they are, whatever their names.
+
+    Null texts count as empty. The row with the smallest id stays, null being the greatest; of repeated rows one.
+    """
+    _, found = groups(docs, id_col, text_col, batches=batches)
     collide = _collisions(found)
-    found = found.select(
-        F.col("digest").alias("_digest"), F.col("first.id").alias("_keep"), F.col("text").alias("_text")
-    )
-    key = ["_digest"]
-    rows = docs.withColumn("_digest", sha256(normalized(F.col(text_col))))
+    tag = uuid.uuid4().hex  # no column of docs has such a name
+    digest, keep, text, own = (f"_{name}_{tag}" for name in ("digest", "keep", "text", "own"))
+    found = found.select(F.col("digest").alias(digest), F.col("first.id").alias(keep), F.col("text").alias(text))
+    key = [digest]
+    rows = docs.withColumn(digest, sha256(normalized(F.col(text_col))))
     if collide:
-        key = ["_digest", "_own"]
-        rows = rows.withColumn("_own", normalized(F.col(text_col))).join(found, "_digest").where("_text IS NULL OR _text = _own")
+        key = [digest, own]
+        rows = rows.withColumn(own, normalized(F.col(text_col))).join(found, digest)
+        rows = rows.where(F.col(text).isNull() | (F.col(text) == F.col(own)))
     else:
-        rows = rows.join(found.drop("_text"), "_digest")
-    first = rows.where(F.col(id_col).eqNullSafe(F.col("_keep"))).dropDuplicates(key)
+        rows = rows.join(found.drop(text), digest)
+    first = rows.where(F.col(id_col).eqNullSafe(F.col(keep))).dropDuplicates(key)
     return first.select(*[F.col(f"`{c}`") for c in docs.columns])
