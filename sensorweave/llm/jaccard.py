@@ -19,6 +19,7 @@ that are not connected by then are compared with each other. No link between com
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -417,8 +418,9 @@ def keep_one(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc
     Rows without an id stay, and so do repeated rows with the smallest id of a component.
     """
     linked = link(docs, how, id_col, text_col)
-    dropped = linked.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("_dropped")).distinct()
+    name = f"_dropped_{uuid.uuid4().hex}"  # no column of docs has such a name
+    dropped = linked.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
     dropped = stage(dropped, "jaccard-dropped")
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, F.col(id_col) == F.col(name), "left_anti")

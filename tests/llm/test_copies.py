@@ -194,6 +194,21 @@ def test_keep_first(spark):
     assert dedup.keep_first(docs.limit(0)).count() == 0 and dedup.dedupe(docs.limit(0)).count() == 0
 
 
+def test_columns_of_any_name_stay_as_they_are(spark):
+    docs = spark.createDataFrame([(1, "a b", "p", "q"), (2, "a  b", "r", "s"), (3, "c", "t", "u")], "doc_id long, text string, _Digest string, _keep string")
+    assert sorted(tuple(r) for r in dedup.keep_first(docs).collect()) == [(1, "a b", "p", "q"), (3, "c", "t", "u")]
+    docs = docs.withColumnRenamed("_keep", "_dropped")
+    assert sorted(tuple(r) for r in jaccard.keep_one(docs).collect()) == [(1, "a b", "p", "q"), (3, "c", "t", "u")]
+
+
+def test_several_batches_meet_kept_state(spark):
+    """The copies of a text are spread over files, and files over micro-batches."""
+    rows = [(k, f"text {k % 7}", "x", 1) for k in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(12)
+    found = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in dedup.dedupe(docs, batches=6).collect()}
+    assert found == {k: (k % 7, len(range(k % 7, 200, 7))) for k in range(200)}
+
+
 def test_state_outlives_the_stream(spark, tmp_path):
     """Rows that come later meet the state of earlier ones, in small batches."""
     records = tmp_path / "records"

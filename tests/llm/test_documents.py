@@ -3,13 +3,15 @@
 import hashlib
 import itertools
 import random
+import re
 
+import public_tokenizers
 import pytest
 from compare import connect, difference
-from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sensorweave.llm import catalog, chat, licenses, warc
+from sensorweave.llm import catalog, chat, licenses, quality, toxicity, warc
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -64,6 +66,45 @@ def test_character_references(spark):
             assert f"title: {text}\r\n" in record["block"] and f"text-characters: {2 * len(text) + 1}\r\n" in record["block"]
 
 
+ODD_PAGES = [
+    "<p>3 < 4 and 5 > 2</p><a title=\"a > b\" href='x>y'>link</a> end",
+    "<p class=it's>open</p> <b title=\"never closed>bold</b> tail",
+    "<title lang='a>b'>T &eacute;&nbsp;&#8217;</title><P>x&copy;y&copy z&notit;&notanentity; &amp;lt; & &# &#x; &#x110000; &#0; &#128; &#xD800; &#99999999999999999999;</P>",
+    "a<!-- <p> > -->b<!DOCTYPE html>c<?php echo ?>d <1 <_ </ <",
+    "<" * 300 + " " + "<p " * 300 + "'\"" * 300,
+    "&CounterClockwiseContourIntegral; &fjlig; &lt &ltx &Aacute &tab;&Tab;&NewLine;x",
+    "<br/>one<BR>two<hr />three<div\n class='q'>four</div\n>",
+    "",
+    None,
+]
+
+
+def test_odd_tags_and_references_match_sql(spark):
+    """The visible text and the records, against DuckDB and, for the first ones, by hand."""
+    import duckdb
+
+    rows = [(k, "http://a/", html) for k, html in enumerate(ODD_PAGES)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["page_id"]: r["block"] for r in warc.derive(warc.responses(pages, "d")).where("warc_type = 'conversion'").collect()}
+    assert texts[0] == "3 < 4 and 5 > 2\nlink end"
+    assert texts[1] == "open\nbold tail"
+    assert texts[2].startswith("T é ’\nx©y© z¬it;¬anentity; &lt; & &# &#x; \ufffd \ufffd €")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert difference(warc.derive(warc.responses(pages, "d")), con, warc.oracle("d")) is None
+
+
+def test_addresses_cannot_add_header_lines(spark):
+    pages = spark.createDataFrame([(1, "http://a/\r\nWARC-Type: forged\r\n\r\nbody", "<p>x")], "page_id long, url string, html string")
+    rendered = warc.render(warc.derive(warc.responses(pages, "d")))
+    for r in warc.parse(rendered).collect():
+        assert r["header"]["WARC-Type"] in ("metadata", "conversion") and "forged" in r["header"]["WARC-Target-URI"]
+    many = "WARC/1.1\r\n" + "\r\n".join(f"X-{k}: {k}" for k in range(1500)) + "\r\n\r\nblock\r\n\r\n"
+    parsed = warc.parse(spark.createDataFrame([(many,)], "record string")).first()
+    assert len(parsed["header"]) == 1500 and parsed["header"]["X-1499"] == "1499" and parsed["block"] == "block"
+
+
 def test_rendered_records_can_be_read(spark):
     pages = spark.createDataFrame([(1, "http://a/", HTML), (2, "http://b/", None)], "page_id long, url string, html string")
     records = warc.derive(warc.responses(pages, "2020-01-01T00:00:00Z"))
@@ -279,7 +320,7 @@ def test_pipeline(spark):
     from test_copies import linked
     from test_classifiers import measures
 
-    docs = catalog.table(spark, FOLDER, "documents")
+    docs, labels = catalog.table(spark, FOLDER, "documents"), catalog.table(spark, FOLDER, "labels")
     kept, number = docs, 0
     for name, step in corpus_pipeline.STAGES[:-1]:
         before = {r["doc_id"]: r["text"] for r in kept.collect()}
@@ -291,15 +332,29 @@ def test_pipeline(spark):
         after = {r["doc_id"]: r["text"] for r in kept.collect()}
         assert after.items() <= before.items() and len(after) > 0.5 * len(before)
         if name == "quality rules":
+            verdict = {r["doc_id"]: r["kept"] for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+            assert set(after) == {i for i, t in before.items() if verdict[i]}
             assert not any(measures(t)[-1] for t in after.values())
+        if name == "toxicity":
+            was = spark.createDataFrame(list(before.items()), "doc_id long, text string")
+            verdict = {r["doc_id"]: r["predicted"] for r in toxicity.score(was, toxicity.fit(was, labels)).collect()}
+            assert set(after) == {i for i in before if not verdict[i]}
         if name == "exact dedup":
             first = {}
             for i, t in sorted(before.items()):
-                first.setdefault(" ".join((t or "").split(" ")), i)
-            assert len(after) <= len(set(before.values()))
+                first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), i)
+            assert set(after) == set(first.values())
         if name == "n-gram Jaccard join":
             rows = sorted(before.items())
             assert sorted(after) == sorted({least for _, _, least in linked(rows, 5, 80)})
-    packed = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER)
-    assert {r["doc_id"] for r in packed.select("doc_id").collect()} == set(after)
-    assert corpus_pipeline.run(spark, FOLDER).select(F.sum("length")).first()[0] > 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER).collect()
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokens = {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in after.items()}
+    lengths, sequences = {}, {}
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        lengths[r["doc_id"]] = lengths.get(r["doc_id"], 0) + r["length"]
+        assert r["offset"] == sequences.get(r["sequence_id"], 0)
+        sequences[r["sequence_id"]] = r["offset"] + r["length"]
+    assert lengths == tokens and max(sequences.values()) <= 2048
+    whole = corpus_pipeline.run(spark, FOLDER).select("doc_id", "piece", "length").collect()
+    assert sorted(map(tuple, whole)) == sorted((r["doc_id"], r["piece"], r["length"]) for r in packed)

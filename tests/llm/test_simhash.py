@@ -4,7 +4,6 @@ import itertools
 import random
 import re
 
-import pytest
 import xxhash
 
 from sensorweave.llm import catalog, simhash
@@ -64,10 +63,9 @@ def test_query_against_all_pairs(spark):
     assert len({c for _, _, c in found}) < len(rows)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_fingerprints_near_each_other(spark, seed):
+def test_fingerprints_near_each_other(spark):
     """All links, whatever segments the bits lie in, with signatures of any size."""
-    rng = random.Random(seed)
+    rng = random.Random(0)
     made = {0, (1 << 64) - 1, 1 << 63}
     for _ in range(6):
         base = rng.getrandbits(64)
@@ -82,7 +80,7 @@ def test_fingerprints_near_each_other(spark, seed):
     classes = spark.createDataFrame([(f,) for f in signed], "fp long")
     for bits in (0, 1, 2):
         near = {(a, b) for a, b in itertools.combinations(sorted(signed), 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
-        for limit in (2, 5, 64):
+        for limit in (2, 64) if bits == 2 else (5,):
             found = [tuple(r) for r in simhash.class_links(classes, bits, limit).collect()]
             assert len(found) == len(set(found)) and set(found) == near
     assert near
