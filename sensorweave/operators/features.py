@@ -16,6 +16,9 @@ ROLLING_ROWS = 7
 
 HOUR = 3_600_000_000  # microseconds
 
+# Rows that a task which holds several small chunks of time gets, where these need more tasks than usual.
+TASK_ROWS = 100_000
+
 def add_date(df: DataFrame) -> DataFrame:
     """The UTC day of ``timestamp``."""
     return df.withColumn("date", F.to_date(clock(df)))
@@ -75,13 +78,15 @@ def _with_windows(df: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> Dat
 def _split_windows(rows: DataFrame, layout: Layout, wanted: tuple[str, ...]) -> DataFrame:
     """The same averages for sensors too large for one task.
 
-    The rows are range-partitioned on sensor and time, so one sensor spreads over many
-    chunks, and staged so that the chunk numbers stay fixed. Each chunk then gets the
-    last rows before it as context, which makes its rolling averages exact.
+    The rows are range-partitioned on sensor and time and sorted, so one sensor spreads over many
+    partitions, and staged so that the chunk numbers stay fixed. A partition is cut into chunks of
+    ``group_rows``; small ones share a task, as a task for each would cost more than its rows.
+    Each chunk then gets the last rows before it as context, which makes its rolling averages exact.
     """
-    chunks = max(2, -(-layout.rows // layout.limits.group_rows))
-    ranged = rows.repartitionByRange(chunks, *SENSOR, *time_order())
-    placed = stage(ranged.withColumn("_chunk", F.spark_partition_id()), "hot-chunks")
+    ranged = rows.repartitionByRange(_hot_tasks(rows, layout), *SENSOR, *time_order())
+    ranged = ranged.sortWithinPartitions(*SENSOR, *time_order())
+    chunk = F.floor(F.monotonically_increasing_id() / layout.limits.group_rows)
+    placed = stage(ranged.withColumn("_chunk", chunk), "hot-chunks")
     result = placed
     if "rolling_7d_avg" in wanted:
         result = _rolling_with_context(placed)
@@ -92,6 +97,13 @@ def _split_windows(rows: DataFrame, layout: Layout, wanted: tuple[str, ...]) ->
     return result
 
 
+def _hot_tasks(rows: DataFrame, layout: Layout) -> int:
+    """A task per chunk, unless chunks are so small that fewer tasks hold them without being large."""
+    chunks = max(2, -(-layout.rows // layout.limits.group_rows))
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(chunks, max(usual, -(-layout.rows // TASK_ROWS)))
+
+
 def _rolling_with_context(placed: DataFrame) -> DataFrame:
     before = ROLLING_ROWS - 1
     chunk = [*SENSOR, "_chunk"]

@@ -214,3 +214,25 @@ def test_large_files_do_not_change_the_plan_of_others(spark, config, readings):
     key = lambda r: (r["file_name"], r["row_index"])
     values = lambda found: [(*key(r), r["value"], pytest.approx(r["daily_avg"]), pytest.approx(r["rolling_7d_avg"])) for r in sorted(found.collect(), key=key)]
     assert values(transform(df, config, limits=limits)) == values(transform(df, config))
+
+
+def test_small_chunks_share_tasks(readings, monkeypatch):
+    tasks, chunks = [], []
+
+    def watched(df, name):
+        staged = STAGE(df, name)
+        if name == "hot-chunks":
+            tasks.append(df.rdd.getNumPartitions())
+            chunks.append(staged.groupBy("_chunk").count())
+        return staged
+
+    STAGE = f.stage
+    monkeypatch.setattr(f, "stage", watched)
+    rows = [(f"s{i % 3}", text(i), "t", float(i * i % 17), 9.0) for i in range(400)]
+    df = readings(rows)
+    got = f.rolling_average(df, measure(df, Limits(group_rows=2, broadcast_rows=10, salts=2)))
+    whole = f.rolling_average(df)
+    assert column(got, "rolling_7d_avg") == pytest.approx(column(whole, "rolling_7d_avg"))
+    assert tasks == [4]
+    sizes = [r["count"] for r in chunks[0].collect()]
+    assert len(sizes) >= 200 and max(sizes) <= 2
