@@ -334,7 +334,8 @@ def _load_changed(
         sharing = manifest.partitions().join(touched, "partition", "left_semi").select(BATCH)
         files = stage(sharing.unionByName(changed.select(BATCH)).distinct(), "sharing")
         rows = rows_of(files).join(touched.select(F.col("partition").alias("_partition")), "_partition", "left_semi")
-        tables.write_analytics(rows.drop("_partition"), settings.analytics, "replace_partitions", partition_by=columns)
+        rows, folders = rows.drop("_partition"), touched.count()
+        tables.write_analytics(rows, settings.analytics, "replace_partitions", partition_by=columns, folders=folders)
 
     manifest.replace(changed, meant, columns, write, settings.analytics)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock
 from sensorweave.schema import ACCEPTED, BATCH, REPORT_COLUMNS
+from sensorweave.session import writes_sized_for
 from sensorweave.sources.files import ledger_journal
 from sensorweave.sources.journal import Journal
 
@@ -95,6 +96,7 @@ def write_analytics(
     compression: str = "snappy",
     max_records: int = 0,
     partition_by: Sequence[str] = ("date", "sensor_id"),
+    folders: int | None = None,
 ) -> None:
     """Hive partitions by ``date`` and ``sensor_id``.
 
@@ -104,7 +106,8 @@ def write_analytics(
     ``append`` adds files on every call; ``replace_partitions`` overwrites the partitions
     present in ``df``. The rebalancing shuffle brings a partition's rows together, while
     adaptive execution splits partitions that are too large for one task and merges
-    small ones.
+    small ones, as long as a task does not get too many. Give ``folders``, the number of
+    partitions in ``df``, where it is known; else they are counted.
     """
     if mode not in ("append", "replace_partitions"):
         raise ValueError(f"unknown mode: {mode}")
@@ -115,4 +118,7 @@ def write_analytics(
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer = writer.mode("append") if mode == "append" else _partition_overwrite(writer)
-    writer.partitionBy(*partition_by).parquet(path)
+    if folders is None:
+        folders = df.select(*partition_by).distinct().count()
+    with writes_sized_for(df.sparkSession, folders):
+        writer.partitionBy(*partition_by).parquet(path)

@@ -372,3 +372,17 @@ def test_analytics_by_day_alone(spark, readings, tmp_path):
     assert not list(Path(path).glob("date=*/sensor_id=*"))
     back = spark.read.parquet(path)
     assert back.count() == 9 and back.where("sensor_id = 's4'").first()["value"] == 4.0
+
+
+def test_many_small_folders_are_written_by_many_tasks(spark, tmp_path):
+    from sensorweave.sinks import tables
+
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    rows = spark.range(450).selectExpr("'2025-06-05' AS date", "concat('s', id) AS sensor_id", "id AS value").coalesce(1)
+    tables.write_analytics(rows, str(tmp_path), "replace_partitions")
+    files = [p for p in tmp_path.rglob("*.parquet")]
+    assert len(files) == 450
+    assert len({p.name.split("-")[1] for p in files}) >= 3
+    assert spark.read.parquet(str(tmp_path)).agg({"value": "sum"}).first()[0] == 449 * 450 // 2
+    assert [spark.conf.get(n) for n in names] == before
