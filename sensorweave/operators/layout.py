@@ -25,6 +25,8 @@ from sensorweave.session import stage
 class Limits:
     group_rows: int = 5_000_000
     """Rows of one group that a single window task may hold."""
+    part_rows: int = 1_000_000
+    """Rows of a large file that one partition is meant to get; its sort then stays small."""
     broadcast_rows: int = 500_000
     """Rows of a table of statistics that may be broadcast."""
     salts: int = 128
@@ -139,7 +141,8 @@ def spread_files(df: DataFrame, layout: Layout) -> DataFrame:
     A file goes to as many partitions as its size asks for, and not to all of them, so
     that its rows can be written as a few files of good size without another shuffle.
     """
-    parts = layout.sizes.select(BATCH, F.ceil(F.col("n") / layout.limits.group_rows).alias("_parts"))
+    most = min(layout.limits.part_rows, layout.limits.group_rows)
+    parts = layout.sizes.select(BATCH, F.ceil(F.col("n") / most).alias("_parts"))
     sized = attach(df, parts, [BATCH], layout.broadcast_files, layout.limits)
     part = F.pmod(F.xxhash64("sensor_id", "reading_type"), F.coalesce("_parts", F.lit(1)))
     return sized.withColumn("_part", part).drop("_parts").repartition(BATCH, "_part")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.operators import features as f
 from sensorweave.operators.calibrate import calibrate
-from sensorweave.operators.layout import Limits, attach, measure
+from sensorweave.operators.layout import Limits, attach, measure, spread_files
 from sensorweave.operators.timestamps import normalize_timestamps
 
 T10 = "2025-06-05T10:00:00"
@@ -236,3 +236,13 @@ def test_small_chunks_share_tasks(readings, monkeypatch):
     assert tasks == [4]
     sizes = [r["count"] for r in chunks[0].collect()]
     assert len(sizes) >= 200 and max(sizes) <= 2
+
+
+def test_parts_of_a_large_file_are_smaller_than_what_a_task_may_hold(readings):
+    rows = [(f"s{i % 97}", text(i), "t", float(i), 9.0) for i in range(970)]
+    df = readings(rows)
+    layout = measure(df, Limits(group_rows=500, part_rows=100))
+    parts = spread_files(df, layout).groupBy("_part").count().collect()
+    assert len(parts) == 10 and max(r["count"] for r in parts) < 300
+    got, whole = f.daily_average(df, layout), f.daily_average(df)
+    assert column(got, "daily_avg") == pytest.approx(column(whole, "daily_avg"))
