@@ -26,6 +26,11 @@ ANY_TAG = rf"</?[A-Za-z]{INSIDE}|<[!?][^>]*>"
 # What is left where quotes do not match.
 LOOSE_TAG = r"</?[A-Za-z][^>]*>"
 TITLE = rf"(?is)<title\b{INSIDE}(.*?)</title\s*>"
+# HIDDEN and ANY_TAG as Java finds them faster: only a bracket is worth a closer look. The SQL has those above.
+QUICK_HIDDEN = r"(?is)<(?:!--.*?-->|(?:script|style|template|noscript)\b[^>]*>.*?</(?:script|style|template|noscript)\s*>)"
+QUICK_TAG = rf"<(?:/?[A-Za-z]{INSIDE}|[!?][^>]*>)"
+# Runs of blanks that are not one space already.
+BLANK_RUN = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 
 
 # A reference in text: decimal, hexadecimal or named, the closing mark optional as in HTML.
@@ -49,18 +54,18 @@ def _resolved(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def _plain(markup: Column) -> Column:
     """Character references resolved, blanks collapsed within lines, empty lines gone."""
     markup = F.pandas_udf(_resolved, "string", F.PandasUDFType.SCALAR_ITER)(markup)
-    markup = F.regexp_replace(markup, r"[\x20\x09\x0B-\x0D]+", " ")
-    return F.regexp_replace(F.regexp_replace(markup, r" ?\n[ \n]*", "\n"), r"\A[ \n]+|[ \n]+\z", "")
+    markup = F.regexp_replace(markup, BLANK_RUN, " ")
+    return F.btrim(F.regexp_replace(markup, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def html_text(html: Column) -> Column:
     """The visible text of a page, a line for each block."""
-    shown = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), r"[\x0A\x0D]+", " ")
+    shown = F.regexp_replace(F.regexp_replace(html, QUICK_HIDDEN, ""), r"[\x0A\x0D]+", " ")
     return _plain(_without_tags(F.regexp_replace(shown, BREAKING, "\n")))
 
 
 def _without_tags(markup: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(markup, ANY_TAG, ""), LOOSE_TAG, "")
+    return F.regexp_replace(F.regexp_replace(markup, QUICK_TAG, ""), LOOSE_TAG, "")
 
 
 def title(html: Column) -> Column:

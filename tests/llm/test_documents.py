@@ -8,6 +8,7 @@ import re
 import public_tokenizers
 import pytest
 from compare import connect, difference
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -358,3 +359,16 @@ def test_pipeline(spark):
     assert lengths == tokens and max(sequences.values()) <= 2048
     whole = corpus_pipeline.run(spark, FOLDER).select("doc_id", "piece", "length").collect()
     assert sorted(map(tuple, whole)) == sorted((r["doc_id"], r["piece"], r["length"]) for r in packed)
+
+
+def test_quick_expressions_cut_the_same(spark):
+    """Those for Spark take and leave what the plain ones do, and do not replace a space by a space."""
+    rnd = random.Random(5)
+    bits = ["<", ">", "</", "<!--", "-->", "<script", "</script >", "<p>", " ", "  ", "\t", "\n", "\r\n", "\x0b", "a", "'", '"', "=", "!", "<style>", "</STYLE>", "<!", "<?", "/"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    blanks = r"[\x20\x09\x0B-\x0D]+"
+    for plain, quick, by in [(warc.HIDDEN, warc.QUICK_HIDDEN, ""), (warc.ANY_TAG, warc.QUICK_TAG, ""), (blanks, warc.BLANK_RUN, " ")]:
+        same = F.regexp_replace("t", plain, by) == F.regexp_replace("t", quick, by)
+        assert rows.where(~same).count() == 0
+    assert re.findall(warc.BLANK_RUN, "one two  three\tfour five") == ["  ", "\t"]
