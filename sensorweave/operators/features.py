@@ -28,9 +28,9 @@ def _keyed() -> Column:
     return F.col("sensor_id").isNotNull() & F.col("reading_type").isNotNull()
 
 
-def _rolling(part: list[str]) -> Column:
+def _rolling(part: list[str], order: list[Column] | None = None) -> Column:
     # Sorting by day first changes nothing, but the daily window can then use the same sort.
-    ordered = Window.partitionBy(part).orderBy(*time_order())
+    ordered = Window.partitionBy(part).orderBy(*(order or time_order()))
     return F.avg("_v").over(ordered.rowsBetween(1 - ROLLING_ROWS, Window.currentRow))
 
 
@@ -79,14 +79,15 @@ def _split_windows(rows: DataFrame, layout: Layout, wanted: tuple[str, ...]) ->
     """The same averages for sensors too large for one task.
 
     The rows are range-partitioned on sensor and time and sorted, so one sensor spreads over many
-    partitions, and staged so that the chunk numbers stay fixed. A partition is cut into chunks of
+    partitions, and staged so that positions and chunk numbers stay fixed: rows that time does not
+    order, as their index is the same, may lie on both sides of a cut. A partition is cut into chunks of
     ``group_rows``; small ones share a task, as a task for each would cost more than its rows.
     Each chunk then gets the last rows before it as context, which makes its rolling averages exact.
     """
     ranged = rows.repartitionByRange(_hot_tasks(rows, layout), *SENSOR, *time_order())
     ranged = ranged.sortWithinPartitions(*SENSOR, *time_order())
-    chunk = F.floor(F.monotonically_increasing_id() / layout.limits.group_rows)
-    placed = stage(ranged.withColumn("_chunk", chunk), "hot-chunks")
+    numbered = ranged.withColumn("_pos", F.monotonically_increasing_id())
+    placed = stage(numbered.withColumn("_chunk", F.floor(F.col("_pos") / layout.limits.group_rows)), "hot-chunks")
     result = placed
     if "rolling_7d_avg" in wanted:
         result = _rolling_with_context(placed)
@@ -107,16 +108,16 @@ def _hot_tasks(rows: DataFrame, layout: Layout) -> int:
 def _rolling_with_context(placed: DataFrame) -> DataFrame:
     before = ROLLING_ROWS - 1
     chunk = [*SENSOR, "_chunk"]
-    latest = Window.partitionBy(chunk).orderBy(F.desc(DAY), F.col(CLOCK).desc_nulls_first(), F.desc(ORDER))
+    latest = Window.partitionBy(chunk).orderBy(F.desc("_pos"))
     tails = placed.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= before).drop("_rank")
     # Few rows per chunk are left. A row is context for every later chunk that begins
     # within the next six of them, even if chunks in between are shorter than that.
-    along = Window.partitionBy(SENSOR).orderBy(*time_order())
+    along = Window.partitionBy(SENSOR).orderBy("_pos")
     ahead = F.array_distinct(F.array(*[F.lead("_chunk", i).over(along) for i in range(1, before + 1)]))
     targets = F.filter(ahead, lambda c: c > F.col("_chunk"))
     context = tails.withColumn("_to", targets).withColumn("_chunk", F.explode("_to")).drop("_to")
     both = placed.withColumn("_context", F.lit(False)).unionByName(context.withColumn("_context", F.lit(True)))
-    return both.withColumn("rolling_7d_avg", _rolling(chunk)).where(~F.col("_context")).drop("_context")
+    return both.withColumn("rolling_7d_avg", _rolling(chunk, [F.col("_pos")])).where(~F.col("_context")).drop("_context")
 
 
 def daily_average(df: DataFrame, layout: Layout | None = None) -> DataFrame:

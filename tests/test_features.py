@@ -1,5 +1,6 @@
 import random
 from datetime import datetime, timedelta
+from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,3 +247,13 @@ def test_parts_of_a_large_file_are_smaller_than_what_a_task_may_hold(readings):
     assert len(parts) == 10 and max(r["count"] for r in parts) < 300
     got, whole = f.daily_average(df, layout), f.daily_average(df)
     assert column(got, "daily_avg") == pytest.approx(column(whole, "daily_avg"))
+
+
+def test_rows_of_one_index_and_time_follow_each_other_across_chunks(spark):
+    """Each row is counted after the ones before it, whichever order equal rows take."""
+    rows = [(0, "a", "s", T10, "t", float(2**i)) for i in range(6)]
+    df = spark.createDataFrame(rows, "row_index long, file_name string, sensor_id string, timestamp string, reading_type string, value double")
+    got = f.rolling_average(df, measure(df, Limits(group_rows=1, broadcast_rows=10, salts=2))).collect()
+    averages = sorted(r["rolling_7d_avg"] for r in got)
+    means = lambda values: sorted(sum(values[: n + 1]) / (n + 1) for n in range(len(values)))
+    assert any(averages == pytest.approx(means(p)) for p in permutations([2.0**i for i in range(6)]))
