@@ -158,44 +158,51 @@ def _whole_sets(docs: DataFrame, how: Similarity) -> DataFrame:
     return docs.select("_text").mapInArrow(run, "digest binary, grams array<long>, order1 array<int>, order2 array<int>")
 
 
-def _live(own: DataFrame) -> DataFrame:
-    """The n-grams of fronts that more than one class has: ``gram``, ``node``, ``n``, ``pos``, ``df``."""
+def _shared(grams: DataFrame) -> DataFrame:
+    """The rows whose n-gram others have, too, with ``df``: a single shuffle, as most n-grams have one row."""
+    return grams.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("df > 1")
+
+
+def _live(own: DataFrame, how: Similarity) -> DataFrame:
+    """The n-grams of fronts that more than one class has: ``gram``, ``node``, ``n``, ``near`` (within reach), ``df``."""
     grams = own.select("node", "n", F.posexplode("front").alias("pos", "gram"))
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    return grams.join(counts, "gram")
+    return _shared(grams.select("gram", "node", "n", (F.col("pos") < _reach(how)).alias("near")))
 
 
 def _live_whole(whole: DataFrame) -> DataFrame:
-    """The same for whole sets."""
-    grams = whole.select("node", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    return grams.join(counts, "gram")
+    """The same for whole sets, all of which is within reach."""
+    return _shared(whole.select(F.explode("grams").alias("gram"), "node", F.size("grams").cast("long").alias("n")))
 
 
 def _ceil(a: Column, b: int) -> Column:
     return F.ceil(a / F.lit(b))
 
 
+def _needed(how: Similarity) -> Column:
+    """N-grams of a set of which at least one is in every similar set that is no shorter."""
+    n = F.col("n")
+    return n - _ceil(2 * how.percent * n, 100 + how.percent) + 1
+
+
+def _reach(how: Similarity) -> Column:
+    """The front of a set that probes are chosen from."""
+    n = F.col("n")
+    return F.least(n, F.greatest(_ceil(how.slack * n, 100) + 1, _needed(how)))
+
+
 def _probes(live: DataFrame, how: Similarity, whole: bool = False) -> DataFrame:
     """What each class looks up: its rarest n-grams within reach, as far as others have them at all.
 
     Where ``live`` has whole sets, all of a set is within reach.
     """
-    n = F.col("n")
-    needed = n - _ceil(2 * how.percent * n, 100 + how.percent) + 1
-    reach = F.least(n, F.greatest(_ceil(how.slack * n, 100) + 1, needed))
-    near = live
-    if whole:
-        reach = n
-    else:
-        near = live.where(F.col("pos") < reach)
+    reach, near = (F.col("n"), live) if whole else (_reach(how), live.where("near"))
     order = Window.partitionBy("node").orderBy("df", "gram")
     every = Window.partitionBy("node")
     ranked = near.select(
         "gram", "node", "n", "df", F.row_number().over(order).alias("rank"), F.count(F.lit(1)).over(every).alias("shared")
     )
     alone = reach - F.col("shared")  # n-grams within reach that no other class has count among the probes
-    return ranked.where(F.col("rank") <= needed - alone).select("gram", "node", "n", "df")
+    return ranked.where(F.col("rank") <= _needed(how) - alone).select("gram", "node", "n", "df")
 
 
 def _meets(how: Similarity, other: str = "b") -> Column:
@@ -249,21 +256,43 @@ def _led(probes: DataFrame, index: DataFrame, how: Similarity, number: int) -> D
     return _pairs(met.where((F.col("a") != F.col("b")) & (100 * F.least(a, b) >= how.percent * F.greatest(a, b))))
 
 
+def _cores(index: DataFrame, roots: DataFrame, how: Similarity) -> DataFrame:
+    """Per component and core, the smallest set that has it: ``node``, ``n``, ``core`` (its size), ``root``.
+
+    A set's core are its frequent n-grams. Where two sets share nothing else, their intersection
+    lies in both cores, so a core must make up so many percent of its set; and of the sets
+    with one core, the smallest is similar to whatever another one is similar to.
+    """
+    size, marks = F.count(F.lit(1)), [F.bit_xor("gram").alias("_x"), F.bit_xor(F.xxhash64("gram")).alias("_y")]
+    cores = index.groupBy("node").agg(F.max("n").alias("n"), size.alias("core"), *marks)
+    cores = cores.where(100 * F.col("core") >= how.percent * F.col("n"))
+    cores = cores.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = cores.groupBy("root", "core", "_x", "_y").agg(F.min(F.struct("n", "node")).alias("_least"))
+    return least.select("_least.node", "_least.n", "core", "root")
+
+
 def _unconnected(probes: DataFrame, index: DataFrame, roots: DataFrame, how: Similarity) -> DataFrame:
-    """All pairs of bucket members in different components. Buckets of one component cost a count."""
-    roots = roots.withColumnRenamed("root", "_root")
-    rooted = lambda df, side: df.join(roots, F.col(side) == F.col("node"), "left").withColumn(
-        f"{side}_root", F.coalesce("_root", side)
-    ).drop("node", "_root")
-    members = stage(rooted(_as(index, "b"), "b"), "jaccard-members")
-    groups = members.groupBy("gram", "b_root").agg(F.min("b_n").alias("least"), F.max("b_n").alias("most"))
-    mixed = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("roots")).where("roots > 1").select("gram")
-    groups = groups.join(mixed, "gram")
-    asking = rooted(_as(probes, "a"), "a").join(mixed, "gram")
-    fits = (F.col("a_n") <= F.col("most")) & (100 * F.col("a_n") >= how.percent * F.col("least"))
-    wanted = asking.join(groups, "gram").where((F.col("a_root") != F.col("b_root")) & fits)
-    found = wanted.select("gram", "a", "a_n", "b_root").join(members, ["gram", "b_root"])
-    return _pairs(found.where(_meets(how)))
+    """Pairs of sets in different components that may be similar; enough of them to connect what is similar.
+
+    Pairs that share an n-gram that is not frequent are known by now. So whoever else is similar to
+    a set lacks all that is outside its core, and of the core at least one is found
+    among any more n-grams than it may lack besides. Those that the fewest sets of other
+    components have are looked up; an n-gram that none of them has costs a count.
+    """
+    members = stage(index.select("gram", "node").join(_cores(index, roots, how), "node"), "jaccard-members")
+    inside = members.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("inside"))
+    every = inside.groupBy("gram").agg(F.sum("inside").alias("every"))
+    outside = inside.join(every, "gram").select("gram", "root", (F.col("every") - F.col("inside")).alias("outside"))
+    order = Window.partitionBy("node").orderBy("outside", "gram")
+    ranked = members.join(probes.select("node").distinct(), "node", "left_semi").join(outside, ["gram", "root"])
+    ranked = ranked.withColumn("rank", F.row_number().over(order))
+    lacking = _needed(how) - (F.col("n") - F.col("core"))
+    asking = ranked.where((F.col("rank") <= lacking) & (F.col("outside") > 0))
+    side = lambda df, s: df.select("gram", *[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in ("node", "n", "core", "root")])
+    shared = F.least("a_core", "b_core")
+    fits = (100 + how.percent) * shared >= how.percent * (F.col("a_n") + F.col("b_n"))
+    found = side(asking, "a").join(side(members, "b"), "gram")
+    return _pairs(found.where((F.col("a_root") != F.col("b_root")) & _meets(how) & fits))
 
 
 class _Verifier:
@@ -308,9 +337,7 @@ def _concerned(hunters: DataFrame, live: DataFrame, how: Similarity) -> DataFram
     probes, and has the others in its front.
     """
     n = F.col("n")
-    needed = n - _ceil(2 * how.percent * n, 100 + how.percent) + 1
-    reach = F.least(n, F.greatest(_ceil(how.slack * n, 100) + 1, needed))
-    hunted = live.join(hunters, "node", "left_semi").where(F.col("pos") < reach).select("gram").distinct()
+    hunted = live.join(hunters, "node", "left_semi").where("near").select("gram").distinct()
     shared = live.join(hunted, "gram", "left_semi").groupBy("node").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("shared"))
     rest = max(0.0, how.slack / 100 - (1 - 2 * how.percent / (100 + how.percent)))
     least = F.greatest(F.lit(1), F.floor(n * (rest * how.percent / 100)) - 1)
@@ -353,7 +380,7 @@ def _linked(docs: DataFrame, how: Similarity, id_col: str, text_col: str, every:
     copies = stage(members.where("node <> rep").select("node"), "jaccard-copies")
     own = found.where("n > 0").join(copies, "node", "left_anti")
 
-    live = stage(_live(own), "jaccard-live")
+    live = stage(_live(own, how), "jaccard-live")
     probes = stage(_probes(live, how), "jaccard-probes")
     verifier = _Verifier(docs, own, how, id_col, text_col)
     links = verifier.links(_pairs(_rare_pairs(probes, live, how)), "first")
