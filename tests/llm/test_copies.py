@@ -107,6 +107,42 @@ def test_every_link_is_listed(spark, monkeypatch, block):
     assert jaccard.pairs(docs.limit(0)).count() == 0 and jaccard.link_counts(docs.limit(0)).count() == 0
 
 
+def test_groups_that_share_a_line_are_not_paired_up(spark, monkeypatch):
+    """Some near copies of each text end with a line that is rarer than what they have from their text."""
+    rng, rows, listed = random.Random(3), [], []
+    for group, copy in itertools.product(range(4), range(40)):
+        words = [f"g{group}w{k}" for k in range(200)]
+        words[rng.randrange(200)] = f"edit{group}x{copy}"
+        rows.append((len(rows), " ".join(words + ["and", "now", "a", "line", "of", "all"] * (copy < 8))))
+    unconnected = jaccard._unconnected
+
+    def counted(*args):
+        found = unconnected(*args)
+        listed.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_unconnected", counted)
+    docs = spark.createDataFrame([(i, t, "x", 7) for i, t in rows], SCHEMA)
+    assert result(jaccard.link(docs, jaccard.Similarity(words=4, percent=85, bucket=8))) == linked(rows, 4, 85)
+    assert listed and listed[0] <= len(rows)
+
+
+@pytest.mark.parametrize("how", [
+    jaccard.Similarity(words=4, percent=85, bucket=3, leaders=0),
+    jaccard.Similarity(words=3, percent=80, bucket=8),
+])
+def test_texts_of_common_lines(spark, how):
+    """Texts have little of their own, and hardly an n-gram that is not frequent."""
+    rng, rows = random.Random(how.words), []
+    lines = [" ".join(f"l{k}w{w}" for w in range(12)) for k in range(11)]
+    for _ in range(150):
+        own = [f"own{rng.randrange(10**6)}" for _ in range(rng.choice([0, 0, 2, 5, 12, 25]))]
+        rows.append((len(rows), " ".join(sorted(rng.sample(lines, rng.randint(6, 9))) + own)))
+    docs = spark.createDataFrame([(i, t, "x", 7) for i, t in rows], SCHEMA)
+    expected = linked(rows, how.words, how.percent)
+    assert result(jaccard.link(docs, how)) == expected and 20 < len({r[2] for r in expected}) < 140
+
+
 def test_query_against_all_pairs(spark):
     rows = [(r["doc_id"], r["text"]) for r in catalog.table(spark, FOLDER, "documents").collect()]
     assert result(catalog.op2_ngram_jaccard(spark, FOLDER)) == linked(rows, 4, 85)
