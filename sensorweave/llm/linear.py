@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.words import KNOWN_WORDS, Numbers, distinct, hash64, mix64, slices
-from sensorweave.session import stage
+from sensorweave.llm.words import Numbers, distinct, hash64, mix64, slices
+from sensorweave.session import arrow_rows, stage
+
+# A task forgets its words when it has hashed more than this many: a word is several hundred bytes with its n-grams.
+HASHED_WORDS = 100_000
+
+# Features that the task that fits works on at once, and rows of features that go to it at once.
+BLOCK = 1 << 18
+ROWS_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -91,7 +98,7 @@ class Hasher:
 
     def of(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Features of texts that are given as lists of words."""
-        if len(self.numbers) > KNOWN_WORDS:
+        if len(self.numbers) > HASHED_WORDS:
             self.forget()
         ids = [self.numbers.of(words) for words in texts]
         self.learn()
@@ -191,7 +198,8 @@ def train(
     )
     staged = stage(texts.mapInArrow(hashed, schema), f"{name}-features")
     found = staged.repartition(1).mapInArrow(_fit(grams, strength, counts), "weights binary, intercept double, slope double, offset double")
-    row = found.first()
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        row = found.first()
     return Model(grams, np.frombuffer(row["weights"], np.float32), row["intercept"], row["slope"], row["offset"])
 
 
@@ -201,14 +209,13 @@ def _fit(grams: Grams, strength: float, counts: dict[int, int]):
     def run(batches):
         import pyarrow as pa
 
-        ids, labels, lengths, places = [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        ids, labels, features = [], [], []
         for batch in batches:
             ids += map(str, batch["_id"].to_pylist())
             labels += batch["_label"].to_pylist()
-            lengths.append(np.diff(batch["_places"].offsets.to_numpy()).astype(np.int64))
-            places.append(batch["_places"].flatten().to_numpy())
+            features += split(batch["_places"].flatten().to_numpy(), np.diff(batch["_places"].offsets.to_numpy()))
         order = sorted(range(len(ids)), key=lambda i: (hash64(ids[i]), ids[i]))
-        labels, rows = np.array(labels, float)[order], Rows(np.concatenate(lengths), np.concatenate(places), order)
+        labels, rows = np.array(labels, float)[order], Rows.of([features[i] for i in order])
         aside = np.arange(len(labels)) % 4 == 3
         weights, intercept, slope, offset = np.zeros(1 << grams.bits), 0.0, 1.0, 0.0
         if len(set(labels[~aside])) < 2:
@@ -232,23 +239,53 @@ def _fit(grams: Grams, strength: float, counts: dict[int, int]):
     return run
 
 
+def split(places: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The places of each row, where they lie."""
+    ends = np.cumsum(lengths).tolist()
+    return [places[start:end] for start, end in zip([0, *ends], ends)]
+
+
 class Rows:
-    """Rows of a 0/1 matrix, each scaled by its number of features."""
+    """Rows of a 0/1 matrix, each scaled by its number of features.
+
+    Rows stay as they are given, and are worked through block by block: what is held beside them
+    is bounded. Sums add up in the order of the rows and their features, whatever the blocks.
+    """
 
     def __init__(self, lengths: np.ndarray, places: np.ndarray, order: list[int]):
-        order = np.array(order, np.int64)
-        starts = (np.cumsum(lengths) - lengths)[order]
-        lengths = lengths[order]
-        ends = np.cumsum(lengths)
-        at = np.arange(lengths.sum()) + np.repeat(starts - ends + lengths, lengths)
-        self.places, self.owner = places[at], np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-        self.count, self.scale = len(lengths), scale(lengths)
+        features = split(places, lengths)
+        self._hold([features[i] for i in order], BLOCK)
+
+    @classmethod
+    def of(cls, features: list[np.ndarray], block: int = BLOCK) -> Rows:
+        """Rows whose places are given one by one; they may lie in the batches that they came in."""
+        rows = cls.__new__(cls)
+        rows._hold(features, block)
+        return rows
+
+    def _hold(self, features: list[np.ndarray], block: int) -> None:
+        self.features, self.lengths = features, np.fromiter(map(len, features), np.int64, len(features))
+        self.count, self.scale = len(features), scale(self.lengths)
+        starts = np.cumsum(self.lengths) - self.lengths
+        firsts = np.flatnonzero(np.diff(starts // block, prepend=-1)).tolist()
+        self.blocks = list(zip(firsts, [*firsts[1:], self.count]))
+
+    def _parts(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Per block: which rows, the places of their features, and how many each row has."""
+        for start, end in self.blocks:
+            yield slice(start, end), np.concatenate(self.features[start:end]).astype(np.intp), self.lengths[start:end]
 
     def margins(self, weights: np.ndarray, intercept: float) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.places], self.count) * self.scale + intercept
+        found = np.zeros(self.count)
+        for rows, places, lengths in self._parts():
+            found[rows] = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights[places], len(lengths))
+        return found * self.scale + intercept
 
     def transposed(self, values: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.places, (values * self.scale)[self.owner], size)
+        found, scaled = np.zeros(size), values * self.scale
+        for rows, places, lengths in self._parts():
+            np.add.at(found, places, np.repeat(scaled[rows], lengths))
+        return found
 
 
 def logistic(rows: Rows, labels: np.ndarray, use: np.ndarray, size: int, strength: float, steps: int = 60):

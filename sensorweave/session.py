@@ -83,6 +83,18 @@ def writes_sized_for(spark: SparkSession, folders: int) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows go to Python at most so many at a time, where one holds much. The setting is put back at the end."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

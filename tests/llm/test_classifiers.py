@@ -1,6 +1,7 @@
 """Quality rules and toxicity: measures against brute force, verdicts on rows that were held out."""
 
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -216,3 +217,41 @@ def test_toxicity_of_odd_rows(spark):
 
 def test_words():
     assert words_of(None) == [] and words_of("a\x0bb\xa0c d") == ["a", "b\xa0c", "d"]
+
+
+def test_matrix_in_blocks_against_dense():
+    rng = np.random.default_rng(5)
+    features = [distinct(rng.integers(0, 50, n)).astype(np.int32) for n in [0, 3, 40, 0, 1, 60, 7, 0]]
+    dense = np.array([np.isin(np.arange(50), x) * linear.scale(len(x)) for x in features])
+    weights, values = rng.normal(size=50), rng.normal(size=len(features))
+    for block in (1, 8, 1000):
+        rows = linear.Rows.of(features, block)
+        assert np.allclose(rows.margins(weights, 0.5), dense @ weights + 0.5)
+        assert np.allclose(rows.transposed(values, 50), values @ dense)
+    assert len(linear.Rows.of([]).margins(weights, 0.0)) == 0 and not linear.Rows.of([]).transposed(np.zeros(0), 50).any()
+
+
+def test_fit_holds_little_beside_its_rows():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    grams, size, each = linear.Grams(bits=12), 1000, 2000
+    places = np.concatenate([np.sort(rng.permutation(1 << grams.bits)[:each]) for _ in range(size)]).astype(np.int32)
+    labels = (rng.normal(size=1 << grams.bits)[places].reshape(size, each).sum(1) > 0).astype(int)
+
+    def batches(n):
+        for start in range(0, size, n):
+            held = places[start * each : (start + n) * each]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(held) + 1, each, np.int32)), pa.array(held))
+            ids, own = pa.array(range(start, start + len(lists))), pa.array(labels[start : start + n].tolist())
+            yield pa.RecordBatch.from_arrays([ids, own, lists], ["_id", "_label", "_places"])
+
+    def fitted(n):
+        return next(linear._fit(grams, 1e-4, {0: 1, 1: 1})(batches(n))).to_pydict()
+
+    tracemalloc.start()
+    found = fitted(100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(places)  # bytes; 32 and more while whole columns were made of all features
+    assert found == fitted(size)
