@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.linear import Grams, Hasher, Model, train
+from sensorweave.llm.linear import HASHED_WORDS, Grams, Hasher, Model, train
 from sensorweave.llm.words import KNOWN_WORDS, slices, words_of
 
 # Letters that a look-alike may stand for.
@@ -212,7 +212,7 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         for batch in slices(batches):
             for text in batch["_text"].to_pylist():
                 seen.update(words_of((text or "").lower()))
-            if len(seen) > KNOWN_WORDS:
+            if len(seen) > HASHED_WORDS:
                 total += _gram_counts(list(seen), list(seen.values()), folding)
                 seen.clear()
         total += _gram_counts(list(seen), list(seen.values()), folding)

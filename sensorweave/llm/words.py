@@ -21,7 +21,7 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 KNOWN_WORDS = 300_000
 
 # Bytes of text that a task takes apart at once.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 19
 
 
 def slices(batches, text_col: str = "_text"):

@@ -83,16 +83,28 @@ def writes_sized_for(spark: SparkSession, folders: int) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def at_most_arrow_rows(spark: SparkSession, rows: int) -> None:
+    """From now on rows go to Python at most so many at a time; a lower setting stays.
+
+    For jobs whose results are read later, when the setting must still hold.
+    """
+    now = int(spark.conf.get(ARROW_ROWS))
+    if not 0 < now <= rows:
+        spark.conf.set(ARROW_ROWS, rows)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Rows go to Python at most so many at a time, where one holds much. The setting is put back at the end."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, rows)
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def staging_root(spark: SparkSession) -> str:

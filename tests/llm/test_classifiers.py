@@ -255,3 +255,22 @@ def test_fit_holds_little_beside_its_rows():
     tracemalloc.stop()
     assert peak < 16 * len(places)  # bytes; 32 and more while whole columns were made of all features
     assert found == fitted(size)
+
+
+def test_pipeline_hands_few_rows_to_python_at_once(spark):
+    import corpus_pipeline
+    from sensorweave.session import ARROW_ROWS, arrow_rows, at_most_arrow_rows
+
+    docs = spark.range(1200, numPartitions=1).selectExpr("id AS doc_id", "'plain words here' AS text")
+    with arrow_rows(spark, 10_000):
+        corpus_pipeline.sequences(spark, docs, FOLDER)
+        sizes = docs.mapInArrow(lambda batches: (b.select([0]).slice(0, 1) for b in batches), "doc_id long").count()
+        assert sizes == -(-1200 // corpus_pipeline.ROWS_AT_ONCE)
+        for now, then in (("0", "500"), ("20", "20")):
+            spark.conf.set(ARROW_ROWS, now)
+            at_most_arrow_rows(spark, 500)
+            assert spark.conf.get(ARROW_ROWS) == then
+        before = spark.conf.get(ARROW_ROWS)
+        with pytest.raises(ZeroDivisionError), arrow_rows(spark, 3):
+            assert spark.conf.get(ARROW_ROWS) == "3" and 1 / 0
+        assert spark.conf.get(ARROW_ROWS) == before
