@@ -14,19 +14,25 @@ import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.pieces import Remembered
-from sensorweave.llm.words import slices
+from sensorweave.llm.pieces import LONGEST_REMEMBERED
+from sensorweave.llm.words import SPACE, slices
 from sensorweave.session import stage
 
 END_ID = 0
 
+# Characters of text whose words a task looks up at once.
+BLOCK_CHARS = 1 << 22
+
 
 @dataclass(frozen=True)
 class Evolution:
@@ -41,50 +47,195 @@ class Evolution:
     well_filled: float = 0.995
 
 
-def _simple_tokens() -> re.Pattern:
-    """The tokenizer's own splitting into words, for characters below U+0300."""
-    kinds = {c: unicodedata.category(c)[0] for c in map(chr, range(0x300))}
-    letters = "".join(re.escape(c) for c, k in kinds.items() if k == "L")
-    numbers = "".join(re.escape(c) for c, k in kinds.items() if k == "N")
-    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\x20\x09-\x0D{letters}{numbers}]+")
+# Kinds of characters. Chunks are what gaps separate; those with an odd character are left to the library whole.
+GAP, LETTER, NUMBER, OTHER, ODD, END = range(6)
+
+# Odd are all characters from here on, control characters, and spaces other than those of ``SPACE``.
+TABLE = 0x300
+_ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0]")
+
+# Small letters that an apostrophe takes along.
+_ONE, _TWO = [ord(c) for c in "stmd"], [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
 
 
-# Texts with other characters, or with the start of a special token, are left to the library as a whole.
-_UNUSUAL = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0İ̀-\U0010ffff]|<\\|")
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of the characters of the table; one place more stands for all that follow."""
+    kinds, lower = np.full(TABLE + 1, ODD, np.uint8), np.arange(TABLE + 1, dtype=np.uint32)
+    for code, letter in enumerate(map(chr, range(TABLE))):
+        small = letter.lower()
+        if _ODD.match(letter) or len(small) > 1 or ord(small) >= TABLE:
+            continue
+        lower[code] = ord(small)
+        kind = {"L": LETTER, "N": NUMBER}.get(unicodedata.category(letter)[0], OTHER)
+        kinds[code] = GAP if re.match(SPACE, letter) else kind
+    return kinds, lower
 
 
 def _byte_letters() -> dict[int, str]:
-    """The visible character by which byte-level vocabularies write each byte."""
+    """The visible character by which byte-level vocabularies write each byte; the space, not in words, stays."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)} | {32: " "}
+
+
+def _starts(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where words begin, by the tokenizer's own splitting. ``points`` are in lower case, an END comes last."""
+    starts = np.empty(len(points), bool)
+    starts[0] = True
+    np.not_equal(kinds[1:], kinds[:-1], out=starts[1:])
+    starts |= (kinds == NUMBER) | (kinds == END)
+    at = np.flatnonzero(points == ord("'"))
+    at = at[(kinds[at] == OTHER) & (kinds[at - 1] != OTHER) & (kinds[at + 1] == LETTER)]
+    first, second = points[at + 1], points[at + 2]
+    one = np.isin(first, _ONE)
+    two = np.logical_or.reduce([(first == a) & (second == b) for a, b in _TWO])
+    starts[at[one | two] + 1] = False
+    after = np.concatenate([at[one] + 2, at[two] + 3])
+    starts[after] |= kinds[after] == LETTER
+    return starts
+
+
+def _arrow_words(points: np.ndarray, first: np.ndarray):
+    """Words as an Arrow column of UTF-8 bytes. They lie one behind the other in ``points`` and begin at ``first``."""
+    places = np.append(first, len(points))
+    if points.max(initial=0) < 0x80:
+        data = points.astype(np.uint8).tobytes()
+    else:
+        data = points.astype("<u4", copy=False).tobytes().decode("utf-32-le").encode()
+        before = np.zeros(len(points) + 1, np.int32)  # bytes that characters need beyond the first
+        np.cumsum((points >= 0x80).view(np.int8) + (points >= 0x800) + (points >= 0x10000), out=before[1:])
+        places = places + before[places]
+    buffers = [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(first), buffers)
+
+
+@dataclass(frozen=True)
+class Split:
+    """Texts taken apart: codes of all their words, which words have odd characters, and the last words of texts."""
+
+    words: pa.DictionaryArray
+    odd: np.ndarray
+    ends: np.ndarray
 
 
 class Tokens:
-    """Ids of texts as the library gives them, those of a word worked out once per task."""
+    """Ids of texts as the library gives them, those of a word worked out once per task.
+
+    Texts are split by array operations over many at once. White space separates chunks that the
+    tokenizer treats alike wherever they stand, so a chunk may be left to the library on its own.
+    What is known are Arrow words and their ids one behind the other; a space is the end of a text.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern, self.letters = _simple_tokens(), _byte_letters()
-        self.memory = Remembered(self._word)
-
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one word, by the library's model alone: it is split off and in lower case already."""
-        spelled = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
-
-    def of(self, text: str) -> bytes:
-        if _UNUSUAL.search(text):
-            return self._library(text)
-        return b"".join(map(self.memory.__getitem__, self.pattern.findall(text.lower())))
+        self.model, self.most = self.tokenizer.model, most
+        (self.kinds, self.lower), self.letters = _tables(), _byte_letters()
+        self.words, self.ids = pa.array([b" "], pa.binary()), np.array([END_ID], "<u4")
+        self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.used = None  # which words the last texts have, once too much is known
+
+    def split(self, texts: list[str]) -> Split:
+        """At least one text."""
+        joined = " ".join([*texts, ""])
+        if joined.isascii():
+            points = np.frombuffer(joined.encode(), np.uint8)
+        else:
+            points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kinds, low = self.kinds.take(points, mode="clip"), self.lower.take(points, mode="clip")
+        odd = kinds == ODD
+        if "<|" in joined:
+            odd[:-1] |= (points[:-1] == ord("<")) & (points[1:] == ord("|"))
+        if odd.any():
+            gaps = kinds == GAP
+            chunks = np.cumsum(gaps)
+            odd = (np.bincount(chunks[odd], minlength=chunks[-1] + 1) > 0)[chunks] & ~gaps
+            kinds[odd], low[odd] = ODD, points[odd]
+        kinds[np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1] = END
+        starts, kept = _starts(low, kinds), kinds != GAP
+        first = np.flatnonzero(starts[kept])
+        words, kinds = _arrow_words(low[kept], first).dictionary_encode(), kinds[kept][first]
+        return Split(words, np.flatnonzero(kinds == ODD), np.flatnonzero(kinds == END))
+
+    def of(self, splits: list[Split]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each: the ids of its texts one behind the other, each followed by ``END_ID``, and where each ends."""
+        self._forget()
+        codes = self._learn(splits)
+        for own, split in zip(codes, splits):
+            sizes = self.sizes[own]
+            ends = np.cumsum(sizes)
+            yield self.ids[np.repeat(self.starts[own] - (ends - sizes), sizes) + np.arange(ends[-1])], ends[split.ends]
+
+    def _learn(self, splits: list[Split]) -> list[np.ndarray]:
+        """Codes of all words among those known, after working out the words that are new."""
+        before = pa.DictionaryArray.from_arrays(np.arange(len(self.words), dtype=np.int32), self.words)
+        met = pa.chunked_array([before, *(split.words for split in splits)]).unify_dictionaries()
+        self.words = met.chunk(0).dictionary
+        known, *codes = (chunk.indices.to_numpy() for chunk in met.chunks)
+        new, odd = np.ones(len(self.words), bool), np.zeros(len(self.words), bool)
+        new[known] = False
+        for own, split in zip(codes, splits):
+            odd[own[split.odd]] = True
+        starts, sizes, ids = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [self.ids]
+        starts[known], sizes[known] = self.starts, self.sizes
+        for which, work in ((new & ~odd, self._plain), (new & odd, self._library)):
+            found, sizes[which] = work(self.words.filter(which).to_numpy(zero_copy_only=False).tolist())
+            starts[which] = sum(map(len, ids)) + np.cumsum(sizes[which]) - sizes[which]
+            ids.append(np.array(found, "<u4"))
+        self.starts, self.sizes, self.ids = starts, sizes, np.concatenate(ids)
+        if len(self.words) > self.most or self.words.nbytes > LONGEST_REMEMBERED * self.most:
+            self.used = np.zeros(len(self.words), bool)
+            for own in codes:
+                self.used[own] = True
+        return codes
+
+    def _plain(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of words, and how many each has, by the library's model alone: they are split off and in lower case."""
+        ids, sizes, tokenize = [], [], self.model.tokenize
+        spelled = b" ".join(words).decode("latin-1").translate(self.letters)
+        for word in spelled.split(" ") if words else []:
+            own = tokenize(word)
+            ids += [token.id for token in own]
+            sizes.append(len(own))
+        return ids, sizes
+
+    def _library(self, chunks: list[bytes]) -> tuple[list[int], list[int]]:
+        ids, sizes = [], []
+        for chunk in chunks:
+            own = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+            ids += own
+            sizes.append(len(own))
+        return ids, sizes
+
+    def _forget(self) -> None:
+        """Where too much is known, keep the short words of the last texts only."""
+        if self.used is None:
+            return
+        kept = np.flatnonzero(self.used & (pc.binary_length(self.words).to_numpy() <= LONGEST_REMEMBERED))
+        sizes = self.sizes[kept]
+        ends = np.cumsum(sizes)
+        self.ids = self.ids[np.repeat(self.starts[kept] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        self.words, self.starts, self.sizes, self.used = self.words.take(kept), ends - sizes, sizes, None
+
+
+def _blocks(batches, tokens: Tokens, id_col: str) -> Iterator[list[tuple[pa.Array, Split]]]:
+    """Ids of rows with their texts taken apart, as many at once as have ``BLOCK_CHARS`` characters."""
+    held, size = [], 0
+    for batch in slices(batches):
+        if batch.num_rows:
+            texts = [text or "" for text in batch["_text"].to_pylist()]
+            # A copy, as a part of the batch would keep all of it.
+            held.append((batch[id_col].take(pa.array(range(len(texts)))), tokens.split(texts)))
+            size += sum(map(len, texts))
+        if size >= BLOCK_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def cut(docs: DataFrame, path: str, how: Evolution, id_col: str, text_col: str) -> DataFrame:
@@ -95,30 +246,29 @@ def cut(docs: DataFrame, path: str, how: Evolution, id_col: str, text_col: str)
     """
 
     def run(batches):
-        import pyarrow as pa
         from pyspark import TaskContext
 
         tokens, most = Tokens(path), how.length
         shard, slot = (TaskContext.get().partitionId() + 1) << 20, 0
-        for batch in slices(batches):
-            tokens.memory.trim()
-            rows = []
-            for at, text in enumerate(batch["_text"].to_pylist()):
-                ids = memoryview(tokens.of(text or "") + END_ID.to_bytes(4, "little"))
-                total = len(ids) // 4
-                for number, start in enumerate(range(0, total, most)):
-                    length = min(most, total - start)
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((at, number, start, length, crc, shard, slot))
-                    slot += 1
-                    if slot == how.shard:
-                        shard, slot = shard + 1, 0
-            columns = list(zip(*rows)) or [()] * 7
-            yield pa.RecordBatch.from_arrays(
-                [batch[id_col].take(pa.array(columns[0], pa.int64()))]
-                + [pa.array(c, k) for c, k in zip(columns[1:], [pa.int32(), *[pa.int64()] * 5])],
-                [id_col, *PIECE.names],
-            )
+        for block in _blocks(batches, tokens, id_col):
+            names, splits = zip(*block)
+            for own, (ids, ends) in zip(names, tokens.of(splits)):
+                rows, begin = [], 0
+                for at, end in enumerate(ends.tolist()):
+                    for number, start in enumerate(range(begin, end, most)):
+                        length = min(most, end - start)
+                        crc = zlib.crc32(ids[start : start + length])
+                        rows.append((at, number, start - begin, length, crc, shard, slot))
+                        slot += 1
+                        if slot == how.shard:
+                            shard, slot = shard + 1, 0
+                    begin = end
+                columns = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [own.take(pa.array(columns[0], pa.int64()))]
+                    + [pa.array(c, k) for c, k in zip(columns[1:], [pa.int32(), *[pa.int64()] * 5])],
+                    [id_col, *PIECE.names],
+                )
 
     schema = T.StructType([docs.schema[id_col], *PIECE.fields])
     return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, schema)
@@ -225,8 +375,6 @@ ISLAND = "shard long, island int, slots array<long>, lengths array<long>, guests
 
 def _epoch(islands: DataFrame, number: int, how: Evolution) -> DataFrame:
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             rows = batch.to_pylist()
             for row in rows:
@@ -268,8 +416,6 @@ def _laid_out(shards: DataFrame, level: int, last: bool, how: Evolution) -> Data
     """Per piece: sequence and offset; ``again`` marks those of ill-filled sequences, to be pooled."""
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             for row in batch.to_pylist():
                 places, lengths = np.array(row["places"], np.int64), np.array(row["lengths"], np.int64)

@@ -239,24 +239,6 @@ def prefix_counts(model: PieceModel, parts: list[str]):
         yield counts[1:]
 
 
-class Remembered(dict):
-    """What a function gives for chunks, kept for short ones, up to a bound that is checked by ``trim``."""
-
-    def __init__(self, work, most: int = 400_000):
-        super().__init__()
-        self.work, self.most = work, most
-
-    def __missing__(self, chunk: str):
-        found = self.work(chunk)
-        if len(chunk) <= LONGEST_REMEMBERED:
-            self[chunk] = found
-        return found
-
-    def trim(self) -> None:
-        if len(self) > self.most:
-            self.clear()
-
-
 def encoded_parts(model: PieceModel, parts: list[str]):
     """Ids of each (marked) part as little-endian 32-bit bytes.
 

@@ -182,6 +182,60 @@ def test_packing_of_odd_rows(spark, tokenizer):
     assert packing.pack(docs.limit(0), WORDS).count() == 0
 
 
+def ids_of(tokens, splits):
+    return [p.tolist() for ids, ends in tokens.of(splits) for p in np.split(ids, ends[:-1])]
+
+
+def test_packing_splits_as_the_library_does(tokenizer):
+    """Any characters in any order, in blocks of several slices, also where words are forgotten in between."""
+    tokens = packing.Tokens(WORDS, most=50)
+    texts = [f"a{c}b {c} {c}'s A{c}LL {c}{c}9" for c in map(chr, range(0x370)) if c != "\n"] + [t or "" for t in ODD]
+    texts += random_texts(2000, "abcdelmrstvABE   \n\x0b''’!.<|>½²39éÅßȺİΣς́̈́中한가\x00\x85\xa0 🙂")
+    texts += ["x'll've'tt 're'rex !'s 's''s", "<|endoftext|>x <|ENDOFTEXT|> <|end <| oftext|>", "́ ́á", "'" * 9]
+    known = []
+    for at in range(0, len(texts), 300):
+        block = [texts[k : k + 100] for k in range(at, min(at + 300, len(texts)), 100)]
+        found = ids_of(tokens, [tokens.split(part) for part in block])
+        known.append(len(tokens.words))
+        for text, ids in zip([t for part in block for t in part], found, strict=True):
+            assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID], text
+    assert min(known) < max(known)
+    assert ids_of(tokens, [tokens.split([""])]) == [[packing.END_ID]]
+
+
+def test_packing_works_out_distinct_words_only(monkeypatch):
+    """A word that is known costs no step of its own, and one odd character does not send a text to the library."""
+    tokens, asked = packing.Tokens(WORDS), []
+    for name in ("_plain", "_library"):
+        work = getattr(tokens, name)
+        monkeypatch.setattr(tokens, name, lambda words, name=name, work=work: asked.extend((name, w) for w in words) or work(words))
+    texts = ["the cat’s milk and the dog's milk " * 200, "THE Cat"]
+    for _ in range(3):
+        list(tokens.of([tokens.split(texts), tokens.split(texts[::-1])]))
+    plain = [b"'s", b"and", b"cat", b"dog", b"milk", b"the"]
+    assert sorted(asked) == [("_library", "cat’s".encode()), *(("_plain", w) for w in plain)]
+
+
+def test_what_packing_knows_is_bounded():
+    """Also if nobody asks for more than there is: a block adds its own words, then frequent short ones stay."""
+    tokens, asked = packing.Tokens(WORDS, most=1000), []
+    work = tokens._plain
+    tokens._plain = lambda words: asked.extend(words) or work(words)
+    for k in range(40):
+        texts = [f"the q{chr(97 + k % 26) * (k // 26 + 1)}x{chr(97 + j % 26) * (j // 26 + 1)} {'y' * 100}{j}" for j in range(100)]
+        splits = [tokens.split([*texts, "é" * 50_000 + "\x85"])]
+        assert len([end for _, (_, end) in zip(splits, tokens.of(splits))]) == 1
+        assert len(tokens.words) <= 1000 + 100 + 20 and tokens.words.nbytes < 64_000 + 110_000
+    assert len(asked) > 4000 and asked.count(b"the") == 1 and asked.count(b"y" * 100) > 1
+
+
+def test_packing_of_letters_that_grow(spark, tokenizer):
+    """Small letters of these lie beyond U+0300, where they are letters still."""
+    texts = {0: "ȺȾ aȺb", 1: "plain"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check_packing(packing.pack(docs, WORDS).collect(), texts, tokenizer, 2048)
+
+
 def test_evolution_keeps_every_piece():
     rng = np.random.default_rng(8)
     how = packing.Evolution(length=100, generations=6)
