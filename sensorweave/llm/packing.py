@@ -147,6 +147,8 @@ class Tokens:
         else:
             points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         kinds, low = self.kinds.take(points, mode="clip"), self.lower.take(points, mode="clip")
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(lengths + 1) - 1
         odd = kinds == ODD
         if "<|" in joined:
             odd[:-1] |= (points[:-1] == ord("<")) & (points[1:] == ord("|"))
@@ -154,8 +156,11 @@ class Tokens:
             gaps = kinds == GAP
             chunks = np.cumsum(gaps)
             odd = (np.bincount(chunks[odd], minlength=chunks[-1] + 1) > 0)[chunks] & ~gaps
+            # Texts that are odd for the most part go to the library whole, which costs less.
+            share = np.diff(np.cumsum(odd)[ends], prepend=0)
+            odd |= np.repeat(2 * share > lengths, lengths + 1)
             kinds[odd], low[odd] = ODD, points[odd]
-        kinds[np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1] = END
+        kinds[ends] = END
         starts, kept = _starts(low, kinds), kinds != GAP
         first = np.flatnonzero(starts[kept])
         words, kinds = _arrow_words(low[kept], first).dictionary_encode(), kinds[kept][first]

@@ -192,6 +192,7 @@ def test_packing_splits_as_the_library_does(tokenizer):
     texts = [f"a{c}b {c} {c}'s A{c}LL {c}{c}9" for c in map(chr, range(0x370)) if c != "\n"] + [t or "" for t in ODD]
     texts += random_texts(2000, "abcdelmrstvABE   \n\x0b''’!.<|>½²39éÅßȺİΣς́̈́中한가\x00\x85\xa0 🙂")
     texts += ["x'll've'tt 're'rex !'s 's''s", "<|endoftext|>x <|ENDOFTEXT|> <|end <| oftext|>", "́ ́á", "'" * 9]
+    texts += [t[:k] + " " + t[k:] for t in random_texts(200, "中한Σς \n’İé") for k in (0, 3, len(t))]
     known = []
     for at in range(0, len(texts), 300):
         block = [texts[k : k + 100] for k in range(at, min(at + 300, len(texts)), 100)]
