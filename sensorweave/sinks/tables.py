@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.columns import clock
 from sensorweave.schema import ACCEPTED, BATCH, REPORT_COLUMNS
-from sensorweave.session import writes_sized_for
+from sensorweave.session import FOLDERS_PER_TASK, writes_sized_for
+from sensorweave.sinks.folders import can_write, write_folders
 from sensorweave.sources.files import ledger_journal
 from sensorweave.sources.journal import Journal
 
@@ -107,10 +108,17 @@ def write_analytics(
     present in ``df``. The rebalancing shuffle brings a partition's rows together, while
     adaptive execution splits partitions that are too large for one task and merges
     small ones, as long as a task does not get too many. Give ``folders``, the number of
-    partitions in ``df``, where it is known; else they are counted.
+    partitions in ``df``, where it is known; else they are counted. Where there are many, tasks write and
+    place them with Arrow, if it knows the store and stores the columns' types as Spark does.
     """
     if mode not in ("append", "replace_partitions"):
         raise ValueError(f"unknown mode: {mode}")
+    if folders is None:
+        folders = df.select(*partition_by).distinct().count()
+    if folders > FOLDERS_PER_TASK and not max_records and can_write(df, partition_by, compression):
+        order = () if "sensor_id" in partition_by else ("sensor_id",)
+        if write_folders(df, path, partition_by, folders, mode == "replace_partitions", compression, order):
+            return
     rows = df.hint("rebalance", *partition_by)
     if "sensor_id" not in partition_by:
         rows = rows.sortWithinPartitions(*partition_by, "sensor_id")
@@ -118,7 +126,5 @@ def write_analytics(
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer = writer.mode("append") if mode == "append" else _partition_overwrite(writer)
-    if folders is None:
-        folders = df.select(*partition_by).distinct().count()
     with writes_sized_for(df.sparkSession, folders):
         writer.partitionBy(*partition_by).parquet(path)

@@ -69,7 +69,7 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _ESCAPED = r"([\x01-\x1F\x22#%'*/:=?\x5C\x7F{\[\]^])"
 
 
-def partition_folder(columns: list[str]) -> F.Column:
+def partition_folder(columns: list[str], values: F.Column | str = "values") -> F.Column:
     """The relative folder of ``values``, an array of texts in the order of the partition columns.
 
     Characters that Spark escapes in folder names are escaped: each is replaced by its code, ``%`` first.
@@ -84,7 +84,7 @@ def partition_folder(columns: list[str]) -> F.Column:
         )
         return F.array_join(shown, "")
 
-    return F.array_join(F.zip_with(names, "values", lambda n, v: F.concat(n, F.lit("="), escaped(v))), "/")
+    return F.array_join(F.zip_with(names, values, lambda n, v: F.concat(n, F.lit("="), escaped(v))), "/")
 
 
 def partition_value(column) -> F.Column:
